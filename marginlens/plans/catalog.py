@@ -22,9 +22,13 @@ from marginlens.operators import cleaning as C
 from marginlens.operators import customers as E
 from marginlens.operators import orders as O
 from marginlens.operators import products as P
+from marginlens.operators import profile as Q
 from marginlens.operators import profit as A
+from marginlens.operators import reports as R
+from marginlens.operators import validate as V
 from marginlens.plans import oracle as sql
 from marginlens.sources import testdata as td
+from marginlens.sources import views
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 AS_OF = _dt.date.fromisoformat(sql.AS_OF)
@@ -155,3 +159,163 @@ register("e9_enriched_orders", DIRTY + "SELECT * FROM enriched")(lambda spark, d
 register("e10_profitable_orders", DIRTY + 'SELECT * FROM enriched WHERE "Profit" >= 0')(
     lambda spark, d: O.profitable_orders(_enriched(spark, d, dirty=True))
 )
+
+# --- R: reports -------------------------------------------------------------
+
+
+def _summary(spark: SparkSession, d: str) -> DataFrame:
+    return A.profit_summary(_enriched(spark, d))
+
+
+AGG = CLEAN + sql.with_aggregates()
+
+for _name, _fn, _key in [
+    ("r1_summary_statistics", R.summary_statistics, "r1"),
+    ("r2_yearly_breakdown", R.yearly_breakdown, "r2"),
+    ("r3_category_breakdown", R.category_breakdown, "r3"),
+    ("r4_top_groups", R.top_groups, "r4"),
+    ("r5_bottom_groups", R.bottom_groups, "r5"),
+    ("r6_sql_profit_by_year", R.sql_profit_by_year, "r6"),
+    ("r7_sql_top_customers", R.sql_top_customers, "r7"),
+    ("r8_sql_category_performance", R.sql_category_performance, "r8"),
+]:
+    register(_name, AGG + sql.REPORT_SQL[_key])(lambda spark, d, fn=_fn: fn(_summary(spark, d)))
+
+
+def _enriched_customers(spark: SparkSession, d: str) -> DataFrame:
+    src = _dirty(spark, d)
+    return E.enrich_customers(src["customers"], src["orders"], as_of=AS_OF)
+
+
+ENRICHED_CUSTOMERS = DIRTY + sql.enriched_customers_ctes()
+for _name, _fn, _key in [
+    ("r9_top_average_order_value", R.top_average_order_value, "r9"),
+    ("r10_top_product_variety", R.top_product_variety, "r10"),
+    ("r11_longest_lapsed", R.longest_lapsed, "r11"),
+]:
+    register(_name, ENRICHED_CUSTOMERS + sql.CUSTOMER_REPORT_SQL[_key])(
+        lambda spark, d, fn=_fn: fn(_enriched_customers(spark, d))
+    )
+
+
+def _raw_view(kind: str):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        src = td.sources(spark, d)
+        names = views.register_raw_views(src["customers"], src["orders"], src["products"])
+        return R.raw_preview(spark.table(names[kind]), kind)
+
+    return run
+
+
+for _kind in ["customers", "orders", "products"]:
+    _name = f"r12_raw_{_kind}_preview"
+    register(_name, CLEAN + sql.RAW_VIEW_CTES + sql.PREVIEW_SQL[_name])(_raw_view(_kind))
+
+
+def _enriched_view(kind: str):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        src = _dirty(spark, d)
+        frames = {
+            "enriched_customers": E.enrich_customers(src["customers"], src["orders"], as_of=AS_OF),
+            "enriched_products": P.enrich_products(src["products"], src["orders"]),
+            "enriched_orders": O.enriched_orders(src["orders"], src["customers"], src["products"]),
+        }
+        names = views.register_enriched_views(**{kind: frames[kind]})
+        return R.enriched_preview(spark.table(names[kind]), kind)
+
+    return run
+
+
+for _kind, _ctes in [
+    ("enriched_customers", sql.enriched_customers_ctes()),
+    ("enriched_products", sql.enriched_products_ctes()),
+    ("enriched_orders", ""),
+]:
+    _name = f"r13_{_kind}_preview"
+    register(_name, DIRTY + _ctes + sql.PREVIEW_SQL[_name])(_enriched_view(_kind))
+
+
+register("r14_top_customers", AGG + sql.REPORT_SQL["r14"])(
+    lambda spark, d: R.first_rows(A.profit_by_customer(_enriched(spark, d)), 10)
+)
+register("r15_profit_by_year_first", AGG + sql.REPORT_SQL["r15_year"])(
+    lambda spark, d: R.first_rows(A.profit_by_year(_enriched(spark, d)), 10)
+)
+register("r15_profit_by_year_category_first", AGG + sql.REPORT_SQL["r15_year_category"])(
+    lambda spark, d: R.first_rows(A.profit_by_year_category(_enriched(spark, d)), 15)
+)
+register("r15_profit_by_customer_year_first", AGG + sql.REPORT_SQL["r15_customer_year"])(
+    lambda spark, d: R.first_rows(A.profit_by_customer_year(_enriched(spark, d)), 15)
+)
+
+
+def _r16(spark: SparkSession, d: str) -> DataFrame:
+    enriched = _enriched(spark, d)
+    return R.top_customer_trends(A.profit_by_customer(enriched), A.profit_by_customer_year(enriched))
+
+
+register("r16_top_customer_trends", AGG + sql.REPORT_SQL["r16"])(_r16)
+register("r17_year_metrics", AGG + sql.REPORT_SQL["r17"])(
+    lambda spark, d: R.year_metrics(A.profit_by_year(_enriched(spark, d)))
+)
+register("r18_customer_metrics", AGG + sql.REPORT_SQL["r18"])(
+    lambda spark, d: R.customer_metrics_report(A.profit_by_customer(_enriched(spark, d)))
+)
+register("r19_category_totals", AGG + sql.REPORT_SQL["r19"])(
+    lambda spark, d: R.category_totals(A.profit_by_year_category(_enriched(spark, d)))
+)
+
+# --- V: validators (dirty adapter) ------------------------------------------
+
+
+def _v1(spark: SparkSession, d: str) -> DataFrame:
+    # Customers left uncleaned so NULL and repeated ids reach the validator.
+    src = _dirty(spark, d)
+    enriched = E.enrich_customers(src["customers"], C.clean_orders(src["orders"]), as_of=AS_OF, clean=False)
+    return V.validate_enriched_customers(enriched)
+
+
+register(
+    "v1_validate_enriched_customers",
+    DIRTY + sql.unclean_customers_ctes()
+    + sql.keyed_validation("enriched_customers", '"Customer ID"', sql.V1_CHECKS, "null_customer_id",
+                           "duplicate_customer_id"),
+)(_v1)
+register(
+    "v2_validate_enriched_products",
+    DIRTY + sql.enriched_products_ctes()
+    + sql.keyed_validation("enriched_products", '"Product ID"', sql.V2_CHECKS, "null_product_id",
+                           "duplicate_product_id"),
+)(lambda spark, d: V.validate_enriched_products(P.enrich_products(*_dirty_pair(spark, d))))
+
+
+def _dirty_pair(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    src = _dirty(spark, d)
+    return src["products"], src["orders"]
+
+
+def _v3(spark: SparkSession, d: str) -> DataFrame:
+    src = _dirty(spark, d)
+    return V.validate_enriched_orders(O.enriched_orders(src["orders"], src["customers"], src["products"]),
+                                      src["orders"])
+
+
+register("v3_validate_enriched_orders", DIRTY + sql.v3_sql())(_v3)
+
+
+def _v4(spark: SparkSession, d: str) -> DataFrame:
+    enriched = _enriched(spark, d, dirty=True)
+    return V.validate_profit_summary(A.profit_summary(enriched), enriched)
+
+
+register("v4_validate_profit_summary", DIRTY + sql.v4_sql())(_v4)
+register("v5_validate_profit_aggregate", DIRTY + sql.v5_sql())(
+    lambda spark, d: V.validate_profit_aggregate(A.profit_by_year(_enriched(spark, d, dirty=True)))
+)
+
+# --- Q: table profiles (clean adapter) --------------------------------------
+
+for _kind in ["customers", "orders", "products"]:
+    register(f"q1_profile_{_kind}", CLEAN + sql.profile_sql(_kind))(
+        lambda spark, d, kind=_kind: Q.profile(td.sources(spark, d)[kind], kind)
+    )

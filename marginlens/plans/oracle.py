@@ -323,3 +323,254 @@ def enriched_products_sql() -> str:
         FROM tiered LEFT JOIN sold USING ("Product ID")),
   enriched_products AS (SELECT *, {VELOCITY} AS inventory_velocity FROM j)
 SELECT * FROM enriched_products"""
+
+
+# --- reports ----------------------------------------------------------------
+
+def round_double(expr: str) -> str:
+    """Spark's ``round(double, 2)``: HALF_UP on the value's decimal text."""
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,10)), 2) AS DOUBLE)"
+
+
+def exact_sum(col: str) -> str:
+    return f"SUM({money(col)})"
+
+
+def mean(col: str) -> str:
+    return f"CAST({exact_sum(col)} AS DOUBLE) / COUNT({col})"
+
+
+SUMMARY_KEYS_ASC = '"Year" ASC NULLS FIRST, "Category" ASC NULLS FIRST, "Sub-Category" ASC NULLS FIRST, ' \
+                   '"Customer Name" ASC NULLS FIRST'
+
+
+def with_aggregates() -> str:
+    """Extra CTEs: the summary and the four aggregates over ``enriched``."""
+    return f""",
+  summary AS ({profit_summary_sql()}),
+  by_year AS ({aggregate_sql(["Year"])}),
+  by_year_category AS ({aggregate_sql(["Year", "Category"])}),
+  by_customer AS ({aggregate_sql(["Customer Name"])}),
+  by_customer_year AS ({aggregate_sql(["Customer Name", "Year"])})
+"""
+
+
+TP = '"Total_Profit"'
+BY_CUSTOMER_ORDER = '"Total_Profit" DESC NULLS LAST, "Customer Name" ASC NULLS FIRST'
+
+REPORT_SQL = {
+    "r1": f"""SELECT {round_money(exact_sum(TP))} AS Total_Profit_All_Groups,
+       {round_double(mean(TP))} AS Average_Profit_Per_Group,
+       {round_money(f"CAST(MAX({TP}) AS DECIMAL(18,4))")} AS Max_Profit_Group,
+       {round_money(f"CAST(MIN({TP}) AS DECIMAL(18,4))")} AS Min_Profit_Group,
+       COUNT(*) AS Total_Groups FROM summary""",
+    "r2": f"""SELECT "Year", {round_money(exact_sum(TP))} AS Yearly_Profit, COUNT(*) AS Groups_Per_Year
+       FROM summary GROUP BY "Year" """,
+    "r3": f"""SELECT "Category", {round_money(exact_sum(TP))} AS Category_Profit, COUNT(*) AS Groups_Per_Category
+       FROM summary GROUP BY "Category" """,
+    "r4": f"SELECT * FROM summary ORDER BY {TP} DESC NULLS LAST, {SUMMARY_KEYS_ASC} LIMIT 5",
+    "r5": f"SELECT * FROM summary ORDER BY {TP} ASC NULLS LAST, {SUMMARY_KEYS_ASC} LIMIT 5",
+    "r6": f"""SELECT "Year", CAST({exact_sum(TP)} AS DOUBLE) AS Total_Profit, COUNT(*) AS Groups
+       FROM summary GROUP BY "Year" """,
+    "r7": f"""SELECT "Customer Name", CAST({exact_sum(TP)} AS DOUBLE) AS Total_Customer_Profit,
+       COUNT(*) AS Order_Groups FROM summary GROUP BY "Customer Name"
+       ORDER BY Total_Customer_Profit DESC NULLS LAST, "Customer Name" ASC NULLS FIRST LIMIT 10""",
+    "r8": f"""SELECT "Category", "Sub-Category", CAST({exact_sum(TP)} AS DOUBLE) AS Total_Profit, COUNT(*) AS Groups
+       FROM summary GROUP BY "Category", "Sub-Category" """,
+    "r14": f"SELECT * FROM by_customer ORDER BY {BY_CUSTOMER_ORDER} LIMIT 10",
+    "r15_year": 'SELECT * FROM by_year ORDER BY "Year" ASC NULLS FIRST LIMIT 10',
+    "r15_year_category": 'SELECT * FROM by_year_category ORDER BY "Year" ASC NULLS FIRST, '
+                         '"Category" ASC NULLS FIRST LIMIT 15',
+    "r15_customer_year": 'SELECT * FROM by_customer_year ORDER BY "Year" ASC NULLS FIRST, '
+                         '"Customer Name" ASC NULLS FIRST LIMIT 15',
+    "r16": f"""SELECT *, {round_money(f'SUM({money(TP)}) OVER (PARTITION BY "Customer Name")')}
+         AS Customer_Total_Profit
+       FROM by_customer_year WHERE "Customer Name" IN (
+         SELECT "Customer Name" FROM by_customer ORDER BY {BY_CUSTOMER_ORDER} LIMIT 5)""",
+    "r17": f"""SELECT {round_money(exact_sum(TP))} AS Total_Profit, CAST(SUM("Order_Count") AS BIGINT) AS Total_Orders,
+       {round_double(mean(TP))} AS Average_Profit_Per_Year FROM by_year""",
+    "r18": f"""SELECT COUNT(*) AS Total_Customers, {round_double(mean(TP))} AS Average_Customer_Profit,
+       MAX({TP}) AS Max_Customer_Profit, MIN({TP}) AS Min_Customer_Profit FROM by_customer""",
+    "r19": f"""SELECT "Category", {round_money(exact_sum(TP))} AS Category_Profit
+       FROM by_year_category GROUP BY "Category" """,
+}
+
+CUSTOMER_REPORT_SQL = {
+    "r9": f"""SELECT "Customer ID", "Customer Name", {round_double("average_order_value")} AS average_order_value
+       FROM enriched_customers
+       ORDER BY average_order_value DESC NULLS LAST, "Customer ID" ASC NULLS FIRST LIMIT 5""",
+    "r10": """SELECT "Customer ID", "Customer Name", unique_products_purchased FROM enriched_customers
+       ORDER BY unique_products_purchased DESC NULLS LAST, "Customer ID" ASC NULLS FIRST LIMIT 5""",
+    "r11": """SELECT "Customer ID", "Customer Name", days_since_last_order, churn_risk_score FROM enriched_customers
+       WHERE days_since_last_order IS NOT NULL
+       ORDER BY days_since_last_order DESC, "Customer ID" ASC NULLS FIRST LIMIT 5""",
+}
+
+
+# --- previews ---------------------------------------------------------------
+
+CUSTOMER_COLUMNS = ['"Customer ID"', *CUSTOMER_TIEBREAK]
+ORDER_COLUMNS = ['"Row ID"', '"Order ID"', '"Order Date"', '"Ship Date"', '"Ship Mode"', '"Customer ID"',
+                 '"Product ID"', '"Quantity"', '"Price"', '"Discount"', '"Profit"']
+PRODUCT_COLUMNS = ['"Product ID"', *PRODUCT_TIEBREAK]
+ENRICHED_ORDER_COLUMNS = ['"Order ID"', '"Order Date"', '"Ship Date"', '"Ship Mode"', '"Customer Name"',
+                          '"Country"', '"Category"', '"Sub-Category"', '"Product Name"', '"Quantity"', '"Price"',
+                          '"Discount"', '"Profit"']
+CUSTOMER_METRIC_COLUMNS = ["total_sales", "total_profit", "total_orders", "average_order_value",
+                           "unique_products_purchased", "days_since_last_order", "churn_risk_score"]
+PRODUCT_METRIC_COLUMNS = ["price_tier", "price_position", "total_quantity_sold", "inventory_velocity"]
+
+
+def preview(source: str, columns: list[str], keys: list[str], select: list[str] | None, n: int) -> str:
+    rest = [c for c in columns if c not in keys]
+    cols = ", ".join(select) if select else "*"
+    return f"SELECT {cols} FROM {source} ORDER BY {order_by(keys + rest)} LIMIT {n}"
+
+
+PREVIEW_SQL = {
+    "r12_raw_customers_preview": preview("raw_customers_vw", CUSTOMER_COLUMNS, ['"Customer ID"'],
+                                         ['"Customer ID"', '"Customer Name"', '"Country"'], 3),
+    "r12_raw_orders_preview": preview("raw_orders_vw", ORDER_COLUMNS, ['"Order ID"', '"Row ID"', '"Product ID"'],
+                                      ['"Order ID"', '"Customer ID"', '"Product ID"', '"Quantity"'], 3),
+    "r12_raw_products_preview": preview("raw_products_vw", PRODUCT_COLUMNS, ['"Product ID"'],
+                                        ['"Product ID"', '"Category"', '"Sub-Category"', '"Product Name"'], 3),
+    "r13_enriched_customers_preview": preview("enriched_customers", CUSTOMER_COLUMNS + CUSTOMER_METRIC_COLUMNS,
+                                              ['"Customer ID"'], None, 5),
+    "r13_enriched_products_preview": preview("enriched_products", PRODUCT_COLUMNS + PRODUCT_METRIC_COLUMNS,
+                                             ['"Product ID"'], None, 5),
+    "r13_enriched_orders_preview": preview("enriched", ENRICHED_ORDER_COLUMNS, ['"Order ID"'], None, 5),
+}
+
+RAW_VIEW_CTES = """,
+  raw_customers_vw AS (SELECT * FROM src_customers),
+  raw_orders_vw AS (SELECT * FROM src_orders),
+  raw_products_vw AS (SELECT * FROM src_products)
+"""
+
+
+# --- validators -------------------------------------------------------------
+
+def report_rows(source: str, checks: list[str], passed: dict[str, str] | None = None) -> str:
+    passed = passed or {}
+    return "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS "check", CAST({c} AS BIGINT) AS violations, {passed.get(c, f"{c} = 0")} AS passed
+        FROM {source}"""
+        for c in checks
+    )
+
+
+def _invalid(col: str, allowed: list[str]) -> str:
+    values = ", ".join(f"'{v}'" for v in allowed)
+    return f"{col} IS NOT NULL AND {col} NOT IN ({values})"
+
+
+def keyed_validation(source: str, key: str, checks: dict[str, str], null_name: str, dup_name: str) -> str:
+    per_key = ", ".join(f"COUNT_IF({cond}) AS {name}" for name, cond in checks.items())
+    sums = ", ".join(f"COALESCE(SUM({name}), 0) AS {name}" for name in checks)
+    return f""",
+  v_key AS (SELECT {key} AS k, COUNT(*) AS n, {per_key} FROM {source} GROUP BY {key}),
+  v_one AS (SELECT COALESCE(SUM(CASE WHEN k IS NULL THEN n END), 0) AS {null_name},
+                   COUNT_IF(n > 1) AS {dup_name}, {sums} FROM v_key)
+{report_rows("v_one", [null_name, dup_name, *checks])}"""
+
+
+V1_CHECKS = {
+    "negative_sales_or_profit": "total_sales < 0 OR total_profit < 0",
+    "invalid_churn_risk_score": _invalid("churn_risk_score", ["Low Risk", "Medium Risk", "High Risk"]),
+}
+V2_CHECKS = {
+    "negative_quantity": "total_quantity_sold < 0",
+    "invalid_price_position": _invalid("price_position", ["Premium", "Mid-Range", "Budget"]),
+    "invalid_inventory_velocity": _invalid("inventory_velocity", ["Fast Moving", "Medium Moving", "Slow Moving"]),
+}
+
+V3_NULLS = {"null_order_id": '"Order ID"', "null_customer_name": '"Customer Name"',
+            "null_product_name": '"Product Name"', "null_order_date": '"Order Date"'}
+
+
+def v3_sql() -> str:
+    counts = ", ".join(f"COUNT_IF({c} IS NULL) AS {n}" for n, c in V3_NULLS.items())
+    return f""",
+  v_one AS (SELECT (SELECT COUNT(*) FROM src_orders) - COUNT(*) AS row_count_mismatch, {counts},
+                   COUNT_IF("Quantity" <= 0) AS non_positive_quantity, COUNT_IF("Price" < 0) AS negative_price
+            FROM enriched)
+{report_rows("v_one", ["row_count_mismatch", *V3_NULLS, "non_positive_quantity", "negative_price"])}"""
+
+
+def v4_sql() -> str:
+    keys = {"null_year": '"Year"', "null_category": '"Category"', "null_sub_category": '"Sub-Category"',
+            "null_customer_name": '"Customer Name"'}
+    nulls = ", ".join(f"COALESCE(SUM(CASE WHEN {c} IS NULL THEN n END), 0) AS {name}" for name, c in keys.items())
+    names = [*keys, "duplicate_rows", "null_total_profit", "non_positive_order_count", "summary_exceeds_source"]
+    return f""",
+  summary AS ({profit_summary_sql()}),
+  v_key AS (SELECT "Year", "Category", "Sub-Category", "Customer Name", COUNT(*) AS n,
+                   COUNT_IF("Total_Profit" IS NULL) AS ntp, COUNT_IF("Order_Count" <= 0) AS npo
+            FROM summary GROUP BY ALL),
+  v_one AS (SELECT {nulls}, COALESCE(SUM(n), 0) - COUNT(*) AS duplicate_rows,
+                   COALESCE(SUM(ntp), 0) AS null_total_profit, COALESCE(SUM(npo), 0) AS non_positive_order_count,
+                   GREATEST(COALESCE(SUM(n), 0) - (SELECT COUNT(*) FROM enriched), 0) AS summary_exceeds_source
+            FROM v_key)
+{report_rows("v_one", names)}"""
+
+
+def v5_sql() -> str:
+    return f""",
+  by_year AS ({aggregate_sql(["Year"])}),
+  v_one AS (SELECT COUNT(*) AS n, COUNT_IF("Total_Profit" IS NULL) AS null_total_profit,
+                   COUNT_IF("Order_Count" IS NULL) AS null_order_count,
+                   COUNT_IF("Order_Count" <= 0) AS non_positive_order_count,
+                   CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END AS empty_result,
+                   CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END AS valid FROM by_year)
+{report_rows("v_one", ["empty_result", "null_total_profit", "null_order_count", "non_positive_order_count",
+                        "valid"], passed={"valid": "n > 0"})}"""
+
+
+# --- profiles ---------------------------------------------------------------
+
+SOURCE_TYPES = {
+    "customers": [("Customer ID", "bigint"), ("Customer Name", "string"), ("email", "string"),
+                  ("phone", "string"), ("address", "string"), ("Segment", "string"), ("Country", "string"),
+                  ("City", "string"), ("State", "string"), ("Postal Code", "string"), ("Region", "string")],
+    "orders": [("Row ID", "bigint"), ("Order ID", "bigint"), ("Order Date", "string"), ("Ship Date", "string"),
+               ("Ship Mode", "string"), ("Customer ID", "bigint"), ("Product ID", "bigint"), ("Quantity", "int"),
+               ("Price", "double"), ("Discount", "double"), ("Profit", "double")],
+    "products": [("Product ID", "bigint"), ("Category", "string"), ("Sub-Category", "string"),
+                 ("Product Name", "string"), ("State", "string"), ("Price per product", "double")],
+}
+
+
+def profile_sql(table: str) -> str:
+    values = ", ".join(f"('{n}', {i}, '{t}')" for i, (n, t) in enumerate(SOURCE_TYPES[table], start=1))
+    return f"""
+SELECT '{table}' AS table_name, c.column_name, CAST(c.ordinal AS INTEGER) AS ordinal, c.data_type,
+       cnt.record_count, 'Passed' AS status
+FROM (SELECT COUNT(*) AS record_count FROM src_{table}) cnt,
+     (VALUES {values}) AS c(column_name, ordinal, data_type)"""
+
+
+def enriched_customers_ctes() -> str:
+    return f""",
+  {customer_metrics_cte()},
+  enriched_customers AS (SELECT * FROM cln_customers LEFT JOIN m USING ("Customer ID"))
+"""
+
+
+def enriched_products_ctes() -> str:
+    return f""",
+  {tiered_cte()},
+  {SOLD},
+  ep_j AS (SELECT * REPLACE (COALESCE("Price per product", 0) AS "Price per product",
+                             COALESCE(price_tier, 0) AS price_tier,
+                             COALESCE(total_quantity_sold, 0) AS total_quantity_sold)
+           FROM tiered LEFT JOIN sold USING ("Product ID")),
+  enriched_products AS (SELECT *, {VELOCITY} AS inventory_velocity FROM ep_j)
+"""
+
+
+def unclean_customers_ctes() -> str:
+    """Enriched customers without customer cleaning (NULL and repeated ids kept)."""
+    return f""",
+  {customer_metrics_cte()},
+  enriched_customers AS (SELECT * FROM src_customers LEFT JOIN m USING ("Customer ID"))
+"""
