@@ -50,11 +50,11 @@ def as_of_column(as_of: Column | _dt.date | str | None) -> Column:
     return F.lit(as_of)
 
 
-def _prepare(orders: DataFrame, clean: bool) -> tuple[DataFrame, bool]:
+def _prepare(orders: DataFrame, clean: bool, deduplicated: bool = False) -> tuple[DataFrame, bool]:
     """Cleaned orders and whether ``Order ID`` is known to be unique."""
     if clean:
         return clean_orders(orders), s.ORDER_ID in orders.columns
-    return orders, False
+    return orders, deduplicated
 
 
 def _order_count(deduped: bool, condition: Column | None = None) -> Column:
@@ -126,14 +126,15 @@ def churn_risk(
     return _attach(customers, metrics)
 
 
-def customer_metrics(orders: DataFrame, as_of=None, clean: bool = True) -> DataFrame:
+def customer_metrics(orders: DataFrame, as_of=None, clean: bool = True, deduplicated: bool = False) -> DataFrame:
     """All E1-E4 metrics per ``Customer ID`` in one aggregation.
 
     E1 only looks at lines with ``Price >= 0``: its sums are conditional and
     its order count is NULL (not 0) when no line qualifies, which is what the
-    separate left join produces.
+    separate left join produces.  ``deduplicated`` (with ``clean=False``)
+    declares the orders already went through :func:`clean_orders`.
     """
-    lines, deduped = _prepare(orders, clean)
+    lines, deduped = _prepare(orders, clean, deduplicated)
     valid = _c(s.PRICE) >= 0
     return lines.groupBy(s.CUSTOMER_ID).agg(
         money_out(F.sum(F.when(valid, money(s.PRICE)))).alias("total_sales"),
@@ -146,8 +147,8 @@ def customer_metrics(orders: DataFrame, as_of=None, clean: bool = True) -> DataF
 
 
 def enrich_customers(
-    customers: DataFrame, orders: DataFrame, as_of=None, clean: bool = True
+    customers: DataFrame, orders: DataFrame, as_of=None, clean: bool = True, deduplicated: bool = False
 ) -> DataFrame:
     """E5: cleaned customers with all seven metric columns (E1 -> E4 fused)."""
     base = clean_customers(customers) if clean else customers
-    return _attach(base, customer_metrics(orders, as_of=as_of, clean=clean))
+    return _attach(base, customer_metrics(orders, as_of=as_of, clean=clean, deduplicated=deduplicated))

@@ -319,3 +319,52 @@ for _kind in ["customers", "orders", "products"]:
     register(f"q1_profile_{_kind}", CLEAN + sql.profile_sql(_kind))(
         lambda spark, d, kind=_kind: Q.profile(td.sources(spark, d)[kind], kind)
     )
+
+# --- S: file sources (round trips through Spark's own writers) --------------
+
+from pyspark.sql.types import LongType, StructField, StructType  # noqa: E402
+
+from marginlens.plans.pipeline import run_pipeline  # noqa: E402
+from marginlens.plans.session import shared_scratch  # noqa: E402
+from marginlens.schemas import ORDERS_SCHEMA  # noqa: E402
+from marginlens.sources import files  # noqa: E402
+
+# The adapter's Row ID is a bigint ordering key; the declared schema is kept
+# otherwise (ids and dates read back as text).
+ORDERS_SCHEMA_BIGINT_ROW_ID = StructType([StructField("Row ID", LongType(), True), *ORDERS_SCHEMA.fields[1:]])
+
+
+def _s2(spark: SparkSession, d: str) -> DataFrame:
+    out = shared_scratch(spark, "orders-json")
+    td.orders(spark, d, dirty=True).write.mode("overwrite").json(out)
+    return files.read_orders(spark, out, multi_line=False, schema=ORDERS_SCHEMA_BIGINT_ROW_ID)
+
+
+def _s3(spark: SparkSession, d: str) -> DataFrame:
+    out = shared_scratch(spark, "products-csv")
+    td.products(spark, d, dirty=True).write.mode("overwrite").option("header", True).csv(out)
+    return files.read_products(spark, out)
+
+
+register("s2_json_orders_roundtrip", DIRTY + sql.S2_ROUNDTRIP)(_s2)
+register("s3_csv_products_roundtrip", DIRTY + sql.S3_ROUNDTRIP)(_s3)
+
+# --- P: the end-to-end pipeline, output by output (dirty adapter) -----------
+
+
+def _pipeline_output(name: str):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        src = _dirty(spark, d)
+        return run_pipeline(src["customers"], src["orders"], src["products"], as_of=AS_OF)[name]
+
+    return run
+
+
+for _name, _sql in [
+    ("enriched_customers", sql.enriched_customers_ctes() + "SELECT * FROM enriched_customers"),
+    ("enriched_products", sql.enriched_products_ctes() + "SELECT * FROM enriched_products"),
+    ("enriched_orders", "SELECT * FROM enriched"),
+    ("profit_summary", sql.profit_summary_sql()),
+    ("profit_by_customer_year", sql.aggregate_sql(["Customer Name", "Year"])),
+]:
+    register(f"p1_pipeline_{_name}", DIRTY + _sql)(_pipeline_output(_name))

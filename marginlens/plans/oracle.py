@@ -574,3 +574,16 @@ def unclean_customers_ctes() -> str:
   {customer_metrics_cte()},
   enriched_customers AS (SELECT * FROM src_customers LEFT JOIN m USING ("Customer ID"))
 """
+
+
+# --- source round trips -----------------------------------------------------
+
+S2_ROUNDTRIP = """
+SELECT "Row ID", CAST("Order ID" AS VARCHAR) AS "Order ID", "Order Date", "Ship Date", "Ship Mode",
+       CAST("Customer ID" AS VARCHAR) AS "Customer ID", CAST("Product ID" AS VARCHAR) AS "Product ID",
+       "Quantity", "Price", "Discount", "Profit"
+FROM src_orders"""
+S3_ROUNDTRIP = """
+SELECT CAST("Product ID" AS VARCHAR) AS "Product ID", "Category", "Sub-Category", "Product Name", "State",
+       "Price per product"
+FROM src_products"""

@@ -19,6 +19,7 @@ def local_session(
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -41,3 +42,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="marginlens-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def shared_scratch(spark: SparkSession, label: str) -> str:
+    """A fresh folder under the session's checkpoint directory (shared storage
+    on a cluster) for intermediate files such as round-trip exports."""
+    import uuid
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/marginlens-{label}-{uuid.uuid4().hex}"

@@ -44,6 +44,18 @@ def _null(type_name: str = "string") -> Column:
     return F.lit(None).cast(type_name)
 
 
+def _dmy(ts: str) -> Column:
+    """``date_format(ts, 'd/M/yyyy')`` from integer fields (no formatter per row)."""
+    return F.concat_ws(
+        "/", F.dayofmonth(ts).cast("string"), F.month(ts).cast("string"), F.lpad(F.year(ts).cast("string"), 4, "0")
+    )
+
+
+def _cents(column: str) -> Column:
+    """A 2-decimal double as its exact integer number of hundredths."""
+    return F.rint(F.col(column) * 100).cast("long")
+
+
 def customers(spark: SparkSession, sf_dir: str, dirty: bool = False, raw_names: bool = False) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
@@ -119,7 +131,7 @@ def orders(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     lines = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     order_id = F.col("l_orderkey")
-    ship_date = F.date_format("l_shipdate", s.DATE_PATTERN)
+    ship_date = _dmy("l_shipdate")
     customer_id = F.col("o_custkey")
     product_id = F.col("l_partkey")
     if dirty:
@@ -135,16 +147,18 @@ def orders(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
             .otherwise(customer_id)
         )
         product_id = F.when(F.col("l_partkey") % 31 == 0, _null("bigint")).otherwise(product_id)
-    profit = F.col("l_extendedprice").cast("decimal(12,2)") * (
-        F.lit(PROFIT_MARGIN) - F.col("l_discount").cast("decimal(4,2)")
-    )
+    # decimal(price) * (0.05 - decimal(discount)) has four decimals; computed on
+    # integer hundredths and divided once, it is the same double as the decimal
+    # cast (both are the correctly rounded quotient of two exact integers).
+    margin_hundredths = int(PROFIT_MARGIN * 100)
+    profit = (_cents("l_extendedprice") * (F.lit(margin_hundredths) - _cents("l_discount"))) / F.lit(10000.0)
     row_id = (
         F.col("l_linenumber").cast("bigint") * ROW_ID_LINE + F.col("l_partkey") * ROW_ID_PART + F.col("l_suppkey")
     )
     return lines.select(
         row_id.alias(s.ROW_ID),
         order_id.alias(s.ORDER_ID),
-        F.date_format("o_orderdate", s.DATE_PATTERN).alias(s.ORDER_DATE),
+        _dmy("o_orderdate").alias(s.ORDER_DATE),
         ship_date.alias(s.SHIP_DATE),
         F.col("o_orderpriority").alias(s.SHIP_MODE),
         customer_id.alias(s.CUSTOMER_ID),
@@ -152,7 +166,7 @@ def orders(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
         F.col("l_quantity").cast("int").alias(s.QUANTITY),
         F.col("l_extendedprice").alias(s.PRICE),
         F.col("l_discount").alias(s.DISCOUNT),
-        profit.cast("double").alias(s.PROFIT),
+        profit.alias(s.PROFIT),
     )
 
 
