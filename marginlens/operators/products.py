@@ -5,14 +5,14 @@ prices first, ``Product ID`` breaking ties so the result is deterministic).
 
 ``ntile`` over ``Window.partitionBy(Category)`` puts a whole category in one
 task.  With a handful of categories and billions of products that task is
-the job.  ``method="range"`` computes the same tiers from a distributed
-rank instead:
-
-1. range-partition the products by (category, price, id) and sort inside
-   each partition, so partitions hold consecutive runs of the global order;
-2. number the rows inside each partition (``monotonically_increasing_id``)
-   and materialise those numbers with a hash shuffle on (partition,
-   category), so every later reader sees the same values;
+the job.  ``method="range"`` (the default) computes the same tiers from a
+distributed rank instead:
+
+1. range-partition the products by (category, price, id, other columns)
+   into a fixed number of partitions and sort inside each partition, so
+   partitions hold consecutive runs of the global order;
+2. number the rows inside each partition (``monotonically_increasing_id``
+   carries the partition index and the position);
 3. count rows per (partition, category) - a table no larger than
    partitions + categories - and turn the counts into per-category prefix
    offsets and totals with a small window;
@@ -20,8 +20,17 @@ rank instead:
    ``m = n mod 4`` the first ``m`` tiers hold ``q + 1`` rows and the rest
    ``q``, which is how ``ntile`` deals rows out.
 
-Only step 1's sample and step 3's small table depend on the number of
-categories; nothing is collected to the driver.
+Steps 3 and 4 read the numbered rows twice.  Spark does not share work that
+carries a nondeterministic expression, and its range partitioner seeds the
+sample it draws its bounds from with the id of the RDD being built, so two
+evaluations could cut the ranges differently and disagree on positions.
+The numbered rows are therefore written once as a reliable checkpoint in
+the session's ``spark.checkpoint.dir`` (shared storage on a cluster) and
+both readers use that copy.  This one write happens when the function is
+called; it also means a lost executor cannot renumber anything.
+
+Nothing is collected to the driver; only the sample and the small counts
+table grow with the number of categories.
 """
 
 from __future__ import annotations
@@ -31,15 +40,19 @@ from pyspark.sql import functions as F
 
 from marginlens import schemas as s
 from marginlens.functions.labels import price_position_label, velocity_label
-from marginlens.operators.cleaning import clean_orders, clean_products
+from marginlens.operators.cleaning import clean_orders, clean_products, tiebreak_order
+from marginlens.plans.session import ensure_checkpoint_dir
 
 
 def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _tier_order() -> list[Column]:
-    return [_c(s.UNIT_PRICE).asc_nulls_first(), _c(s.PRODUCT_ID).asc_nulls_first()]
+def _tier_order(df: DataFrame) -> list[Column]:
+    """Price (NULL first), then ``Product ID``, then the remaining columns so
+    the order is total even if ids repeat."""
+    head = [_c(s.UNIT_PRICE).asc_nulls_first(), _c(s.PRODUCT_ID).asc_nulls_first()]
+    return head + tiebreak_order(df, [s.CATEGORY, s.UNIT_PRICE, s.PRODUCT_ID])
 
 
 def _with_position(df: DataFrame) -> DataFrame:
@@ -47,7 +60,7 @@ def _with_position(df: DataFrame) -> DataFrame:
 
 
 def _tiers_window(products: DataFrame) -> DataFrame:
-    window = Window.partitionBy(_c(s.CATEGORY)).orderBy(*_tier_order())
+    window = Window.partitionBy(_c(s.CATEGORY)).orderBy(*_tier_order(products))
     return products.withColumn("price_tier", F.ntile(s.PRICE_TIERS).over(window))
 
 
@@ -67,22 +80,25 @@ def ntile_from_rank(rank: Column, total: Column, buckets: int = s.PRICE_TIERS) -
 _POS, _PART, _CK, _CN = "__pos", "__part", "__cat_key", "__cat_null"
 
 
-def _tiers_range(products: DataFrame) -> DataFrame:
-    order = [_c(s.CATEGORY).asc_nulls_first(), *_tier_order()]
+def _tiers_range(products: DataFrame, partitions: int | None = None) -> DataFrame:
+    order = [_c(s.CATEGORY).asc_nulls_first(), *_tier_order(products)]
+    if partitions is None:
+        partitions = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Category as a plain equi-join key: its text plus a NULL flag, so a NULL
     # category is a group of its own (as in the window) and '' stays distinct.
     run_key = [F.col(_PART), F.col(_CK), F.col(_CN)]
     numbered = (
-        products.repartitionByRange(*order)
+        products.repartitionByRange(partitions, *order)
         .sortWithinPartitions(*order)
         .withColumn(_POS, F.monotonically_increasing_id())
         .withColumn(_PART, F.shiftright(F.col(_POS), 33))
         .withColumn(_CK, F.coalesce(_c(s.CATEGORY).cast("string"), F.lit("")))
         .withColumn(_CN, _c(s.CATEGORY).isNull())
-        # Materialise the numbering: both readers below reuse this shuffle,
-        # and it is already partitioned on the join key.
+        # Partitioned on the join key, so the join below does not move it again.
         .repartition(*run_key)
     )
+    ensure_checkpoint_dir(products.sparkSession)
+    numbered = numbered.checkpoint(eager=True)
     runs = numbered.groupBy(*run_key).agg(F.count(F.lit(1)).alias("__run"), F.min(_POS).alias("__first"))
     by_category = Window.partitionBy(F.col(_CK), F.col(_CN))
     before = by_category.orderBy(F.col(_PART)).rowsBetween(Window.unboundedPreceding, -1)
@@ -99,11 +115,12 @@ def _tiers_range(products: DataFrame) -> DataFrame:
     )
 
 
-def classify_price_level(products: DataFrame, clean: bool = True, method: str = "window") -> DataFrame:
+def classify_price_level(products: DataFrame, clean: bool = True, method: str = "range") -> DataFrame:
     """``price_tier`` (1-4) and ``price_position`` within each category.
 
-    ``method="window"`` is the plain ``ntile`` window; ``method="range"`` gives
-    the same result without a single task per category (module docstring).
+    ``method="window"`` is the plain ``ntile`` window (one task per category);
+    ``method="range"`` gives the same result without that bottleneck and
+    writes one checkpoint when called (module docstring).
     """
     df = clean_products(products) if clean else products
     if method == "window":
@@ -137,7 +154,7 @@ def sales_velocity(
     return filled.withColumn("inventory_velocity", velocity_label(F.col("total_quantity_sold"), fast, medium))
 
 
-def enrich_products(products: DataFrame, orders: DataFrame, method: str = "window") -> DataFrame:
+def enrich_products(products: DataFrame, orders: DataFrame, method: str = "range") -> DataFrame:
     """Price tiers (computed before the zero fill), then sales velocity."""
     tiered = classify_price_level(products, method=method)
     # The tiered frame is already cleaned; only the orders still need it.

@@ -144,7 +144,7 @@ register("e5_enriched_customers", DIRTY + sql.enriched_customers_sql())(
     _customers_q(lambda c, o: E.enrich_customers(c, o, as_of=AS_OF))
 )
 register("e6_price_tier", DIRTY + sql.price_tier_sql())(
-    lambda spark, d: P.classify_price_level(td.products(spark, d, dirty=True))
+    lambda spark, d: P.classify_price_level(td.products(spark, d, dirty=True), method="window")
 )
 register("e6_price_tier_range", DIRTY + sql.price_tier_sql())(
     lambda spark, d: P.classify_price_level(td.products(spark, d, dirty=True), method="range")

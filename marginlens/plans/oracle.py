@@ -289,7 +289,9 @@ def tiered_cte() -> str:
     return f"""tiered AS (
     SELECT *, {PRICE_POSITION} AS price_position FROM (
       SELECT *, CAST(ntile(4) OVER (PARTITION BY "Category"
-                     ORDER BY "Price per product" ASC NULLS FIRST, "Product ID" ASC NULLS FIRST) AS INTEGER)
+                     ORDER BY "Price per product" ASC NULLS FIRST, "Product ID" ASC NULLS FIRST,
+                              "Sub-Category" ASC NULLS FIRST, "Product Name" ASC NULLS FIRST,
+                              "State" ASC NULLS FIRST) AS INTEGER)
              AS price_tier
       FROM cln_products))"""
 

@@ -46,7 +46,7 @@ def run_pipeline(
     orders: DataFrame,
     products: DataFrame,
     as_of=None,
-    tier_method: str = "window",
+    tier_method: str = "range",
     materialize: bool = False,
 ) -> dict[str, DataFrame]:
     """All outputs, keyed by name.  ``as_of`` fixes the recency date (default: today)."""
