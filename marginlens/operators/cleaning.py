@@ -36,7 +36,12 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def tiebreak_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+def quote(name: str) -> str:
+    """A column name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def tiebreak_names(df: DataFrame, keys: Sequence[str]) -> list[str]:
     """``Row ID`` first (if present), then every other orderable column."""
     rest = [
         f.name
@@ -46,15 +51,32 @@ def tiebreak_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     if s.ROW_ID in rest:
         rest.remove(s.ROW_ID)
         rest.insert(0, s.ROW_ID)
-    return [_c(n).asc_nulls_first() for n in rest]
+    return rest
+
+
+def tiebreak_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    return [_c(n).asc_nulls_first() for n in tiebreak_names(df, keys)]
+
+
+def _order_sql(names: Sequence[str]) -> str:
+    return ", ".join(f"{quote(n)} ASC NULLS FIRST" for n in names)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
-    """One row per key combination: the first by ``order`` (deterministic)."""
+    """One row per key combination: the first by ``order`` (deterministic).
+
+    The default order is written as one SQL window expression, which the JVM
+    parses in a single call instead of one call per column.
+    """
     keys = list(keys)
-    order = list(order) if order is not None else tiebreak_order(df, keys)
-    window = Window.partitionBy(*[_c(k) for k in keys]).orderBy(*order)
-    return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
+    if order is None:
+        rank = F.expr(
+            f"row_number() OVER (PARTITION BY {', '.join(quote(k) for k in keys)} "
+            f"ORDER BY {_order_sql(tiebreak_names(df, keys))})"
+        )
+    else:
+        rank = F.row_number().over(Window.partitionBy(*[_c(k) for k in keys]).orderBy(*order))
+    return df.withColumn(_RANK, rank).filter(f"{_RANK} = 1").drop(_RANK)
 
 
 # --- single rules -----------------------------------------------------------

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginlens import schemas as s
-from marginlens.functions.money import money, round_money
-from marginlens.operators.cleaning import clean_customers, clean_orders, clean_products
+from marginlens.operators.cleaning import clean_customers, clean_orders, clean_products, quote
+from marginlens.schemas import MONEY
 
 
 def _c(name: str) -> Column:
@@ -31,9 +31,12 @@ def enriched_orders(
     customer_cols = customers.select(s.CUSTOMER_ID, s.CUSTOMER_NAME, s.COUNTRY)
     product_cols = products.select(s.PRODUCT_ID, s.CATEGORY, s.SUB_CATEGORY, s.PRODUCT_NAME)
     joined = orders.join(customer_cols, s.CUSTOMER_ID, "inner").join(product_cols, s.PRODUCT_ID, "inner")
-    return joined.withColumn(s.PROFIT, round_money(money(s.PROFIT))).select(
-        *[_c(c) for c in s.ENRICHED_ORDER_COLUMNS]
-    )
+    # One projection: the 12 kept columns and the profit rounded to cents
+    # (HALF_UP on the exact decimal, as ``round_money``).
+    return joined.selectExpr(
+        *[quote(c) for c in s.ENRICHED_ORDER_COLUMNS if c != s.PROFIT],
+        f"CAST(ROUND(CAST({quote(s.PROFIT)} AS {MONEY.simpleString()}), 2) AS DOUBLE) AS {quote(s.PROFIT)}",
+    ).select(*s.ENRICHED_ORDER_COLUMNS)
 
 
 def profitable_orders(enriched: DataFrame) -> DataFrame:

@@ -25,10 +25,9 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginlens import schemas as s
 
 # Fixed values of the adapter (shared with the DuckDB text in plans/oracle.py).
 NAME_FROM, NAME_TO = "#0123456789", " ABCDEFGHIJ"
@@ -36,137 +35,111 @@ ROW_ID_LINE, ROW_ID_PART = 10**12, 10**5
 PROFIT_MARGIN = Decimal("0.05")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Parquet schemas of the driver tables.  Declaring them skips the footer-
+# reading inference job Spark otherwise runs for every read.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+}
 
 
-def _null(type_name: str = "string") -> Column:
-    return F.lit(None).cast(type_name)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _dmy(ts: str) -> Column:
+def _dmy(ts: str) -> str:
     """``date_format(ts, 'd/M/yyyy')`` from integer fields (no formatter per row)."""
-    return F.concat_ws(
-        "/", F.dayofmonth(ts).cast("string"), F.month(ts).cast("string"), F.lpad(F.year(ts).cast("string"), 4, "0")
-    )
+    return (f"concat_ws('/', CAST(dayofmonth({ts}) AS STRING), CAST(month({ts}) AS STRING), "
+            f"lpad(CAST(year({ts}) AS STRING), 4, '0'))")
 
 
-def _cents(column: str) -> Column:
+def _cents(column: str) -> str:
     """A 2-decimal double as its exact integer number of hundredths."""
-    return F.rint(F.col(column) * 100).cast("long")
+    return f"CAST(rint({column} * 100) AS BIGINT)"
+
+
+_NULL = "CAST(NULL AS STRING)"
+
+
+def _customer_exprs(cid: str, name: str, segment: str) -> list[str]:
+    return [
+        f"{cid} AS `Customer ID`", f"{name} AS `Customer Name`", f"{_NULL} AS email", f"{_NULL} AS phone",
+        f"{_NULL} AS address", f"{segment} AS Segment", "n_name AS Country", f"{_NULL} AS City",
+        f"{_NULL} AS State", f"{_NULL} AS `Postal Code`", "r_name AS Region",
+    ]
 
 
 def customers(spark: SparkSession, sf_dir: str, dirty: bool = False, raw_names: bool = False) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    base = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left")
-    name = F.col("c_name") if raw_names else F.translate("c_name", NAME_FROM, NAME_TO)
-    cid = F.col("c_custkey")
-    if dirty:
-        cid = F.when(F.col("c_custkey") % 37 == 0, _null("bigint")).otherwise(cid)
-    out = base.select(
-        cid.alias(s.CUSTOMER_ID),
-        name.alias(s.CUSTOMER_NAME),
-        _null().alias("email"),
-        _null().alias("phone"),
-        _null().alias("address"),
-        F.col("c_mktsegment").alias("Segment"),
-        F.col("n_name").alias(s.COUNTRY),
-        _null().alias("City"),
-        _null().alias("State"),
-        _null().alias("Postal Code"),
-        F.col("r_name").alias("Region"),
-    )
+    base = c.join(n, F.expr("c_nationkey = n_nationkey"), "left").join(r, F.expr("n_regionkey = r_regionkey"), "left")
+    name = "c_name" if raw_names else f"translate(c_name, '{NAME_FROM}', '{NAME_TO}')"
+    cid = "CASE WHEN c_custkey % 37 = 0 THEN CAST(NULL AS BIGINT) ELSE c_custkey END" if dirty else "c_custkey"
+    out = base.selectExpr(*_customer_exprs(cid, name, "c_mktsegment"))
     if dirty:
         # A second copy of every 11th customer, raw name and another segment.
-        copies = base.filter(F.col("c_custkey") % 11 == 0).select(
-            F.col("c_custkey").alias(s.CUSTOMER_ID),
-            F.col("c_name").alias(s.CUSTOMER_NAME),
-            _null().alias("email"),
-            _null().alias("phone"),
-            _null().alias("address"),
-            F.lit("DUPLICATE").alias("Segment"),
-            F.col("n_name").alias(s.COUNTRY),
-            _null().alias("City"),
-            _null().alias("State"),
-            _null().alias("Postal Code"),
-            F.col("r_name").alias("Region"),
-        )
+        copies = base.filter("c_custkey % 11 = 0").selectExpr(*_customer_exprs("c_custkey", "c_name", "'DUPLICATE'"))
         out = out.unionByName(copies)
     return out
 
 
+def _product_exprs(pid: str, price: str) -> list[str]:
+    return [
+        f"{pid} AS `Product ID`", "p_type AS Category", "p_brand AS `Sub-Category`", "p_name AS `Product Name`",
+        f"{_NULL} AS State", f"{price} AS `Price per product`",
+    ]
+
+
 def products(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    pid = F.col("p_partkey")
-    price = F.col("p_retailprice")
-    if dirty:
-        pid = F.when(F.col("p_partkey") % 41 == 0, _null("bigint")).otherwise(pid)
-        price = F.when(F.col("p_partkey") % 43 == 0, _null("double")).otherwise(price)
-    out = p.select(
-        pid.alias(s.PRODUCT_ID),
-        F.col("p_type").alias(s.CATEGORY),
-        F.col("p_brand").alias(s.SUB_CATEGORY),
-        F.col("p_name").alias(s.PRODUCT_NAME),
-        _null().alias("State"),
-        price.alias(s.UNIT_PRICE),
-    )
-    if dirty:
-        # A second copy of every 13th product under a shifted price.
-        copies = p.filter(F.col("p_partkey") % 13 == 0).select(
-            F.col("p_partkey").alias(s.PRODUCT_ID),
-            F.col("p_type").alias(s.CATEGORY),
-            F.col("p_brand").alias(s.SUB_CATEGORY),
-            F.col("p_name").alias(s.PRODUCT_NAME),
-            _null().alias("State"),
-            (F.col("p_retailprice") + 1).alias(s.UNIT_PRICE),
-        )
-        out = out.unionByName(copies)
-    return out
+    if not dirty:
+        return p.selectExpr(*_product_exprs("p_partkey", "p_retailprice"))
+    out = p.selectExpr(*_product_exprs(
+        "CASE WHEN p_partkey % 41 = 0 THEN CAST(NULL AS BIGINT) ELSE p_partkey END",
+        "CASE WHEN p_partkey % 43 = 0 THEN CAST(NULL AS DOUBLE) ELSE p_retailprice END",
+    ))
+    # A second copy of every 13th product under a shifted price.
+    copies = p.filter("p_partkey % 13 = 0").selectExpr(*_product_exprs("p_partkey", "p_retailprice + 1"))
+    return out.unionByName(copies)
 
 
 def orders(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
-    lines = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-    order_id = F.col("l_orderkey")
-    ship_date = _dmy("l_shipdate")
-    customer_id = F.col("o_custkey")
-    product_id = F.col("l_partkey")
+    lines = li.join(o, F.expr("l_orderkey = o_orderkey"), "inner")
     if dirty:
-        order_id = F.when((F.col("l_linenumber") == 7) & (F.col("l_suppkey") % 10 == 0), _null("bigint")).otherwise(
-            order_id
-        )
-        ship_date = F.when(F.col("l_partkey") % 17 == 0, F.date_format("l_shipdate", "yyyy-MM-dd")).otherwise(
-            ship_date
-        )
-        customer_id = (
-            F.when(F.col("l_orderkey") % 29 == 0, _null("bigint"))
-            .when(F.col("l_orderkey") % 23 == 0, F.col("o_custkey") + 1000000)
-            .otherwise(customer_id)
-        )
-        product_id = F.when(F.col("l_partkey") % 31 == 0, _null("bigint")).otherwise(product_id)
+        order_id = "CASE WHEN l_linenumber = 7 AND l_suppkey % 10 = 0 THEN CAST(NULL AS BIGINT) ELSE l_orderkey END"
+        ship_date = f"CASE WHEN l_partkey % 17 = 0 THEN date_format(l_shipdate, 'yyyy-MM-dd') ELSE {_dmy('l_shipdate')} END"
+        customer_id = ("CASE WHEN l_orderkey % 29 = 0 THEN CAST(NULL AS BIGINT) "
+                       "WHEN l_orderkey % 23 = 0 THEN o_custkey + 1000000 ELSE o_custkey END")
+        product_id = "CASE WHEN l_partkey % 31 = 0 THEN CAST(NULL AS BIGINT) ELSE l_partkey END"
+    else:
+        order_id, ship_date, customer_id, product_id = "l_orderkey", _dmy("l_shipdate"), "o_custkey", "l_partkey"
     # decimal(price) * (0.05 - decimal(discount)) has four decimals; computed on
     # integer hundredths and divided once, it is the same double as the decimal
     # cast (both are the correctly rounded quotient of two exact integers).
-    margin_hundredths = int(PROFIT_MARGIN * 100)
-    profit = (_cents("l_extendedprice") * (F.lit(margin_hundredths) - _cents("l_discount"))) / F.lit(10000.0)
-    row_id = (
-        F.col("l_linenumber").cast("bigint") * ROW_ID_LINE + F.col("l_partkey") * ROW_ID_PART + F.col("l_suppkey")
-    )
-    return lines.select(
-        row_id.alias(s.ROW_ID),
-        order_id.alias(s.ORDER_ID),
-        _dmy("o_orderdate").alias(s.ORDER_DATE),
-        ship_date.alias(s.SHIP_DATE),
-        F.col("o_orderpriority").alias(s.SHIP_MODE),
-        customer_id.alias(s.CUSTOMER_ID),
-        product_id.alias(s.PRODUCT_ID),
-        F.col("l_quantity").cast("int").alias(s.QUANTITY),
-        F.col("l_extendedprice").alias(s.PRICE),
-        F.col("l_discount").alias(s.DISCOUNT),
-        profit.alias(s.PROFIT),
+    margin = int(PROFIT_MARGIN * 100)
+    return lines.selectExpr(
+        f"CAST(l_linenumber AS BIGINT) * {ROW_ID_LINE} + l_partkey * {ROW_ID_PART} + l_suppkey AS `Row ID`",
+        f"{order_id} AS `Order ID`",
+        f"{_dmy('o_orderdate')} AS `Order Date`",
+        f"{ship_date} AS `Ship Date`",
+        "o_orderpriority AS `Ship Mode`",
+        f"{customer_id} AS `Customer ID`",
+        f"{product_id} AS `Product ID`",
+        "CAST(l_quantity AS INT) AS Quantity",
+        "l_extendedprice AS Price",
+        "l_discount AS Discount",
+        f"({_cents('l_extendedprice')} * ({margin} - {_cents('l_discount')})) / 10000D AS Profit",
     )
 
 
