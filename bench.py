@@ -45,6 +45,9 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app_name="marginlens-bench",
                           driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
+    threshold = os.environ.get("BENCH_BROADCAST_THRESHOLD")
+    if threshold is not None:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     run(catalog.QUERIES["a2_profit_by_year"](spark, sf_dir))  # warm-up: JVM, codegen, file listing
     timings = {}
     for name in HEADLINE:

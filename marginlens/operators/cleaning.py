@@ -12,8 +12,8 @@ before the shuffle, so each map task already trims a key to one row and a hot
 key cannot pile up in one reducer.
 
 The cleaning reports replace the reference's many ``count()`` actions with
-one pass: each row is tagged with the first rule it fails and the tags are
-counted in a single aggregation.
+one job of a few aggregations: each removed row is counted under the first
+rule it fails, and no step ranks all rows of a key.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ from marginlens.functions.dates import parse_date
 from marginlens.functions.text import clean_name
 
 _RANK = "__keep_rank"
-_REASON = "__reason"
 
 
 def _c(name: str) -> Column:
@@ -149,104 +148,114 @@ def clean_products(products: DataFrame) -> DataFrame:
 
 
 # --- cleaning reports (C11) -------------------------------------------------
+#
+# Every rule's removals come from aggregations, never from ranking all rows
+# of a key: the duplicate count is "rows that reached the dedupe minus rows it
+# kept", and the dedupe itself is the group-limited keep-first above.  A key
+# holding a third of the table therefore costs the same as any other.
 
 REPORT_COLUMNS = ["table_name", "step", "rule", "row_count"]
+ORDER_RULES = [
+    "null_profit", "negative_profit", "null_order_id", "duplicate_order_id",
+    "invalid_date", "null_customer_id", "null_product_id",
+]
 
 
-def _report(tagged: DataFrame, table: str, rules: Sequence[str]) -> DataFrame:
-    """Count the tags in one aggregation and emit one row per rule.
+def _report_rows(one_row: DataFrame, table: str, rules: Sequence[str]) -> DataFrame:
+    """Unpivot a one-row frame (``original``, one count per rule) into report rows.
 
-    Rows: ``original``, then each rule's removals in order, then ``final``
-    and ``total_removed``.  A rule whose column is absent reports 0.
+    Rows: ``original``, each rule's removals in order, ``final`` and
+    ``total_removed``.  A rule whose column is absent reports 0.
     """
-    reason = F.col(_REASON)
-    counts = [F.count(F.lit(1)).alias("original")]
-    counts += [F.count_if(reason == r).alias(r) for r in rules]
-    counts.append(F.count_if(reason.isNull()).alias("final"))
-    one_row = tagged.agg(*counts)
-    names = ["original", *rules, "final"]
+    removed = sum((F.col(r) for r in rules[1:]), F.col(rules[0]))
+    names = ["original", *rules]
     entries = [
-        F.struct(F.lit(i).alias("step"), F.lit(n).alias("rule"), F.col(n).alias("row_count"))
+        F.struct(F.lit(i).alias("step"), F.lit(n).alias("rule"), F.col(n).cast("bigint").alias("row_count"))
         for i, n in enumerate(names)
     ]
-    entries.append(
-        F.struct(
-            F.lit(len(names)).alias("step"),
-            F.lit("total_removed").alias("rule"),
-            (F.col("original") - F.col("final")).alias("row_count"),
-        )
-    )
+    entries += [
+        F.struct(F.lit(len(names)).alias("step"), F.lit("final").alias("rule"),
+                 (F.col("original") - removed).cast("bigint").alias("row_count")),
+        F.struct(F.lit(len(names) + 1).alias("step"), F.lit("total_removed").alias("rule"),
+                 removed.cast("bigint").alias("row_count")),
+    ]
     return one_row.select(F.inline(F.array(*entries))).select(
         F.lit(table).alias("table_name"), "step", "rule", "row_count"
     )
 
 
-ORDER_RULES = [
-    "null_profit", "negative_profit", "null_order_id", "duplicate_order_id",
-    "invalid_date", "null_customer_id", "null_product_id",
-]
+def _zero() -> Column:
+    return F.lit(0).cast("bigint")
 
 
 def orders_cleaning_report(orders: DataFrame) -> DataFrame:
-    """Rows removed by each order rule, in rule order, from one scan.
+    """Rows removed by each order rule, in rule order.
 
     ``negative_profit`` counts ``Profit < 0`` as the reference reports it;
     NULL profits, which the same rule also drops, are reported separately.
+    Two aggregations: one over all rows for the row-local rules before the
+    dedupe, one over the kept rows for the rules after it.
     """
     cols = orders.columns
-    reason = F.lit(None).cast("string")
-    passed = F.lit(True)
-    if s.PROFIT in cols:
-        reason = F.when(_c(s.PROFIT).isNull(), "null_profit").when(_c(s.PROFIT) < 0, "negative_profit")
-    if s.ORDER_ID in cols:
-        reason = F.coalesce(reason, F.when(_c(s.ORDER_ID).isNull(), "null_order_id"))
-    df = orders.withColumn(_REASON, reason)
-    if s.ORDER_ID in cols:
-        passed = F.col(_REASON).isNull()
-        # Rows already removed must not compete for "first": they form their
-        # own window groups, spread by a content hash so they never pile up
-        # in a single NULL-key partition.
-        salt = F.when(passed, F.lit(0)).otherwise(F.pmod(F.xxhash64(*[_c(c) for c in cols]), F.lit(4096)))
-        window = Window.partitionBy(F.when(passed, _c(s.ORDER_ID)), salt).orderBy(
-            *tiebreak_order(orders, [s.ORDER_ID])
-        )
-        df = df.withColumn(
-            _REASON,
-            F.when(passed & (F.row_number().over(window) > 1), "duplicate_order_id").otherwise(F.col(_REASON)),
-        )
+    profit, oid = _c(s.PROFIT), _c(s.ORDER_ID)
+    before = [
+        F.count(F.lit(1)).alias("original"),
+        (F.count_if(profit.isNull()) if s.PROFIT in cols else _zero()).alias("null_profit"),
+        (F.count_if(profit < 0) if s.PROFIT in cols else _zero()).alias("negative_profit"),
+    ]
+    # NULL ids are counted among rows that passed the profit rule.
+    passed_profit = (profit >= 0) if s.PROFIT in cols else F.lit(True)
+    before.append(
+        (F.count_if(passed_profit & oid.isNull()) if s.ORDER_ID in cols else _zero()).alias("null_order_id")
+    )
+    head = orders.agg(*before).withColumn(
+        "__reached", F.col("original") - F.col("null_profit") - F.col("negative_profit") - F.col("null_order_id")
+    )
+    survived = drop_null(drop_negative_profit(orders), s.ORDER_ID)
+
+    kept = dedupe_orders(survived)
     later = []
     if s.ORDER_DATE in cols and s.SHIP_DATE in cols:
-        later.append((~_dates_valid(orders), "invalid_date"))
+        later.append(("invalid_date", ~_dates_valid(orders)))
     if s.CUSTOMER_ID in cols:
-        later.append((_c(s.CUSTOMER_ID).isNull(), "null_customer_id"))
+        later.append(("null_customer_id", _c(s.CUSTOMER_ID).isNull()))
     if s.PRODUCT_ID in cols:
-        later.append((_c(s.PRODUCT_ID).isNull(), "null_product_id"))
-    tail = None
-    for condition, name in later:
-        tail = F.when(condition, name) if tail is None else tail.when(condition, name)
-    if tail is not None:
-        df = df.withColumn(_REASON, F.coalesce(F.col(_REASON), tail))
-    return _report(df, "orders", ORDER_RULES)
+        later.append(("null_product_id", _c(s.PRODUCT_ID).isNull()))
+    # Each kept row counts for the first later rule it fails.
+    first_failure = None
+    for name, condition in later:
+        first_failure = F.when(condition, name) if first_failure is None else first_failure.when(condition, name)
+    tail_aggs = [F.count(F.lit(1)).alias("__kept")]
+    for name in ["invalid_date", "null_customer_id", "null_product_id"]:
+        tail_aggs.append(
+            (F.count_if(first_failure == name) if any(n == name for n, _ in later) else _zero()).alias(name)
+        )
+    tail = kept.agg(*tail_aggs)
+    one_row = head.unionByName(tail, allowMissingColumns=True).agg(
+        *[F.coalesce(F.sum(c), _zero()).alias(c)
+          for c in ["original", "null_profit", "negative_profit", "null_order_id", "__reached", "__kept",
+                    "invalid_date", "null_customer_id", "null_product_id"]]
+    ).withColumn("duplicate_order_id", F.col("__reached") - F.col("__kept"))
+    return _report_rows(one_row, "orders", ORDER_RULES)
 
 
 def _id_table_report(df: DataFrame, key: str, table: str, prefix: str) -> DataFrame:
+    """NULL ids and repeated ids, from counts alone (distinct count is map-side combined)."""
     null_rule, dup_rule = f"null_{prefix}_id", f"duplicate_{prefix}_id"
     if key not in df.columns:
-        return _report(df.withColumn(_REASON, F.lit(None).cast("string")), table, [null_rule, dup_rule])
-    # NULL ids are removed whatever their rank; spread them over salted
-    # window groups so they never pile up in one NULL-key partition.
-    salt = F.when(_c(key).isNull(), F.pmod(F.xxhash64(*[_c(c) for c in df.columns]), F.lit(4096))).otherwise(0)
-    window = Window.partitionBy(_c(key), salt).orderBy(*tiebreak_order(df, [key]))
-    tagged = df.withColumn(
-        _REASON,
-        F.when(_c(key).isNull(), null_rule).when(F.row_number().over(window) > 1, dup_rule),
-    )
-    return _report(tagged, table, [null_rule, dup_rule])
+        one_row = df.agg(F.count(F.lit(1)).alias("original"), _zero().alias(null_rule), _zero().alias(dup_rule))
+    else:
+        one_row = df.agg(
+            F.count(F.lit(1)).alias("original"),
+            F.count_if(_c(key).isNull()).alias(null_rule),
+            (F.count(_c(key)) - F.count_distinct(_c(key))).alias(dup_rule),
+        )
+    return _report_rows(one_row, table, [null_rule, dup_rule])
 
 
 def customers_cleaning_report(customers: DataFrame) -> DataFrame:
     """Rows removed from customers by the NULL-id and duplicate-id rules."""
-    return _id_table_report(normalise_customer_names(customers), s.CUSTOMER_ID, "customers", "customer")
+    return _id_table_report(customers, s.CUSTOMER_ID, "customers", "customer")
 
 
 def products_cleaning_report(products: DataFrame) -> DataFrame:

@@ -83,7 +83,8 @@ _POS, _PART, _CK, _CN = "__pos", "__part", "__cat_key", "__cat_null"
 def _tiers_range(products: DataFrame, partitions: int | None = None) -> DataFrame:
     order = [_c(s.CATEGORY).asc_nulls_first(), *_tier_order(products)]
     if partitions is None:
-        partitions = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        configured = products.sparkSession.conf.get("spark.sql.shuffle.partitions")
+        partitions = int(configured) if configured.isdigit() else products.sparkSession.sparkContext.defaultParallelism
     # Category as a plain equi-join key: its text plus a NULL flag, so a NULL
     # category is a group of its own (as in the window) and '' stays distinct.
     run_key = [F.col(_PART), F.col(_CK), F.col(_CN)]

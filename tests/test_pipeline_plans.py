@@ -70,3 +70,22 @@ def test_entry_and_contract(spark):
     df = entry.entry(spark)
     assert df.columns == ["Year", "Total_Profit", "Order_Count"] and df.count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_row_level_plans_never_funnel_into_one_partition(spark):
+    # Only global aggregates and top-k reports may end in a single partition.
+    for name in ["c7_clean_orders", "e5_enriched_customers", "e6_price_tier_range", "e9_enriched_orders",
+                 "a1_profit_summary", "a5_profit_by_customer_year"]:
+        assert "SinglePartition" not in plan_text(catalog.QUERIES[name](spark, SF_SMALL)), name
+
+
+def test_aggregates_do_not_depend_on_partitioning(spark):
+    from marginlens.operators import orders as O
+    from marginlens.operators import profit as A
+
+    src = td.sources(spark, SF_SMALL, dirty=True)
+    results = []
+    for parts in (1, 7):
+        enriched = O.enriched_orders(src["orders"].repartition(parts), src["customers"], src["products"])
+        results.append(sorted(map(tuple, A.profit_by_customer_year(enriched).collect())))
+    assert results[0] == results[1]
