@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from marginlens.operators import cleaning as C
