@@ -368,3 +368,18 @@ for _name, _sql in [
     ("profit_by_customer_year", sql.aggregate_sql(["Customer Name", "Year"])),
 ]:
     register(f"p1_pipeline_{_name}", DIRTY + _sql)(_pipeline_output(_name))
+
+# --- S1: workbooks, round-tripped in memory ---------------------------------
+
+from marginlens.operators.cleaning import quote  # noqa: E402
+from marginlens.schemas import CUSTOMERS_SCHEMA  # noqa: E402
+from marginlens.sources import workbook  # noqa: E402
+
+
+def _s1(spark: SparkSession, d: str) -> DataFrame:
+    customers = td.customers(spark, d, dirty=True)
+    text = customers.selectExpr(*[f"CAST({quote(c)} AS STRING) AS {quote(c)}" for c in customers.columns])
+    return workbook.decode_records(workbook.to_workbook_records(text), CUSTOMERS_SCHEMA)
+
+
+register("s1_workbook_customers_roundtrip", DIRTY + sql.S1_ROUNDTRIP)(_s1)

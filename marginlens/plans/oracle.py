@@ -589,3 +589,7 @@ S3_ROUNDTRIP = """
 SELECT CAST("Product ID" AS VARCHAR) AS "Product ID", "Category", "Sub-Category", "Product Name", "State",
        "Price per product"
 FROM src_products"""
+S1_ROUNDTRIP = """
+SELECT CAST("Customer ID" AS VARCHAR) AS "Customer ID", "Customer Name", email, phone, address, "Segment",
+       "Country", "City", "State", "Postal Code", "Region"
+FROM src_customers"""

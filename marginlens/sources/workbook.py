@@ -116,6 +116,29 @@ def decode_workbook(path: str, content: bytes, names: list[str], strict_header:
     return pd.DataFrame.from_records(records, columns=names)
 
 
+def _text_schema(schema: StructType) -> list[str]:
+    non_text = [f.name for f in schema.fields if f.dataType.simpleString() != "string"]
+    if non_text:
+        raise SourceError(f"workbook schema must be all text; cast after loading: {non_text}")
+    return schema.fieldNames()
+
+
+def decode_records(records: DataFrame, schema: StructType = CUSTOMERS_SCHEMA, strict_header: bool = True) -> DataFrame:
+    """Decode a DataFrame of workbook records ``(path, content)`` into ``schema`` rows.
+
+    This is the worker side of :func:`read_workbooks`; each record is decoded
+    in the task that holds it.
+    """
+    names = _text_schema(schema)
+
+    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for file_path, content in zip(batch["path"], batch["content"]):
+                yield decode_workbook(file_path, content, names, strict_header)
+
+    return records.select("path", "content").mapInPandas(decode, schema)
+
+
 def read_workbooks(
     spark: SparkSession,
     path: str | list[str],
@@ -128,22 +151,71 @@ def read_workbooks(
     ``strict_header`` requires the first row to equal the schema names in
     order, as the reference does; with it off, columns bind by position.
     """
-    names = schema.fieldNames()
-    non_text = [f.name for f in schema.fields if f.dataType.simpleString() != "string"]
-    if non_text:
-        raise SourceError(f"workbook schema must be all text; cast after loading: {non_text}")
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for file_path, content in zip(batch["path"], batch["content"]):
-                yield decode_workbook(file_path, content, names, strict_header)
-
+    _text_schema(schema)
     files = _load(
         "workbook", path, lambda: spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     )
-    return files.select("path", "content").mapInPandas(decode, schema)
+    return decode_records(files, schema, strict_header)
 
 
 def read_customers(spark: SparkSession, path: str | list[str], strict_header: bool = True) -> DataFrame:
     """Customers from workbooks with the declared 11-column schema."""
     return read_workbooks(spark, path, CUSTOMERS_SCHEMA, strict_header)
+
+
+# --- round-trip support -----------------------------------------------------
+# The reference only reads workbooks.  To check the reader against the same
+# tables as every other query, each partition of a text table can be encoded
+# as one in-memory workbook (inline strings, missing cells for NULL) and fed
+# straight back to ``decode_records``; no file is written.
+
+def _cell_ref(column: int, row: int) -> str:
+    letters = ""
+    column += 1
+    while column:
+        column, rem = divmod(column - 1, 26)
+        letters = chr(65 + rem) + letters
+    return f"{letters}{row}"
+
+
+def encode_workbook(header: list[str], rows: Iterator[list[str | None]]) -> bytes:
+    """A one-sheet xlsx holding ``header`` and ``rows`` as inline strings."""
+    from xml.sax.saxutils import escape
+
+    main = _MAIN.strip("{}")
+    rel = _REL.strip("{}")
+    lines = []
+    for r, row in enumerate([header, *rows], start=1):
+        cells = "".join(
+            f'<c r="{_cell_ref(c, r)}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>'
+            for c, v in enumerate(row)
+            if v is not None
+        )
+        lines.append(f'<row r="{r}">{cells}</row>')
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>'
+                                      f'<sheet name="data" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   f'<Relationship Id="rId1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/>'
+                   "</Relationships>")
+        z.writestr("xl/worksheets/sheet1.xml",
+                   f'<worksheet xmlns="{main}"><sheetData>{"".join(lines)}</sheetData></worksheet>')
+    return out.getvalue()
+
+
+def to_workbook_records(df: DataFrame) -> DataFrame:
+    """Each partition of an all-text ``df`` as one workbook record ``(path, content)``."""
+    names = _text_schema(df.schema)
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        rows: list[list[str | None]] = []
+        for batch in batches:
+            rows.extend(batch.astype(object).where(batch.notna(), None).values.tolist())
+        part = TaskContext.get().partitionId()
+        yield pd.DataFrame({"path": [f"part-{part:05d}.xlsx"], "content": [encode_workbook(names, rows)]})
+
+    return df.mapInPandas(encode, "path string, content binary")

@@ -103,3 +103,12 @@ def test_views(spark):
     assert spark.table("profit_summary_view").count() == 1
     with pytest.raises(KeyError):
         views.register_enriched_views(unknown=c)
+
+
+def test_workbook_records_round_trip_in_memory(spark):
+    rows = [("C1", " Ann  <Lee> & co ", None, "", "x"), (None, "Bo", "b@x", "555", None)]
+    schema = "`Customer ID` string, `Customer Name` string, email string, phone string, address string"
+    df = spark.createDataFrame(rows, schema).repartition(2)
+    from pyspark.sql.types import StructType
+    back = workbook.decode_records(workbook.to_workbook_records(df), StructType.fromDDL(schema))
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
