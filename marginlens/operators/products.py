@@ -11,8 +11,9 @@ distributed rank instead:
 1. range-partition the products by (category, price, id, other columns)
    into a fixed number of partitions and sort inside each partition, so
    partitions hold consecutive runs of the global order;
-2. number the rows inside each partition (``monotonically_increasing_id``
-   carries the partition index and the position);
+2. tag each row with its partition (``spark_partition_id``) and an id that
+   increases along the partition (``monotonically_increasing_id``), so
+   position inside a (partition, category) run = id - the run's first id;
 3. count rows per (partition, category) - a table no larger than
    partitions + categories - and turn the counts into per-category prefix
    offsets and totals with a small window;
@@ -91,8 +92,8 @@ def _tiers_range(products: DataFrame, partitions: int | None = None) -> DataFram
     numbered = (
         products.repartitionByRange(partitions, *order)
         .sortWithinPartitions(*order)
+        .withColumn(_PART, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id())
-        .withColumn(_PART, F.shiftright(F.col(_POS), 33))
         .withColumn(_CK, F.coalesce(_c(s.CATEGORY).cast("string"), F.lit("")))
         .withColumn(_CN, _c(s.CATEGORY).isNull())
         # Partitioned on the join key, so the join below does not move it again.

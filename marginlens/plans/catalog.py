@@ -17,6 +17,7 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import LongType, StructField, StructType
 
 from marginlens.operators import cleaning as C
 from marginlens.operators import customers as E
@@ -26,9 +27,13 @@ from marginlens.operators import profile as Q
 from marginlens.operators import profit as A
 from marginlens.operators import reports as R
 from marginlens.operators import validate as V
+from marginlens.operators.cleaning import quote
 from marginlens.plans import oracle as sql
+from marginlens.plans.pipeline import run_pipeline
+from marginlens.plans.session import shared_scratch
+from marginlens.schemas import CUSTOMERS_SCHEMA, ORDERS_SCHEMA
+from marginlens.sources import files, views, workbook
 from marginlens.sources import testdata as td
-from marginlens.sources import views
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 AS_OF = _dt.date.fromisoformat(sql.AS_OF)
@@ -322,12 +327,7 @@ for _kind in ["customers", "orders", "products"]:
 
 # --- S: file sources (round trips through Spark's own writers) --------------
 
-from pyspark.sql.types import LongType, StructField, StructType  # noqa: E402
 
-from marginlens.plans.pipeline import run_pipeline  # noqa: E402
-from marginlens.plans.session import shared_scratch  # noqa: E402
-from marginlens.schemas import ORDERS_SCHEMA  # noqa: E402
-from marginlens.sources import files  # noqa: E402
 
 # The adapter's Row ID is a bigint ordering key; the declared schema is kept
 # otherwise (ids and dates read back as text).
@@ -371,9 +371,6 @@ for _name, _sql in [
 
 # --- S1: workbooks, round-tripped in memory ---------------------------------
 
-from marginlens.operators.cleaning import quote  # noqa: E402
-from marginlens.schemas import CUSTOMERS_SCHEMA  # noqa: E402
-from marginlens.sources import workbook  # noqa: E402
 
 
 def _s1(spark: SparkSession, d: str) -> DataFrame:
