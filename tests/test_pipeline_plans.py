@@ -89,3 +89,23 @@ def test_aggregates_do_not_depend_on_partitioning(spark):
         enriched = O.enriched_orders(src["orders"].repartition(parts), src["customers"], src["products"])
         results.append(sorted(map(tuple, A.profit_by_customer_year(enriched).collect())))
     assert results[0] == results[1]
+
+
+def test_customer_join_reuses_the_id_partitioning(spark):
+    from marginlens.operators import customers as E
+
+    src = td.sources(spark, SF_SMALL, dirty=True)
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = E.enrich_customers(src["customers"], src["orders"], as_of=date(2001, 8, 1))._jdf \
+            .queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+    # The customers side of the final left join goes straight into the dedupe
+    # window: no exchange (and no extra sort) between the window and the join.
+    lines = plan.split("\n")
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line and "LeftOuter" in line)
+    window = next(i for i in range(join, len(lines)) if "Window [row_number()" in lines[i])
+    between = lines[join + 1:window]
+    assert between and not any("Exchange" in line or "Sort [" in line for line in between), between

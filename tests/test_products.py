@@ -72,3 +72,21 @@ def test_range_tiers_on_testdata(spark):
     window = P.classify_price_level(products)
     ranged = P.classify_price_level(products, method="range")
     assert window.exceptAll(ranged).count() == 0 and ranged.count() == window.count()
+
+
+def test_ntile_formula_exhaustive(spark):
+    def ntile(rank, n, k=4):
+        q, m = divmod(n, k)
+        return rank // (q + 1) + 1 if rank < m * (q + 1) else m + (rank - m * (q + 1)) // q + 1
+
+    pairs = [(r, n) for n in range(1, 201) for r in range(n)]
+    df = spark.createDataFrame(pairs, "rank long, total long")
+    from pyspark.sql import functions as F
+
+    got = df.select("rank", "total", P.ntile_from_rank(F.col("rank"), F.col("total")).alias("t")).collect()
+    assert all(row["t"] == ntile(row["rank"], row["total"]) for row in got)
+    # And the definition itself agrees with Spark's ntile on a few sizes.
+    from pyspark.sql import Window
+    for n in (1, 2, 3, 5, 7, 13):
+        w = spark.range(n).withColumn("t", F.ntile(4).over(Window.orderBy("id"))).collect()
+        assert [r["t"] for r in w] == [ntile(i, n) for i in range(n)]
