@@ -65,16 +65,16 @@ register("a1_profit_summary", CLEAN + sql.profit_summary_sql())(
     lambda spark, d: A.profit_summary(_enriched(spark, d))
 )
 register("a2_profit_by_year", CLEAN + sql.aggregate_sql(["Year"]))(
-    lambda spark, d: A.profit_by_year(_enriched(spark, d))
+    lambda spark, d: A.profit_by_year(_enriched(spark, d), unique_orders=True)
 )
 register("a3_profit_by_year_category", CLEAN + sql.aggregate_sql(["Year", "Category"]))(
-    lambda spark, d: A.profit_by_year_category(_enriched(spark, d))
+    lambda spark, d: A.profit_by_year_category(_enriched(spark, d), unique_orders=True)
 )
 register("a4_profit_by_customer", CLEAN + sql.aggregate_sql(["Customer Name"]))(
-    lambda spark, d: A.profit_by_customer(_enriched(spark, d))
+    lambda spark, d: A.profit_by_customer(_enriched(spark, d), unique_orders=True)
 )
 register("a5_profit_by_customer_year", CLEAN + sql.aggregate_sql(["Customer Name", "Year"]))(
-    lambda spark, d: A.profit_by_customer_year(_enriched(spark, d))
+    lambda spark, d: A.profit_by_customer_year(_enriched(spark, d), unique_orders=True)
 )
 
 # --- C: cleaning rules (dirty adapter) --------------------------------------
@@ -241,33 +241,35 @@ for _kind, _ctes in [
 
 
 register("r14_top_customers", AGG + sql.REPORT_SQL["r14"])(
-    lambda spark, d: R.first_rows(A.profit_by_customer(_enriched(spark, d)), 10)
+    lambda spark, d: R.first_rows(A.profit_by_customer(_enriched(spark, d), unique_orders=True), 10)
 )
 register("r15_profit_by_year_first", AGG + sql.REPORT_SQL["r15_year"])(
-    lambda spark, d: R.first_rows(A.profit_by_year(_enriched(spark, d)), 10)
+    lambda spark, d: R.first_rows(A.profit_by_year(_enriched(spark, d), unique_orders=True), 10)
 )
 register("r15_profit_by_year_category_first", AGG + sql.REPORT_SQL["r15_year_category"])(
-    lambda spark, d: R.first_rows(A.profit_by_year_category(_enriched(spark, d)), 15)
+    lambda spark, d: R.first_rows(A.profit_by_year_category(_enriched(spark, d), unique_orders=True), 15)
 )
 register("r15_profit_by_customer_year_first", AGG + sql.REPORT_SQL["r15_customer_year"])(
-    lambda spark, d: R.first_rows(A.profit_by_customer_year(_enriched(spark, d)), 15)
+    lambda spark, d: R.first_rows(A.profit_by_customer_year(_enriched(spark, d), unique_orders=True), 15)
 )
 
 
 def _r16(spark: SparkSession, d: str) -> DataFrame:
     enriched = _enriched(spark, d)
-    return R.top_customer_trends(A.profit_by_customer(enriched), A.profit_by_customer_year(enriched))
+    return R.top_customer_trends(
+        A.profit_by_customer(enriched, unique_orders=True), A.profit_by_customer_year(enriched, unique_orders=True)
+    )
 
 
 register("r16_top_customer_trends", AGG + sql.REPORT_SQL["r16"])(_r16)
 register("r17_year_metrics", AGG + sql.REPORT_SQL["r17"])(
-    lambda spark, d: R.year_metrics(A.profit_by_year(_enriched(spark, d)))
+    lambda spark, d: R.year_metrics(A.profit_by_year(_enriched(spark, d), unique_orders=True))
 )
 register("r18_customer_metrics", AGG + sql.REPORT_SQL["r18"])(
-    lambda spark, d: R.customer_metrics_report(A.profit_by_customer(_enriched(spark, d)))
+    lambda spark, d: R.customer_metrics_report(A.profit_by_customer(_enriched(spark, d), unique_orders=True))
 )
 register("r19_category_totals", AGG + sql.REPORT_SQL["r19"])(
-    lambda spark, d: R.category_totals(A.profit_by_year_category(_enriched(spark, d)))
+    lambda spark, d: R.category_totals(A.profit_by_year_category(_enriched(spark, d), unique_orders=True))
 )
 
 # --- V: validators (dirty adapter) ------------------------------------------
@@ -315,7 +317,7 @@ def _v4(spark: SparkSession, d: str) -> DataFrame:
 
 register("v4_validate_profit_summary", DIRTY + sql.v4_sql())(_v4)
 register("v5_validate_profit_aggregate", DIRTY + sql.v5_sql())(
-    lambda spark, d: V.validate_profit_aggregate(A.profit_by_year(_enriched(spark, d, dirty=True)))
+    lambda spark, d: V.validate_profit_aggregate(A.profit_by_year(_enriched(spark, d, dirty=True), unique_orders=True))
 )
 
 # --- Q: table profiles (clean adapter) --------------------------------------
