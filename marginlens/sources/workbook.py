@@ -22,17 +22,24 @@ from __future__ import annotations
 
 import io
 import posixpath
+import sys
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from marginlens.schemas import CUSTOMERS_SCHEMA
 from marginlens.sources.files import SourceError, _load
 
+# The decoder runs in Python workers.  Pickling this module's functions by
+# value ships their code with each task, so executors do not need the
+# package installed or on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
