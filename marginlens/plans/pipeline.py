@@ -3,8 +3,8 @@
 ``run_pipeline`` returns every output of the reference's main program as a
 lazy DataFrame: profiles, the cleaning report, enriched customers and
 products, the denormalised orders, the profit summary and aggregates, and
-one validation report.  Building it launches no Spark job; the caller picks
-the actions (show, write, count).
+one validation report.  The caller picks the actions (show, write, count);
+building the outputs starts only the checkpoint writes described below.
 
 The sources are cleaned once and every output is derived from the same
 cleaned frames.  Spark re-executes a shared input for each action, so when
