@@ -194,7 +194,8 @@ def orders_cleaning_report(orders: DataFrame) -> DataFrame:
     ``negative_profit`` counts ``Profit < 0`` as the reference reports it;
     NULL profits, which the same rule also drops, are reported separately.
     Two aggregations: one over all rows for the row-local rules before the
-    dedupe, one over the kept rows for the rules after it.
+    dedupe (column pruning narrows its scan to the profit and order-id
+    columns), one over the kept rows for the rules after it.
     """
     cols = orders.columns
     profit, oid = _c(s.PROFIT), _c(s.ORDER_ID)
