@@ -6,6 +6,9 @@ NULL-year group.  Profit is summed exactly (decimal) and rounded HALF_UP to
 cents.  Grouping is by customer *name*: two customers whose names clean to
 the same text are one group, as in the reference.
 
+``sort=False`` leaves an aggregate unsorted for callers that sort or join
+it again: a global sort is a range shuffle plus a sampling job.
+
 Order counts differ on purpose: the summary counts rows with an ``Order ID``
 (``count``), the four aggregates count distinct ids.  The denormalised
 orders built by ``enriched_orders`` hold one row per ``Order ID`` (the dedupe
@@ -52,30 +55,29 @@ def profit_summary(enriched: DataFrame) -> DataFrame:
     )
 
 
-def _aggregate(enriched: DataFrame, keys: list[str], order: list[Column], unique_orders: bool) -> DataFrame:
+def _aggregate(
+    enriched: DataFrame, keys: list[str], order: list[Column], unique_orders: bool, sort: bool
+) -> DataFrame:
     orders = F.count(_c(s.ORDER_ID)) if unique_orders else F.count_distinct(_c(s.ORDER_ID))
-    return (
-        _with_year(enriched)
-        .groupBy(*[_c(k) for k in keys])
-        .agg(_total_profit(), orders.alias("Order_Count"))
-        .orderBy(*order)
-    )
+    out = _with_year(enriched).groupBy(*[_c(k) for k in keys]).agg(_total_profit(), orders.alias("Order_Count"))
+    return out.orderBy(*order) if sort else out
 
 
-def profit_by_year(enriched: DataFrame, unique_orders: bool = False) -> DataFrame:
+def profit_by_year(enriched: DataFrame, unique_orders: bool = False, sort: bool = True) -> DataFrame:
     """A2: ``Year, Total_Profit, Order_Count`` ordered by year."""
-    return _aggregate(enriched, [YEAR], [_c(YEAR).asc_nulls_first()], unique_orders)
+    return _aggregate(enriched, [YEAR], [_c(YEAR).asc_nulls_first()], unique_orders, sort)
 
 
-def profit_by_year_category(enriched: DataFrame, unique_orders: bool = False) -> DataFrame:
+def profit_by_year_category(enriched: DataFrame, unique_orders: bool = False, sort: bool = True) -> DataFrame:
     """A3: ``Year, Category, Total_Profit, Order_Count`` ordered by year, category."""
     return _aggregate(
         enriched, [YEAR, s.CATEGORY], [_c(YEAR).asc_nulls_first(), _c(s.CATEGORY).asc_nulls_first()],
         unique_orders,
+        sort,
     )
 
 
-def profit_by_customer(enriched: DataFrame, unique_orders: bool = False) -> DataFrame:
+def profit_by_customer(enriched: DataFrame, unique_orders: bool = False, sort: bool = True) -> DataFrame:
     """A4: ``Customer Name, Total_Profit, Order_Count``, most profitable first.
 
     Equal profits are ordered by name so a top-N cut is deterministic.
@@ -85,14 +87,16 @@ def profit_by_customer(enriched: DataFrame, unique_orders: bool = False) -> Data
         [s.CUSTOMER_NAME],
         [F.col("Total_Profit").desc_nulls_last(), _c(s.CUSTOMER_NAME).asc_nulls_first()],
         unique_orders,
+        sort,
     )
 
 
-def profit_by_customer_year(enriched: DataFrame, unique_orders: bool = False) -> DataFrame:
+def profit_by_customer_year(enriched: DataFrame, unique_orders: bool = False, sort: bool = True) -> DataFrame:
     """A5: ``Customer Name, Year, Total_Profit, Order_Count`` ordered by year, name."""
     return _aggregate(
         enriched,
         [s.CUSTOMER_NAME, YEAR],
         [_c(YEAR).asc_nulls_first(), _c(s.CUSTOMER_NAME).asc_nulls_first()],
         unique_orders,
+        sort,
     )

@@ -256,8 +256,10 @@ register("r15_profit_by_customer_year_first", AGG + sql.REPORT_SQL["r15_customer
 
 def _r16(spark: SparkSession, d: str) -> DataFrame:
     enriched = _enriched(spark, d)
+    # The yearly rows are re-sorted by the report, so they skip their own sort.
     return R.top_customer_trends(
-        A.profit_by_customer(enriched, unique_orders=True), A.profit_by_customer_year(enriched, unique_orders=True)
+        A.profit_by_customer(enriched, unique_orders=True),
+        A.profit_by_customer_year(enriched, unique_orders=True, sort=False),
     )
 
 

@@ -109,3 +109,11 @@ def test_customer_join_reuses_the_id_partitioning(spark):
     window = next(i for i in range(join, len(lines)) if "Window [row_number()" in lines[i])
     between = lines[join + 1:window]
     assert between and not any("Exchange" in line or "Sort [" in line for line in between), between
+
+
+def test_top_customer_trends_sorts_once(spark):
+    # The yearly rows feed a semi join and a window before the final order;
+    # a sort of their own would add a range shuffle and a sampling job.
+    plan = plan_text(catalog.QUERIES["r16_top_customer_trends"](spark, SF_SMALL))
+    assert plan.count("rangepartitioning") == 1
+    assert "TakeOrderedAndProject" in plan
