@@ -14,9 +14,10 @@ distributed rank instead:
 2. tag each row with its partition (``spark_partition_id``) and an id that
    increases along the partition (``monotonically_increasing_id``), so
    position inside a (partition, category) run = id - the run's first id;
-3. count rows per (partition, category) - a table no larger than
-   partitions + categories - and turn the counts into per-category prefix
-   offsets and totals with a small window;
+3. count rows per (partition, category) - a table of at most
+   partitions + categories - 1 rows, since each partition holds one
+   contiguous range of categories - and turn the counts into per-category
+   prefix offsets and totals with a small window;
 4. rank = offset + position inside the partition; with ``q = n div 4`` and
    ``m = n mod 4`` the first ``m`` tiers hold ``q + 1`` rows and the rest
    ``q``, which is how ``ntile`` deals rows out.
@@ -27,11 +28,15 @@ sample it draws its bounds from with the id of the RDD being built, so two
 evaluations could cut the ranges differently and disagree on positions.
 The numbered rows are therefore written once as a reliable checkpoint in
 the session's ``spark.checkpoint.dir`` (shared storage on a cluster) and
-both readers use that copy.  This one write happens when the function is
-called; it also means a lost executor cannot renumber anything.
-
-Nothing is collected to the driver; only the sample and the small counts
-table grow with the number of categories.
+both readers use that copy; it also means a lost executor cannot renumber
+anything.  The offsets table is checkpointed too and its rows counted: when
+it is within ``BROADCAST_RUNS`` rows it is broadcast to the numbered rows,
+which then stay where the range partitioning put them; beyond that both
+sides are hash-partitioned on the run key.  These writes and the count
+happen when the function is called.
+
+Nothing is collected to the driver but that one count; only the sample and
+the offsets table grow with the number of categories.
 """
 
 from __future__ import annotations
@@ -80,8 +85,14 @@ def ntile_from_rank(rank: Column, total: Column, buckets: int = s.PRICE_TIERS) -
 
 _POS, _PART, _CK, _CN = "__pos", "__part", "__cat_key", "__cat_null"
 
+# Largest offsets table (rows) that is broadcast; a row is a few longs and a
+# category, so this stays in the tens of megabytes.
+BROADCAST_RUNS = 200_000
+
 
-def _tiers_range(products: DataFrame, partitions: int | None = None) -> DataFrame:
+def _tiers_range(
+    products: DataFrame, partitions: int | None = None, broadcast_runs: int = BROADCAST_RUNS
+) -> DataFrame:
     order = [_c(s.CATEGORY).asc_nulls_first(), *_tier_order(products)]
     if partitions is None:
         configured = products.sparkSession.conf.get("spark.sql.shuffle.partitions")
@@ -96,8 +107,6 @@ def _tiers_range(products: DataFrame, partitions: int | None = None) -> DataFram
         .withColumn(_POS, F.monotonically_increasing_id())
         .withColumn(_CK, F.coalesce(_c(s.CATEGORY).cast("string"), F.lit("")))
         .withColumn(_CN, _c(s.CATEGORY).isNull())
-        # Partitioned on the join key, so the join below does not move it again.
-        .repartition(*run_key)
     )
     ensure_checkpoint_dir(products.sparkSession)
     numbered = numbered.checkpoint(eager=True)
@@ -110,6 +119,11 @@ def _tiers_range(products: DataFrame, partitions: int | None = None) -> DataFram
         F.coalesce(F.sum("__run").over(before), F.lit(0)).alias("__offset"),
         F.sum("__run").over(by_category).alias("__total"),
     )
+    runs = runs.checkpoint(eager=True)
+    if runs.count() <= broadcast_runs:
+        numbered, runs = numbered, F.broadcast(runs)
+    else:
+        numbered, runs = numbered.repartition(*run_key), runs.repartition(*run_key)
     rank = F.col("__offset") + (F.col(_POS) - F.col("__first"))
     return numbered.join(runs, [_PART, _CK, _CN]).select(
         *[_c(c) for c in products.columns],
