@@ -35,13 +35,28 @@ def local_session(
     return spark
 
 
+class CheckpointDirMissing(RuntimeError):
+    """A cluster session has no ``spark.checkpoint.dir``."""
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; only when none is configured (local
-    tests) a private scratch folder is set."""
+    """The session's checkpoint folder.
+
+    Only a ``local[...]`` session without one (tests, the bench) gets a
+    private scratch folder.  Anywhere else a machine-local folder would be
+    written by executors and read back where it does not exist, so a missing
+    setting is an error: set ``spark.checkpoint.dir`` to a shared folder.
+    """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="marginlens-ckpt-"))
+        if not configured:
+            if not sc.master.startswith("local"):
+                raise CheckpointDirMissing(
+                    "spark.checkpoint.dir is not set; point it at a folder every executor can reach"
+                )
+            configured = tempfile.mkdtemp(prefix="marginlens-ckpt-")
+        sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
