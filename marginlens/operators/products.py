@@ -134,9 +134,10 @@ def _tiers_range(
 def classify_price_level(products: DataFrame, clean: bool = True, method: str = "range") -> DataFrame:
     """``price_tier`` (1-4) and ``price_position`` within each category.
 
-    ``method="window"`` is the plain ``ntile`` window (one task per category);
-    ``method="range"`` gives the same result without that bottleneck and
-    writes one checkpoint when called (module docstring).
+    ``method="range"`` (default) is the distributed rank and writes its
+    checkpoints when called (module docstring).  ``method="window"`` is the
+    plain ``ntile`` window: a whole category in one task, so only for small
+    inputs; the tests use it as the model the range method must equal.
     """
     df = clean_products(products) if clean else products
     if method == "window":

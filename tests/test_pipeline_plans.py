@@ -79,6 +79,11 @@ def test_row_level_plans_never_funnel_into_one_partition(spark):
         assert "SinglePartition" not in plan_text(catalog.QUERIES[name](spark, SF_SMALL)), name
 
 
+def test_registered_tier_queries_keep_no_category_in_one_task(spark):
+    for name in ["e6_price_tier", "e6_price_tier_range", "e8_enriched_products", "r13_enriched_products_preview"]:
+        assert "ntile" not in plan_text(catalog.QUERIES[name](spark, SF_SMALL)), name
+
+
 def test_aggregates_do_not_depend_on_partitioning(spark):
     from marginlens.operators import orders as O
     from marginlens.operators import profit as A
