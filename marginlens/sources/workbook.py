@@ -107,20 +107,36 @@ def iter_rows(content: bytes) -> Iterator[list[str | None]]:
                 yield [values.get(i) for i in range(width)]
 
 
-def decode_workbook(path: str, content: bytes, names: list[str], strict_header: bool = True) -> pd.DataFrame:
-    """Data rows of one workbook as a pandas frame with columns ``names``."""
+# Rows per pandas frame handed back to Spark: a large workbook streams out
+# in chunks, so a task never holds all of its decoded rows at once.
+CHUNK_ROWS = 10_000
+
+
+def iter_workbook_frames(
+    path: str, content: bytes, names: list[str], strict_header: bool = True, chunk_rows: int = CHUNK_ROWS
+) -> Iterator[pd.DataFrame]:
+    """Data rows of one workbook as pandas frames of at most ``chunk_rows`` rows."""
     rows = iter_rows(content)
     header = next(rows, [])
     while header and header[-1] is None:  # trailing empty cells are not columns
         header.pop()
     if strict_header and header != names:
         raise ValueError(f"{path}: header mismatch; expected {names}, got {header}")
-    records = [
-        (row + [None] * len(names))[: len(names)]
-        for row in rows
-        if any(v is not None and v != "" for v in row)
-    ]
-    return pd.DataFrame.from_records(records, columns=names)
+    chunk: list[list[str | None]] = []
+    for row in rows:
+        if any(v is not None and v != "" for v in row):
+            chunk.append((row + [None] * len(names))[: len(names)])
+            if len(chunk) >= chunk_rows:
+                yield pd.DataFrame.from_records(chunk, columns=names)
+                chunk = []
+    if chunk:
+        yield pd.DataFrame.from_records(chunk, columns=names)
+
+
+def decode_workbook(path: str, content: bytes, names: list[str], strict_header: bool = True) -> pd.DataFrame:
+    """Data rows of one workbook as a single pandas frame with columns ``names``."""
+    frames = list(iter_workbook_frames(path, content, names, strict_header))
+    return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=names)
 
 
 def _text_schema(schema: StructType) -> list[str]:
@@ -141,7 +157,7 @@ def decode_records(records: DataFrame, schema: StructType = CUSTOMERS_SCHEMA, st
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for file_path, content in zip(batch["path"], batch["content"]):
-                yield decode_workbook(file_path, content, names, strict_header)
+                yield from iter_workbook_frames(file_path, content, names, strict_header)
 
     return records.select("path", "content").mapInPandas(decode, schema)
 

@@ -112,3 +112,16 @@ def test_workbook_records_round_trip_in_memory(spark):
     from pyspark.sql.types import StructType
     back = workbook.decode_records(workbook.to_workbook_records(df), StructType.fromDDL(schema))
     assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_large_workbook_streams_in_chunks():
+    names = ["a", "b"]
+    rows = [[str(i), None if i % 3 else f"x{i}"] for i in range(25)]
+    content = workbook.encode_workbook(names, iter(rows))
+    frames = list(workbook.iter_workbook_frames("w.xlsx", content, names, chunk_rows=10))
+    assert [len(f) for f in frames] == [10, 10, 5]
+    whole = workbook.decode_workbook("w.xlsx", content, names)
+    assert whole.values.tolist() == [r for f in frames for r in f.values.tolist()]
+    assert whole["a"].tolist() == [str(i) for i in range(25)]
+    empty = workbook.decode_workbook("e.xlsx", workbook.encode_workbook(names, iter([])), names)
+    assert len(empty) == 0 and list(empty.columns) == names
