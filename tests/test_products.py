@@ -102,3 +102,19 @@ def test_ntile_formula_exhaustive(spark):
     for n in (1, 2, 3, 5, 7, 13):
         w = spark.range(n).withColumn("t", F.ntile(4).over(Window.orderBy("id"))).collect()
         assert [r["t"] for r in w] == [ntile(i, n) for i in range(n)]
+
+
+def test_range_tiers_split_a_hot_category(spark):
+    # One category holds a third of the products; the range rank spreads it
+    # over several tasks and still deals out exactly the ntile tiers.
+    from pyspark.sql import functions as F
+
+    rng = random.Random(11)
+    rows = [(f"H{i:05d}", "HOT", float(rng.randint(1, 50))) for i in range(1200)]
+    rows += [(f"C{i:05d}", f"cat{i % 150:03d}", float(rng.randint(1, 50))) for i in range(2400)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    window = P.classify_price_level(df, method="window")
+    ranged = P._with_position(P._tiers_range(C.clean_products(df), partitions=8))
+    assert window.exceptAll(ranged).count() == 0 and ranged.exceptAll(window).count() == 0
+    hot_tasks = ranged.filter("Category = 'HOT'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert hot_tasks > 1
