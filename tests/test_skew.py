@@ -59,3 +59,28 @@ def test_aggregates_combine_map_side(spark):
                A.profit_by_customer(enriched, unique_orders=True), A.profit_by_customer_year(enriched)]:
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "partial_sum" in plan, plan
+
+
+def test_salted_joins_spread_the_hot_customer_and_keep_every_row(spark):
+    from marginlens.operators.joins import hot_keys
+
+    orders, customers, products = hot_sources(spark)
+    plain = O.enriched_orders(orders, customers, products)
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1",
+              spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        salted = O.enriched_orders(orders, customers, products, hot_key_rows=1000, salt_buckets=8)
+        assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+        assert salted.count() == plain.count()
+    from marginlens.operators.cleaning import clean_orders
+    hot = [r["Customer ID"] for r in hot_keys(clean_orders(orders), "Customer ID", 1000).collect()]
+    assert hot == [1]
+    # The hot customer's orders leave the customer join in several tasks.
+    from marginlens.operators.joins import salted_join
+    from marginlens.operators.cleaning import clean_customers
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1",
+              spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+              spark__sql__adaptive__coalescePartitions__enabled="false"):
+        joined = salted_join(clean_orders(orders), clean_customers(customers).select("Customer ID", "Customer Name"),
+                             "Customer ID", 1000, buckets=8)
+        tasks = joined.where("`Customer ID` = 1").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 1
