@@ -50,8 +50,11 @@ def run_pipeline(
     as_of=None,
     tier_method: str = "range",
     materialize: bool = False,
+    hot_key_rows: int | None = None,
 ) -> dict[str, DataFrame]:
-    """All outputs, keyed by name.  ``as_of`` fixes the recency date (default: today)."""
+    """All outputs, keyed by name.  ``as_of`` fixes the recency date (default: today);
+    ``hot_key_rows`` salts the order joins on ids with that many orders
+    (``operators.joins``)."""
     clean_orders = C.clean_orders(orders)
     if materialize:
         ensure_checkpoint_dir(orders.sparkSession)
@@ -64,7 +67,9 @@ def run_pipeline(
     )
     tiered = P.classify_price_level(clean_products, clean=False, method=tier_method)
     enriched_products = P.sales_velocity(tiered, clean_orders, clean=False)
-    enriched_orders = O.enriched_orders(clean_orders, clean_customers, clean_products, clean=False)
+    enriched_orders = O.enriched_orders(
+        clean_orders, clean_customers, clean_products, clean=False, hot_key_rows=hot_key_rows
+    )
     if materialize:
         # Eight outputs read the denormalised orders; write them once too.
         enriched_orders = enriched_orders.checkpoint(eager=True)

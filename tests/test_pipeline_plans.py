@@ -122,3 +122,14 @@ def test_top_customer_trends_sorts_once(spark):
     plan = plan_text(catalog.QUERIES["r16_top_customer_trends"](spark, SF_SMALL))
     assert plan.count("rangepartitioning") == 1
     assert "TakeOrderedAndProject" in plan
+
+
+def test_salted_pipeline_matches(spark):
+    src = td.sources(spark, SF_SMALL, dirty=True)
+    plain = run_pipeline(src["customers"], src["orders"], src["products"], as_of=date(2001, 8, 1),
+                         tier_method="window")
+    salted = run_pipeline(src["customers"], src["orders"], src["products"], as_of=date(2001, 8, 1),
+                          tier_method="window", hot_key_rows=2)
+    for name in ["enriched_orders", "profit_summary", "profit_by_customer"]:
+        assert plain[name].exceptAll(salted[name]).count() == 0, name
+        assert salted[name].exceptAll(plain[name]).count() == 0, name
