@@ -163,6 +163,12 @@ register("e8_enriched_products", DIRTY + sql.enriched_products_sql())(
     lambda spark, d: P.enrich_products(td.products(spark, d, dirty=True), _dirty_orders(spark, d))
 )
 register("e9_enriched_orders", DIRTY + "SELECT * FROM enriched")(lambda spark, d: _enriched(spark, d, dirty=True))
+# The same rows through the salted joins: ids with 8 or more orders count as hot.
+register("e9_enriched_orders_salted", DIRTY + "SELECT * FROM enriched")(
+    lambda spark, d: O.enriched_orders(
+        *(td.sources(spark, d, dirty=True)[k] for k in ("orders", "customers", "products")), hot_key_rows=8
+    )
+)
 register("e10_profitable_orders", DIRTY + 'SELECT * FROM enriched WHERE "Profit" >= 0')(
     lambda spark, d: O.profitable_orders(_enriched(spark, d, dirty=True))
 )
