@@ -14,18 +14,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginlens.llm import line_dedup, mixing, packing
+from marginlens.llm import line_dedup, mixing, ngram_join, packing, quality
 from marginlens.plans.session import shared_scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def reject_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier predicts as label 0 go; texts are not changed."""
+    model = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score_quality(docs.select(*COLUMNS), model).filter("predicted = 1").select(*COLUMNS)
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in 10 documents or more go; every document stays, with its new length."""
     out = line_dedup.drop_repeated_lines(docs, min_docs=10, min_chars=1)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by 80 % of their five-word shingles, the one with the
+    smallest id stays.  Rows without id stay, and so do repeated rows of a
+    document that stays."""
+    found = ngram_join.jaccard_components(docs, size=5, percent=80)
+    gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each source repeated to its target rate (temperature 0.5)."""
     return mixing.mix_sources(docs, mixing.source_rates(docs.select("source"), alpha=0.5)).select(*COLUMNS)
@@ -37,7 +52,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", reject_junk),
     ("line_dedup", dedup_lines),
+    ("near_copies", drop_near_copies),
     ("mixing", mix),
     ("packing", pack),
 ]

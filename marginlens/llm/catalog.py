@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from marginlens.llm import line_dedup, mixing, packing
+from marginlens.llm import line_dedup, mixing, ngram_join, packing, quality
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_mix_sources": mixing.op8_mix_sources,
+    "op10_quality_classifier": quality.op10_quality_classifier,
 }
 
 SQL = {
