@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from marginlens.llm import line_dedup, mixing, ngram_join, packing, quality
+from marginlens.llm import chat, fingerprints, line_dedup, mixing, ngram_join, packing, quality
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op2_document_fingerprints": fingerprints.op2_document_fingerprints,
     "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
+    "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op10_quality_classifier": quality.op10_quality_classifier,
 }
 
 SQL = {
+    "op6_chat_formatting": chat.OP6_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
 }

@@ -47,10 +47,10 @@ def source_rates(docs: DataFrame, alpha: float = 0.5, total: float = 1.0) -> Dat
     """``source, rate`` for temperature weights: a source's share of the target
     is proportional to its number of documents to the power ``alpha``, and the
     mixture has ``total`` times as many documents as the corpus (in the mean)."""
-    n = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-    whole = n.agg(F.sum("n").alias("n_all"), F.sum(F.pow(F.col("n").cast("double"), F.lit(alpha))).alias("w_all"))
-    share = F.pow(F.col("n").cast("double"), F.lit(alpha)) / F.col("w_all")
-    return n.join(F.broadcast(whole)).select("source", (share * F.col("n_all") * total / F.col("n")).alias("rate"))
+    n = cut(docs.groupBy("source").agg(F.count(F.lit(1)).alias("n")))
+    weight = F.pow(F.col("n").cast("double"), F.lit(alpha))
+    whole = n.agg(F.sum("n").alias("n"), F.sum(weight).alias("w")).first()
+    return n.select("source", (weight / F.lit(whole["w"]) * F.lit(whole["n"]) * total / F.col("n")).alias("rate"))
 
 
 def mix_sources(docs: DataFrame, rates: DataFrame, seed: str = "mix", id_col: str = "doc_id") -> DataFrame:
