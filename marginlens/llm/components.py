@@ -3,7 +3,9 @@
 Each round joins edges to the smallest neighbour of their ends; the rounds
 end when the edges are stars around the smallest node of each component.
 Edges are first contracted within each partition, and every round is written
-as a checkpoint, so neither lineage nor memory grows with the rounds.
+as a checkpoint, so neither lineage nor memory grows with the rounds.  Once at
+most ``ONE_TASK`` edges are left (they are counted), one task contracts them
+to the same stars.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from marginlens.llm.scratch import cut
 
 #: Edges a task contracts at once.
 STRETCH = 500_000
+#: Edges that one task finishes: 16 bytes each, and a few hundred in its forest.
+ONE_TASK = 200_000
 
 
 class Forest:
@@ -65,18 +69,24 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, label`` for every node of ``edges`` (``u, v``: long, never
     NULL) that has another neighbour than itself; the label is the smallest
     node reachable.  Repeated edges, either direction and loops are fine."""
-    stars = cut(edges.filter("u != v").select("u", "v").mapInPandas(contract, "u long, v long").distinct())
+    def contracted(df: DataFrame) -> DataFrame:
+        return cut(df.mapInPandas(contract, "u long, v long").distinct())
+
+    stars = contracted(edges.filter("u != v").select("u", "v"))
     state = None
     while True:
+        now = tuple(stars.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.hash("v", "u"))).first())
+        if now == state or not now[0]:
+            break
+        if now[0] <= ONE_TASK:
+            stars = contracted(stars.coalesce(1))
+            break
+        state = now
         both = stars.select("u", "v").union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = cut(moved.union(least.select("u", F.col("m").alias("v"))).distinct())
-        now = tuple(stars.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.hash("v", "u"))).first())
-        if now == state or not now[0]:
-            break
-        state = now
     return stars.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
         stars.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from marginlens.llm import components as module
 from marginlens.llm import ngram_join
 from marginlens.llm.components import components
 
@@ -97,7 +98,9 @@ def test_index_meets_in_a_key():
         assert keys[0] & keys[1], trial
 
 
-def test_empty_table_and_far_components(spark):
+@pytest.mark.parametrize("one_task", [0, 200_000])
+def test_empty_table_and_far_components(spark, monkeypatch, one_task):
+    monkeypatch.setattr(module, "ONE_TASK", one_task)
     assert ngram_join.jaccard_components(spark.createDataFrame([], SCHEMA)).collect() == []
     chain = [(i + 1, i) for i in range(200)] + [(500, 900), (900, 501)]
     random.Random(0).shuffle(chain)
