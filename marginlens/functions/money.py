@@ -1,30 +1,47 @@
-"""Exact money arithmetic.
-
-A double sum depends on the order rows arrive in, so the same query can
-round differently on another partitioning.  Amounts are therefore cast to
-``decimal(18,4)`` before summing, rounded HALF_UP on the decimal, and cast
-back to double at the edge.  Rounding the decimal of a double equals rounding
-its shortest decimal text, which is what ``round`` on a double does.
+"""Money sums that do not depend on the order of rows.
+
+A double sum depends on the order rows arrive in, so the same query could
+round differently on another partitioning.  Amounts are summed as
+``decimal(38,12)`` and the sum handed out as the nearest double; single
+amounts are never cut or rounded on the way (twelve decimals hold every
+amount whose shortest text has no more).
+
+Amounts that a decimal cannot hold, NaN, infinities and anything from 1e15
+up, make their group's sum a plain double sum: NaN and infinities propagate as
+they do in double arithmetic, and large totals do not overflow.  NULL amounts
+are skipped, as in any sum.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 from marginlens.schemas import MONEY
 
+#: Below it, 1e11 amounts fit the decimal sum; from it on, doubles are coarser than cents anyway.
+WIDE = 1e15
+
 
-def money(column: Column | str) -> Column:
-    column = F.col(f"`{column}`") if isinstance(column, str) else column
-    return column.cast(MONEY)
+def exact_sum(amount: Column, over: WindowSpec | None = None) -> Column:
+    """Sum of a double column, as a double (NULL without amounts)."""
+    amount = amount.cast("double")
+    fits = F.abs(amount) < WIDE
+    parts = [F.sum(F.when(fits, amount.cast(MONEY))), F.coalesce(F.bool_or(~fits), F.lit(False)), F.sum(amount)]
+    if over is not None:
+        parts[0], parts[2] = parts[0].over(over), parts[2].over(over)
+        parts[1] = F.coalesce(F.bool_or(~fits).over(over), F.lit(False))
+    exact, wide, plain = parts
+    return F.when(wide, plain).otherwise(exact.cast("double"))
 
 
-def round_money(column: Column, scale: int = 2) -> Column:
-    """HALF_UP round of a decimal money expression, returned as double."""
-    return F.round(column, scale).cast("double")
+def exact_sum_sql(amount: str) -> str:
+    """``exact_sum`` as SQL text."""
+    fits = f"ABS({amount}) < {WIDE:.0f}D"
+    exact = f"CAST(SUM(CASE WHEN {fits} THEN CAST({amount} AS {MONEY.simpleString()}) END) AS DOUBLE)"
+    return f"CASE WHEN COALESCE(BOOL_OR(NOT ({fits})), FALSE) THEN SUM({amount}) ELSE {exact} END"
 
 
-def money_out(column: Column) -> Column:
-    """Unrounded decimal money expression as double."""
-    return column.cast("double")
+def round_money(amount: Column, scale: int = 2) -> Column:
+    """HALF_UP round of a double, on its shortest decimal text (what ``round`` does)."""
+    return F.round(amount, scale)

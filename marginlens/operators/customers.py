@@ -5,9 +5,10 @@ left-joined onto customers, so a customer without orders gets NULLs.
 
 The single-metric functions mirror the reference's building blocks; the
 pipeline uses :func:`enrich_customers`, which computes all four metrics in
-one aggregation and one join instead of four of each.  Cleaned orders and
-cleaned customers both come out of a window partitioned by their id, so the
-aggregate and the join reuse that partitioning.
+one aggregation and one join instead of four of each.  Cleaned orders come
+out of a window partitioned by order id, so the aggregate shuffles its partial
+results by customer id; cleaned customers are partitioned by customer id
+already, and the join reuses both.
 
 After :func:`clean_orders` every ``Order ID`` occurs once, so a distinct
 count of order ids equals a plain count; the plain count avoids the extra
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from marginlens import schemas as s
 from marginlens.functions.dates import order_date
 from marginlens.functions.labels import churn_label
-from marginlens.functions.money import money, money_out
+from marginlens.functions.money import exact_sum
 from marginlens.operators.cleaning import clean_customers, clean_orders
 
 CUSTOMER_METRICS = [
@@ -77,8 +78,8 @@ def lifetime_value(customers: DataFrame, orders: DataFrame, clean: bool = True)
         lines.filter(_c(s.PRICE) >= 0)
         .groupBy(s.CUSTOMER_ID)
         .agg(
-            money_out(F.sum(money(s.PRICE))).alias("total_sales"),
-            money_out(F.sum(money(s.PROFIT))).alias("total_profit"),
+            exact_sum(_c(s.PRICE)).alias("total_sales"),
+            exact_sum(_c(s.PROFIT)).alias("total_profit"),
             _order_count(deduped).alias("total_orders"),
         )
     )
@@ -86,7 +87,7 @@ def lifetime_value(customers: DataFrame, orders: DataFrame, clean: bool = True)
 
 
 def _average_order_value(deduped: bool) -> Column:
-    return F.try_divide(money_out(F.sum(money(s.PRICE))), _order_count(deduped))
+    return F.try_divide(exact_sum(_c(s.PRICE)), _order_count(deduped))
 
 
 def average_basket_size(customers: DataFrame, orders: DataFrame, clean: bool = True) -> DataFrame:
@@ -137,8 +138,8 @@ def customer_metrics(orders: DataFrame, as_of=None, clean: bool = True, deduplic
     lines, deduped = _prepare(orders, clean, deduplicated)
     valid = _c(s.PRICE) >= 0
     return lines.groupBy(s.CUSTOMER_ID).agg(
-        money_out(F.sum(F.when(valid, money(s.PRICE)))).alias("total_sales"),
-        money_out(F.sum(F.when(valid, money(s.PROFIT)))).alias("total_profit"),
+        exact_sum(F.when(valid, _c(s.PRICE))).alias("total_sales"),
+        exact_sum(F.when(valid, _c(s.PROFIT))).alias("total_profit"),
         F.nullif(_order_count(deduped, valid), F.lit(0)).alias("total_orders"),
         _average_order_value(deduped).alias("average_order_value"),
         F.count_distinct(_c(s.PRODUCT_ID)).alias("unique_products_purchased"),

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from marginlens import schemas as s
 from marginlens.functions.dates import order_date
-from marginlens.functions.money import money, round_money
+from marginlens.functions.money import exact_sum, round_money
 
 YEAR = "Year"
 
@@ -39,7 +39,7 @@ def _with_year(df: DataFrame) -> DataFrame:
 
 
 def _total_profit() -> Column:
-    return round_money(F.sum(money(s.PROFIT))).alias("Total_Profit")
+    return round_money(exact_sum(_c(s.PROFIT))).alias("Total_Profit")
 
 
 def profit_summary(enriched: DataFrame) -> DataFrame:

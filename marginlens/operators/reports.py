@@ -5,8 +5,8 @@ driver; here each one is a DataFrame.  Top-N cuts carry full tie-breakers so
 they are deterministic, and the SQL-style reports go through ``spark.sql``
 with the input passed as a parameter (no session-global view is touched).
 
-Sums of the (already rounded) profit columns are exact decimals; averages
-are the double quotient of that exact sum and the count.
+Sums of the (already rounded) profit columns are exact (``functions.money``);
+averages are the double quotient of that sum and the count.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginlens import schemas as s
-from marginlens.functions.money import money, money_out, round_money
+from marginlens.functions.money import exact_sum, exact_sum_sql, round_money
 
 
 def _c(name: str) -> Column:
@@ -23,11 +23,11 @@ def _c(name: str) -> Column:
 
 
 def _exact_sum(name: str) -> Column:
-    return F.sum(money(name))
+    return exact_sum(_c(name))
 
 
 def _mean(name: str) -> Column:
-    return money_out(_exact_sum(name)) / F.count(_c(name))
+    return F.try_divide(_exact_sum(name), F.count(_c(name)))
 
 
 def _keys_asc() -> list[Column]:
@@ -41,8 +41,8 @@ def summary_statistics(summary: DataFrame) -> DataFrame:
     return summary.agg(
         round_money(_exact_sum("Total_Profit")).alias("Total_Profit_All_Groups"),
         F.round(_mean("Total_Profit"), 2).alias("Average_Profit_Per_Group"),
-        round_money(money(F.max("Total_Profit"))).alias("Max_Profit_Group"),
-        round_money(money(F.min("Total_Profit"))).alias("Min_Profit_Group"),
+        round_money(F.max("Total_Profit")).alias("Max_Profit_Group"),
+        round_money(F.min("Total_Profit")).alias("Min_Profit_Group"),
         F.count(F.lit(1)).alias("Total_Groups"),
     )
 
@@ -89,9 +89,8 @@ def sql_profit_by_year(summary: DataFrame) -> DataFrame:
     """Unrounded yearly profit and group count, in SQL."""
     return _sql(
         summary,
-        """SELECT Year, CAST(SUM(CAST(Total_Profit AS DECIMAL(18,4))) AS DOUBLE) AS Total_Profit,
-                  COUNT(*) AS Groups
-           FROM {summary} GROUP BY Year ORDER BY Year""",
+        f"""SELECT Year, {exact_sum_sql("Total_Profit")} AS Total_Profit, COUNT(*) AS Groups
+            FROM {{summary}} GROUP BY Year ORDER BY Year""",
     )
 
 
@@ -100,7 +99,7 @@ def sql_top_customers(summary: DataFrame, n: int = 10) -> DataFrame:
     return _sql(
         summary,
         f"""SELECT `Customer Name`,
-                   CAST(SUM(CAST(Total_Profit AS DECIMAL(18,4))) AS DOUBLE) AS Total_Customer_Profit,
+                   {exact_sum_sql("Total_Profit")} AS Total_Customer_Profit,
                    COUNT(*) AS Order_Groups
             FROM {{summary}} GROUP BY `Customer Name`
             ORDER BY Total_Customer_Profit DESC, `Customer Name` LIMIT {int(n)}""",
@@ -111,10 +110,9 @@ def sql_category_performance(summary: DataFrame) -> DataFrame:
     """Profit and group count per category x sub-category, in SQL."""
     return _sql(
         summary,
-        """SELECT Category, `Sub-Category`,
-                  CAST(SUM(CAST(Total_Profit AS DECIMAL(18,4))) AS DOUBLE) AS Total_Profit, COUNT(*) AS Groups
-           FROM {summary} GROUP BY Category, `Sub-Category`
-           ORDER BY Category, Total_Profit DESC, `Sub-Category`""",
+        f"""SELECT Category, `Sub-Category`, {exact_sum_sql("Total_Profit")} AS Total_Profit, COUNT(*) AS Groups
+            FROM {{summary}} GROUP BY Category, `Sub-Category`
+            ORDER BY Category, Total_Profit DESC, `Sub-Category`""",
     )
 
 
@@ -200,7 +198,7 @@ def top_customer_trends(by_customer: DataFrame, by_customer_year: DataFrame, n:
     """
     top = by_customer.limit(n).select(s.CUSTOMER_NAME)
     rows = by_customer_year.join(F.broadcast(top), s.CUSTOMER_NAME, "left_semi")
-    total = F.sum(money("Total_Profit")).over(Window.partitionBy(_c(s.CUSTOMER_NAME)))
+    total = exact_sum(F.col("Total_Profit"), Window.partitionBy(_c(s.CUSTOMER_NAME)))
     return rows.withColumn("Customer_Total_Profit", round_money(total)).orderBy(
         _c(s.CUSTOMER_NAME).asc_nulls_first(), F.col("Year").asc_nulls_first()
     )

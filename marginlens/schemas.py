@@ -73,9 +73,9 @@ ENRICHED_ORDER_COLUMNS = [
 # Keys of the profit summary, in grouping and sort order.
 SUMMARY_KEYS = ["Year", CATEGORY, SUB_CATEGORY, CUSTOMER_NAME]
 
-# Money is accumulated as an exact decimal so sums do not depend on
-# partitioning, then rounded HALF_UP and handed out as double.
-MONEY = DecimalType(18, 4)
+# Money is summed as a wide exact decimal, so sums do not depend on
+# partitioning, and handed out as double (functions.money).
+MONEY = DecimalType(38, 12)
 
 # --- Fixed values (must equal the reference's for equal results) ------------
 # Dates in the source files are day/month/year without zero padding.
