@@ -33,6 +33,23 @@ def test_stream_ingest_applies_row_rules_exactly_once(spark):
     # A restart with nothing new adds nothing.
     ingest(row_rules(read_orders_stream(spark, inbox)), table, ckpt).awaitTermination()
     landed = spark.read.schema(ORDERS_SCHEMA).parquet(table)
-    assert sorted(r["Row ID"] for r in landed.collect()) == [1, 2, 6]
+    assert sorted(r["Row ID"] for r in landed.collect()) == [1, 2, 4, 6]
     cleaned = C.clean_orders(landed)
     assert sorted((r["Order ID"], r["Row ID"]) for r in cleaned.collect()) == [("O1", 1), ("O4", 6)]
+
+
+def test_a_bad_first_line_still_removes_its_order(spark):
+    base = tempfile.mkdtemp(prefix="marginlens-stream-")
+    inbox, table, ckpt = (os.path.join(base, n) for n in ("inbox", "table", "ckpt"))
+    os.makedirs(inbox)
+    line = {"Order Date": "1/1/2014", "Customer ID": "C1", "Product ID": "P1", "Quantity": 1, "Price": 10.0, "Profit": 1.0}
+    rows = [
+        {**line, "Row ID": 1, "Order ID": "O1", "Ship Date": "not a date"},
+        {**line, "Row ID": 2, "Order ID": "O1", "Ship Date": "3/1/2014"},
+        {**line, "Row ID": 3, "Order ID": "O2", "Ship Date": "3/1/2014"},
+    ]
+    _write(inbox, "a.json", rows)
+    ingest(row_rules(read_orders_stream(spark, inbox)), table, ckpt).awaitTermination()
+    batch = C.clean_orders(spark.read.schema(ORDERS_SCHEMA).json(inbox))
+    streamed = C.clean_orders(spark.read.schema(ORDERS_SCHEMA).parquet(table))
+    assert [r["Row ID"] for r in batch.collect()] == [r["Row ID"] for r in streamed.collect()] == [3]
