@@ -10,9 +10,10 @@ deterministic.  Only their dimension rows are copied once per salt value,
 and the join runs on (key, salt).  Every other row keeps salt 0, so the
 join moves nothing extra for them.
 
-The hot-key list has at most ``fact rows / min_rows`` entries; it is
-broadcast when the count is within ``broadcast_keys``, and joined by a
-shuffle otherwise (then the keys are many and none of them is very hot).
+The hot-key list has at most ``fact rows / min_rows`` entries.  Within
+``broadcast_keys`` (it is counted) it is broadcast; beyond, the fact rows look
+their key up by (key, salt), with the list copied once per salt, so no step
+ever sends all rows of a key to one task.
 """
 
 from __future__ import annotations
@@ -48,22 +49,28 @@ def salted_join(
     min_rows: int,
     buckets: int = 32,
     broadcast_keys: int = BROADCAST_KEYS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join of ``fact`` and ``dim`` (unique ``key``) on ``key``; same rows as ``fact.join(dim, key)``.
 
-    Writes one checkpoint (the hot-key list) and counts it when called.
+    ``hot`` is the checkpointed list of :func:`hot_keys`, if the caller has it
+    (of the same fact or of one with more rows); else it is written here.
+    ``fact`` should be cheap to read twice, as a checkpoint is.
     """
-    ensure_checkpoint_dir(fact.sparkSession)
-    hot = hot_keys(fact, key, min_rows).checkpoint(eager=True)
-    tags = F.broadcast(hot) if hot.count() <= broadcast_keys else hot
+    if hot is None:
+        ensure_checkpoint_dir(fact.sparkSession)
+        hot = hot_keys(fact, key, min_rows).checkpoint(eager=True)
+    row_salt = F.pmod(F.xxhash64(*[_c(c) for c in fact.columns]), F.lit(buckets)).cast("int")
+    fact_cols = [_c(c) for c in fact.columns]
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))
+    if hot.count() <= broadcast_keys:
+        tagged = fact.withColumn(SALT, row_salt).join(F.broadcast(hot), key, "left")
+        dim_tags = F.broadcast(hot)
+    else:
+        tagged = fact.withColumn(SALT, row_salt).join(hot.withColumn(SALT, every_salt), [key, SALT], "left")
+        dim_tags = hot
     is_hot = F.coalesce(F.col(HOT), F.lit(False))
-    row_hash = F.xxhash64(*[_c(c) for c in fact.columns])
-    salted_fact = fact.join(tags, key, "left").select(
-        *[_c(c) for c in fact.columns],
-        F.when(is_hot, F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0)).cast("int").alias(SALT),
-    )
+    salted_fact = tagged.select(*fact_cols, F.when(is_hot, F.col(SALT)).otherwise(F.lit(0)).alias(SALT))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-    salted_dim = dim.join(tags, key, "left").select(
-        *[_c(c) for c in dim.columns], F.explode(copies).alias(SALT)
-    )
+    salted_dim = dim.join(dim_tags, key, "left").select(*[_c(c) for c in dim.columns], F.explode(copies).alias(SALT))
     return salted_fact.join(salted_dim, [key, SALT], "inner").drop(SALT)

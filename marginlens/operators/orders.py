@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from marginlens import schemas as s
 from marginlens.operators.cleaning import clean_customers, clean_orders, clean_products, quote
-from marginlens.operators.joins import salted_join
-from marginlens.schemas import MONEY
+from marginlens.operators.joins import BROADCAST_KEYS, hot_keys, salted_join
+from marginlens.plans.session import ensure_checkpoint_dir
 
 
 def _c(name: str) -> Column:
@@ -22,6 +22,7 @@ def enriched_orders(
     clean: bool = True,
     hot_key_rows: int | None = None,
     salt_buckets: int = 32,
+    broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """Orders inner-joined to customers and products, ``Profit`` rounded to cents.
 
@@ -33,7 +34,8 @@ def enriched_orders(
 
     ``hot_key_rows`` turns on salted joins (``operators.joins``): a customer
     or product id with at least that many orders is spread over
-    ``salt_buckets`` tasks instead of one.  The rows are the same.
+    ``salt_buckets`` tasks instead of one.  The rows are the same; the cleaned
+    orders and the two lists of hot ids are written as checkpoints.
     """
     if clean:
         orders, customers, products = clean_orders(orders), clean_customers(customers), clean_products(products)
@@ -42,13 +44,17 @@ def enriched_orders(
     if hot_key_rows is None:
         joined = orders.join(customer_cols, s.CUSTOMER_ID, "inner").join(product_cols, s.PRODUCT_ID, "inner")
     else:
-        with_customer = salted_join(orders, customer_cols, s.CUSTOMER_ID, hot_key_rows, salt_buckets)
-        joined = salted_join(with_customer, product_cols, s.PRODUCT_ID, hot_key_rows, salt_buckets)
-    # One projection: the 12 kept columns and the profit rounded to cents
-    # (HALF_UP on the exact decimal, as ``round_money``).
+        # The orders are written once; both hot lists and the joins read that copy.
+        ensure_checkpoint_dir(orders.sparkSession)
+        orders = orders.checkpoint(eager=True)
+        hot = {k: hot_keys(orders, k, hot_key_rows).checkpoint(eager=True) for k in (s.CUSTOMER_ID, s.PRODUCT_ID)}
+        joined = orders
+        for dim, k in ((customer_cols, s.CUSTOMER_ID), (product_cols, s.PRODUCT_ID)):
+            joined = salted_join(joined, dim, k, hot_key_rows, salt_buckets, broadcast_keys, hot[k])
+    # One projection: the 12 kept columns and the profit rounded to cents, once, on the double.
     return joined.selectExpr(
         *[quote(c) for c in s.ENRICHED_ORDER_COLUMNS if c != s.PROFIT],
-        f"CAST(ROUND(CAST({quote(s.PROFIT)} AS {MONEY.simpleString()}), 2) AS DOUBLE) AS {quote(s.PROFIT)}",
+        f"ROUND({quote(s.PROFIT)}, 2) AS {quote(s.PROFIT)}",
     ).select(*s.ENRICHED_ORDER_COLUMNS)
 
 

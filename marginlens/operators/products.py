@@ -85,13 +85,12 @@ def ntile_from_rank(rank: Column, total: Column, buckets: int = s.PRICE_TIERS) -
 
 _POS, _PART, _CK, _CN = "__pos", "__part", "__cat_key", "__cat_null"
 
-# Largest offsets table (rows) that is broadcast; a row is a few longs and a
-# category, so this stays in the tens of megabytes.
-BROADCAST_RUNS = 200_000
+# Largest offsets table (bytes of its longs and category texts) that is broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def _tiers_range(
-    products: DataFrame, partitions: int | None = None, broadcast_runs: int = BROADCAST_RUNS
+    products: DataFrame, partitions: int | None = None, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     order = [_c(s.CATEGORY).asc_nulls_first(), *_tier_order(products)]
     if partitions is None:
@@ -120,8 +119,9 @@ def _tiers_range(
         F.sum("__run").over(by_category).alias("__total"),
     )
     runs = runs.checkpoint(eager=True)
-    if runs.count() <= broadcast_runs:
-        numbered, runs = numbered, F.broadcast(runs)
+    size = runs.agg(F.sum(F.octet_length(_CK) + 64)).first()[0] or 0
+    if size <= broadcast_bytes:
+        runs = F.broadcast(runs)
     else:
         numbered, runs = numbered.repartition(*run_key), runs.repartition(*run_key)
     rank = F.col("__offset") + (F.col(_POS) - F.col("__first"))
@@ -131,7 +131,9 @@ def _tiers_range(
     )
 
 
-def classify_price_level(products: DataFrame, clean: bool = True, method: str = "range") -> DataFrame:
+def classify_price_level(
+    products: DataFrame, clean: bool = True, method: str = "range", broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """``price_tier`` (1-4) and ``price_position`` within each category.
 
     ``method="range"`` (default) is the distributed rank and writes its
@@ -143,7 +145,7 @@ def classify_price_level(products: DataFrame, clean: bool = True, method: str =
     if method == "window":
         tiered = _tiers_window(df)
     elif method == "range":
-        tiered = _tiers_range(df)
+        tiered = _tiers_range(df, broadcast_bytes=broadcast_bytes)
     else:
         raise ValueError(f"unknown method {method!r}; expected 'window' or 'range'")
     return _with_position(tiered)

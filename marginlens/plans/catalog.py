@@ -77,6 +77,15 @@ register("a5_profit_by_customer_year", CLEAN + sql.aggregate_sql(["Customer Name
     lambda spark, d: A.profit_by_customer_year(_enriched(spark, d), unique_orders=True)
 )
 
+# The public default: an exact distinct count of order ids.
+for _name, _fn, _keys in [
+    ("a2_profit_by_year_distinct", A.profit_by_year, ["Year"]),
+    ("a3_profit_by_year_category_distinct", A.profit_by_year_category, ["Year", "Category"]),
+    ("a4_profit_by_customer_distinct", A.profit_by_customer, ["Customer Name"]),
+    ("a5_profit_by_customer_year_distinct", A.profit_by_customer_year, ["Customer Name", "Year"]),
+]:
+    register(_name, CLEAN + sql.aggregate_sql(_keys))(lambda spark, d, fn=_fn: fn(_enriched(spark, d)))
+
 # --- C: cleaning rules (dirty adapter) --------------------------------------
 
 
@@ -148,13 +157,14 @@ register("e4_churn_risk", DIRTY + sql.churn_risk_sql())(
 register("e5_enriched_customers", DIRTY + sql.enriched_customers_sql())(
     _customers_q(lambda c, o: E.enrich_customers(c, o, as_of=AS_OF))
 )
-# Both keys run the distributed rank (the default); the ``ntile`` window keeps
-# a whole category in one task and stays a small-input option and test model.
+# Both keys run the distributed rank, the second with its offsets joined by a
+# shuffle instead of a broadcast; the ``ntile`` window keeps a whole category
+# in one task and stays a small-input option and test model.
 register("e6_price_tier", DIRTY + sql.price_tier_sql())(
     lambda spark, d: P.classify_price_level(td.products(spark, d, dirty=True))
 )
 register("e6_price_tier_range", DIRTY + sql.price_tier_sql())(
-    lambda spark, d: P.classify_price_level(td.products(spark, d, dirty=True), method="range")
+    lambda spark, d: P.classify_price_level(td.products(spark, d, dirty=True), broadcast_bytes=0)
 )
 register("e7_sales_velocity", DIRTY + sql.sales_velocity_sql())(
     lambda spark, d: P.sales_velocity(td.products(spark, d, dirty=True), _dirty_orders(spark, d))
@@ -163,16 +173,43 @@ register("e8_enriched_products", DIRTY + sql.enriched_products_sql())(
     lambda spark, d: P.enrich_products(td.products(spark, d, dirty=True), _dirty_orders(spark, d))
 )
 register("e9_enriched_orders", DIRTY + "SELECT * FROM enriched")(lambda spark, d: _enriched(spark, d, dirty=True))
-# The same rows through the salted joins: ids with 8 or more orders count as hot.
+# The same rows through the salted joins: ids with 8 or more orders count as hot,
+# once with the list of hot ids broadcast and once too long for that.
 register("e9_enriched_orders_salted", DIRTY + "SELECT * FROM enriched")(
     lambda spark, d: O.enriched_orders(
         *(td.sources(spark, d, dirty=True)[k] for k in ("orders", "customers", "products")), hot_key_rows=8
     )
 )
+register("e9_enriched_orders_many_hot_ids", DIRTY + "SELECT * FROM enriched")(
+    lambda spark, d: O.enriched_orders(
+        *(td.sources(spark, d, dirty=True)[k] for k in ("orders", "customers", "products")), hot_key_rows=2,
+        broadcast_keys=0,
+    )
+)
 register("e10_profitable_orders", DIRTY + 'SELECT * FROM enriched WHERE "Profit" >= 0')(
     lambda spark, d: O.profitable_orders(_enriched(spark, d, dirty=True))
 )
 
+# --- amounts that a narrow decimal would cut, round twice or overflow ---------
+
+# 5 to 8 decimals just below half a cent; a sum of many tiny prices; totals over 1e15.
+EDGES = {"profit": "CAST(l_linenumber AS DOUBLE) + CAST(l_suppkey % 100 AS DOUBLE) / 100 + CAST(0.00499996 AS DOUBLE)"}
+SMALL = {"price": "CAST(0.00004 AS DOUBLE)"}
+LARGE = {"profit": "CAST(90000000000000 AS DOUBLE) + l_linenumber"}
+
+
+def _with_amounts(amounts: dict[str, str], fn) -> QueryFn:
+    return lambda spark, d: fn(*(td.sources(spark, d, **amounts)[k] for k in ("orders", "customers", "products")))
+
+
+register("e9_rounding_edges", sql.ctes(**EDGES) + "SELECT * FROM enriched")(_with_amounts(EDGES, O.enriched_orders))
+register("e1_small_amounts", sql.ctes(**SMALL) + sql.lifetime_value_sql())(
+    _with_amounts(SMALL, lambda o, c, p: E.lifetime_value(c, o))
+)
+register("r1_large_totals", sql.ctes(**LARGE) + sql.with_aggregates() + sql.REPORT_SQL["r1"])(
+    _with_amounts(LARGE, lambda o, c, p: R.summary_statistics(A.profit_summary(O.enriched_orders(o, c, p))))
+)
+
 # --- R: reports -------------------------------------------------------------
 
 
@@ -188,11 +225,21 @@ for _name, _fn, _key in [
     ("r3_category_breakdown", R.category_breakdown, "r3"),
     ("r4_top_groups", R.top_groups, "r4"),
     ("r5_bottom_groups", R.bottom_groups, "r5"),
+]:
+    register(_name, AGG + sql.REPORT_SQL[_key])(lambda spark, d, fn=_fn: fn(_summary(spark, d)))
+
+
+def _summary_view(spark: SparkSession, d: str) -> DataFrame:
+    return spark.table(views.register_enriched_views(profit_summary=_summary(spark, d))["profit_summary"])
+
+
+# The SQL reports read the summary's registered view, as a SQL user would.
+for _name, _fn, _key in [
     ("r6_sql_profit_by_year", R.sql_profit_by_year, "r6"),
     ("r7_sql_top_customers", R.sql_top_customers, "r7"),
     ("r8_sql_category_performance", R.sql_category_performance, "r8"),
 ]:
-    register(_name, AGG + sql.REPORT_SQL[_key])(lambda spark, d, fn=_fn: fn(_summary(spark, d)))
+    register(_name, AGG + sql.REPORT_SQL[_key])(lambda spark, d, fn=_fn: fn(_summary_view(spark, d)))
 
 
 def _enriched_customers(spark: SparkSession, d: str) -> DataFrame:
@@ -372,14 +419,41 @@ def _pipeline_output(name: str):
     return run
 
 
-for _name, _sql in [
-    ("enriched_customers", sql.enriched_customers_ctes() + "SELECT * FROM enriched_customers"),
-    ("enriched_products", sql.enriched_products_ctes() + "SELECT * FROM enriched_products"),
-    ("enriched_orders", "SELECT * FROM enriched"),
-    ("profit_summary", sql.profit_summary_sql()),
-    ("profit_by_customer_year", sql.aggregate_sql(["Customer Name", "Year"])),
-]:
-    register(f"p1_pipeline_{_name}", DIRTY + _sql)(_pipeline_output(_name))
+def _validation_sql() -> str:
+    """The eight reports of the pipeline in one."""
+    parts = {
+        "enriched_customers": sql.enriched_customers_ctes() + sql.keyed_validation(
+            "enriched_customers", '"Customer ID"', sql.V1_CHECKS, "null_customer_id", "duplicate_customer_id"),
+        "enriched_products": sql.enriched_products_ctes() + sql.keyed_validation(
+            "enriched_products", '"Product ID"', sql.V2_CHECKS, "null_product_id", "duplicate_product_id"),
+        "enriched_orders": sql.v3_sql(),
+        "profit_summary": sql.v4_sql(),
+        **{name: sql.v5_sql(keys) for name, keys in sql.AGGREGATE_KEYS.items()},
+    }
+    return "\nUNION ALL ".join(f"SELECT '{name}' AS output, * FROM ({DIRTY} {text})" for name, text in parts.items())
+
+
+PIPELINE_SQL = {
+    "profiles": DIRTY + "\nUNION ALL ".join(f"SELECT * FROM ({sql.profile_sql(k)})" for k in ("customers", "orders", "products")),
+    "cleaning_report": DIRTY + sql.cleaning_report_sql(),
+    "clean_orders": DIRTY + "SELECT * FROM cln_orders",
+    "clean_customers": DIRTY + "SELECT * FROM cln_customers",
+    "clean_products": DIRTY + "SELECT * FROM cln_products",
+    "enriched_customers": DIRTY + sql.enriched_customers_ctes() + "SELECT * FROM enriched_customers",
+    "enriched_products": DIRTY + sql.enriched_products_ctes() + "SELECT * FROM enriched_products",
+    "enriched_orders": DIRTY + "SELECT * FROM enriched",
+    "profitable_orders": DIRTY + 'SELECT * FROM enriched WHERE "Profit" >= 0',
+    "profit_summary": DIRTY + sql.profit_summary_sql(),
+    **{name: DIRTY + sql.aggregate_sql(keys) for name, keys in sql.AGGREGATE_KEYS.items()},
+    "validation": _validation_sql(),
+}
+for _name, _sql in PIPELINE_SQL.items():
+    register(f"p1_pipeline_{_name}", _sql)(_pipeline_output(_name))
+register("p1_pipeline_materialized_profit_summary", PIPELINE_SQL["profit_summary"])(
+    lambda spark, d: run_pipeline(
+        *(_dirty(spark, d)[k] for k in ("customers", "orders", "products")), as_of=AS_OF, materialize=True
+    )["profit_summary"]
+)
 
 # --- S1: workbooks, round-tripped in memory ---------------------------------
 

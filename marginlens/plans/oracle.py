@@ -28,7 +28,8 @@ def year_of(col: str = '"Order Date"') -> str:
 
 
 def money(col: str) -> str:
-    return f"CAST({col} AS DECIMAL(18,4))"
+    """Wide enough to hold every amount's text; not the engine's own type."""
+    return f"CAST({col} AS DECIMAL(38,10))"
 
 
 def round_money(expr: str) -> str:
@@ -73,7 +74,9 @@ def _products(dirty: bool) -> str:
     return body
 
 
-def _orders(dirty: bool) -> str:
+def _orders(dirty: bool, profit: str | None = None, price: str = "l.l_extendedprice") -> str:
+    profit = profit or ("CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * (0.05 - CAST(l.l_discount AS DECIMAL(4,2))) "
+                        "AS DOUBLE)")
     if dirty:
         oid = "CASE WHEN l.l_linenumber = 7 AND l.l_suppkey % 10 = 0 THEN NULL ELSE l.l_orderkey END"
         ship = ("CASE WHEN l.l_partkey % 17 = 0 THEN strftime(l.l_shipdate, '%Y-%m-%d') "
@@ -88,9 +91,8 @@ def _orders(dirty: bool) -> str:
     SELECT CAST(l.l_linenumber AS BIGINT) * 1000000000000 + l.l_partkey * 100000 + l.l_suppkey AS "Row ID",
            {oid} AS "Order ID", strftime(o.o_orderdate, '%-d/%-m/%Y') AS "Order Date", {ship} AS "Ship Date",
            o.o_orderpriority AS "Ship Mode", {cid} AS "Customer ID", {pid} AS "Product ID",
-           CAST(l.l_quantity AS INTEGER) AS "Quantity", l.l_extendedprice AS "Price", l.l_discount AS "Discount",
-           CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * (0.05 - CAST(l.l_discount AS DECIMAL(4,2))) AS DOUBLE)
-             AS "Profit"
+           CAST(l.l_quantity AS INTEGER) AS "Quantity", {price} AS "Price", l.l_discount AS "Discount",
+           {profit} AS "Profit"
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
 
 
@@ -119,13 +121,14 @@ DATES_VALID = f"{parsed(ORDER_DATE)} IS NOT NULL AND {parsed(SHIP_DATE)} IS NOT
 CLEAN_NAME = r"""trim(regexp_replace(regexp_replace("Customer Name", '[^a-zA-Z\s]', '', 'g'), '\s+', ' ', 'g'))"""
 
 
-def ctes(dirty: bool = False) -> str:
-    """WITH clause defining src_*, cln_* and ``enriched`` over the raw views."""
+def ctes(dirty: bool = False, **amounts: str) -> str:
+    """WITH clause defining src_*, cln_* and ``enriched`` over the raw views;
+    ``profit`` and ``price`` replace the amounts of the order lines."""
     dedup = keep_first("src_orders", '"Order ID"', ORDER_TIEBREAK, '"Profit" >= 0 AND "Order ID" IS NOT NULL')
     return f"""WITH
   src_customers AS ({_customers(dirty)}),
   src_products AS ({_products(dirty)}),
-  src_orders AS ({_orders(dirty)}),
+  src_orders AS ({_orders(dirty, **amounts)}),
   cln_orders AS (
     SELECT * FROM ({dedup})
     WHERE {DATES_VALID} AND "Customer ID" IS NOT NULL AND "Product ID" IS NOT NULL),
@@ -363,8 +366,8 @@ BY_CUSTOMER_ORDER = '"Total_Profit" DESC NULLS LAST, "Customer Name" ASC NULLS F
 REPORT_SQL = {
     "r1": f"""SELECT {round_money(exact_sum(TP))} AS Total_Profit_All_Groups,
        {round_double(mean(TP))} AS Average_Profit_Per_Group,
-       {round_money(f"CAST(MAX({TP}) AS DECIMAL(18,4))")} AS Max_Profit_Group,
-       {round_money(f"CAST(MIN({TP}) AS DECIMAL(18,4))")} AS Min_Profit_Group,
+       {round_money(money(f"MAX({TP})"))} AS Max_Profit_Group,
+       {round_money(money(f"MIN({TP})"))} AS Min_Profit_Group,
        COUNT(*) AS Total_Groups FROM summary""",
     "r2": f"""SELECT "Year", {round_money(exact_sum(TP))} AS Yearly_Profit, COUNT(*) AS Groups_Per_Year
        FROM summary GROUP BY "Year" """,
@@ -516,9 +519,17 @@ def v4_sql() -> str:
 {report_rows("v_one", names)}"""
 
 
-def v5_sql() -> str:
+AGGREGATE_KEYS = {
+    "profit_by_year": ["Year"],
+    "profit_by_year_category": ["Year", "Category"],
+    "profit_by_customer": ["Customer Name"],
+    "profit_by_customer_year": ["Customer Name", "Year"],
+}
+
+
+def v5_sql(keys: list[str] | None = None) -> str:
     return f""",
-  by_year AS ({aggregate_sql(["Year"])}),
+  by_year AS ({aggregate_sql(keys or ["Year"])}),
   v_one AS (SELECT COUNT(*) AS n, COUNT_IF("Total_Profit" IS NULL) AS null_total_profit,
                    COUNT_IF("Order_Count" IS NULL) AS null_order_count,
                    COUNT_IF("Order_Count" <= 0) AS non_positive_order_count,

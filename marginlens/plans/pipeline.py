@@ -1,24 +1,28 @@
 """End-to-end pipeline.
 
-``run_pipeline`` returns every output of the reference's main program as a
-lazy DataFrame: profiles, the cleaning report, enriched customers and
-products, the denormalised orders, the profit summary and aggregates, and
-one validation report.  The caller picks the actions (show, write, count);
-building the outputs starts only the checkpoint writes described below.
+``run_pipeline`` returns a mapping of every output of the reference's main
+program: profiles, the cleaning report, the cleaned tables, enriched customers
+and products, the denormalised orders, the profit summary and aggregates, and
+one validation report.  An output's plan is built when it is asked for, from
+the plans that it needs, and nothing else is; the caller picks the actions
+(show, write, count).
 
 The sources are cleaned once and every output is derived from the same
 cleaned frames.  Spark re-executes a shared input for each action, so when
 several outputs are materialised, ``materialize=True`` writes the cleaned
 orders and the denormalised orders (the two large tables, each read by many
-outputs) once as reliable checkpoints in the session's
+outputs) once, when first asked for, as reliable checkpoints in the session's
 ``spark.checkpoint.dir``: later actions read those copies, and a lost
-executor does not force the cleaning and joins to rerun.  Those writes (and
-the range price tiers' one, see ``operators.products``) are the only jobs
-the pipeline starts by itself.
+executor does not force the cleaning and joins to rerun.  Those writes and
+the range price tiers' one (see ``operators.products``) are the only jobs that
+asking for an output may start.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +47,94 @@ def _tagged(report: DataFrame, output: str) -> DataFrame:
     return report.select(F.lit(output).alias("output"), "check", "violations", "passed")
 
 
+class Outputs(Mapping):
+    """Output name -> DataFrame, each built once when first asked for."""
+
+    NAMES = (
+        "profiles", "cleaning_report", "clean_orders", "clean_customers", "clean_products", "enriched_customers",
+        "enriched_products", "enriched_orders", "profitable_orders", "profit_summary", *AGGREGATES, "validation",
+    )
+
+    def __init__(self, customers, orders, products, as_of, tier_method, materialize, hot_key_rows):
+        self.customers, self.orders, self.products = customers, orders, products
+        self.as_of, self.tier_method = as_of, tier_method
+        self.materialize, self.hot_key_rows = materialize, hot_key_rows
+        self._built: dict[str, DataFrame] = {}
+
+    def __iter__(self):
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise KeyError(name)
+        if name not in self._built:
+            self._built[name] = self._aggregate(name) if name in AGGREGATES else getattr(self, f"_{name}")()
+        return self._built[name]
+
+    def _written(self, df: DataFrame) -> DataFrame:
+        if not self.materialize:
+            return df
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+
+    def _profiles(self) -> DataFrame:
+        return (
+            Q.profile(self.customers, "customers")
+            .unionByName(Q.profile(self.orders, "orders"))
+            .unionByName(Q.profile(self.products, "products"))
+        )
+
+    def _cleaning_report(self) -> DataFrame:
+        return C.cleaning_report(self.customers, self.orders, self.products)
+
+    def _clean_orders(self) -> DataFrame:
+        return self._written(C.clean_orders(self.orders))
+
+    def _clean_customers(self) -> DataFrame:
+        return C.clean_customers(self.customers)
+
+    def _clean_products(self) -> DataFrame:
+        return C.clean_products(self.products)
+
+    def _enriched_customers(self) -> DataFrame:
+        return E.enrich_customers(
+            self["clean_customers"], self["clean_orders"], as_of=self.as_of, clean=False, deduplicated=True
+        )
+
+    def _enriched_products(self) -> DataFrame:
+        tiered = P.classify_price_level(self["clean_products"], clean=False, method=self.tier_method)
+        return P.sales_velocity(tiered, self["clean_orders"], clean=False)
+
+    def _enriched_orders(self) -> DataFrame:
+        return self._written(O.enriched_orders(
+            self["clean_orders"], self["clean_customers"], self["clean_products"], clean=False,
+            hot_key_rows=self.hot_key_rows,
+        ))
+
+    def _profitable_orders(self) -> DataFrame:
+        return O.profitable_orders(self["enriched_orders"])
+
+    def _profit_summary(self) -> DataFrame:
+        return A.profit_summary(self["enriched_orders"])
+
+    def _aggregate(self, name: str) -> DataFrame:
+        # One row per order id here (see ``operators.profit``): plain counts suffice.
+        return AGGREGATES[name](self["enriched_orders"], unique_orders=True)
+
+    def _validation(self) -> DataFrame:
+        reports = {
+            "enriched_customers": V.validate_enriched_customers(self["enriched_customers"]),
+            "enriched_products": V.validate_enriched_products(self["enriched_products"]),
+            "enriched_orders": V.validate_enriched_orders(self["enriched_orders"], self.orders),
+            "profit_summary": V.validate_profit_summary(self["profit_summary"], self["enriched_orders"]),
+            **{name: V.validate_profit_aggregate(self[name]) for name in AGGREGATES},
+        }
+        return reduce(DataFrame.unionByName, (_tagged(report, name) for name, report in reports.items()))
+
+
 def run_pipeline(
     customers: DataFrame,
     orders: DataFrame,
@@ -51,57 +143,8 @@ def run_pipeline(
     tier_method: str = "range",
     materialize: bool = False,
     hot_key_rows: int | None = None,
-) -> dict[str, DataFrame]:
-    """All outputs, keyed by name.  ``as_of`` fixes the recency date (default: today);
-    ``hot_key_rows`` salts the order joins on ids with that many orders
-    (``operators.joins``)."""
-    clean_orders = C.clean_orders(orders)
-    if materialize:
-        ensure_checkpoint_dir(orders.sparkSession)
-        clean_orders = clean_orders.checkpoint(eager=True)
-    clean_customers = C.clean_customers(customers)
-    clean_products = C.clean_products(products)
-
-    enriched_customers = E.enrich_customers(
-        clean_customers, clean_orders, as_of=as_of, clean=False, deduplicated=True
-    )
-    tiered = P.classify_price_level(clean_products, clean=False, method=tier_method)
-    enriched_products = P.sales_velocity(tiered, clean_orders, clean=False)
-    enriched_orders = O.enriched_orders(
-        clean_orders, clean_customers, clean_products, clean=False, hot_key_rows=hot_key_rows
-    )
-    if materialize:
-        # Eight outputs read the denormalised orders; write them once too.
-        enriched_orders = enriched_orders.checkpoint(eager=True)
-    summary = A.profit_summary(enriched_orders)
-    # One row per order id here (see ``operators.profit``): plain counts suffice.
-    aggregates = {name: fn(enriched_orders, unique_orders=True) for name, fn in AGGREGATES.items()}
-
-    validation = (
-        _tagged(V.validate_enriched_customers(enriched_customers), "enriched_customers")
-        .unionByName(_tagged(V.validate_enriched_products(enriched_products), "enriched_products"))
-        .unionByName(_tagged(V.validate_enriched_orders(enriched_orders, orders), "enriched_orders"))
-        .unionByName(_tagged(V.validate_profit_summary(summary, enriched_orders), "profit_summary"))
-    )
-    for name, df in aggregates.items():
-        validation = validation.unionByName(_tagged(V.validate_profit_aggregate(df), name))
-
-    profiles = (
-        Q.profile(customers, "customers")
-        .unionByName(Q.profile(orders, "orders"))
-        .unionByName(Q.profile(products, "products"))
-    )
-    return {
-        "profiles": profiles,
-        "cleaning_report": C.cleaning_report(customers, orders, products),
-        "clean_orders": clean_orders,
-        "clean_customers": clean_customers,
-        "clean_products": clean_products,
-        "enriched_customers": enriched_customers,
-        "enriched_products": enriched_products,
-        "enriched_orders": enriched_orders,
-        "profitable_orders": O.profitable_orders(enriched_orders),
-        "profit_summary": summary,
-        **aggregates,
-        "validation": validation,
-    }
+) -> Outputs:
+    """All outputs by name, built on request.  ``as_of`` fixes the recency date
+    (default: today); ``hot_key_rows`` salts the order joins on ids with that
+    many orders (``operators.joins``)."""
+    return Outputs(customers, orders, products, as_of, tier_method, materialize, hot_key_rows)

@@ -112,11 +112,12 @@ def products(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame
     return out.unionByName(copies)
 
 
-def orders(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    # Lines are hash-partitioned on the order key once: the join to orders
-    # and the keep-first dedupe (on the same key) then need no other shuffle
-    # of the big side, and the work after the scan is spread over all tasks.
-    li = table(spark, sf_dir, "lineitem").repartition("l_orderkey")
+def orders(
+    spark: SparkSession, sf_dir: str, dirty: bool = False, profit: str | None = None, price: str = "l_extendedprice"
+) -> DataFrame:
+    """Order lines; ``profit`` and ``price`` are other SQL expressions over the
+    raw columns, for queries about unusual amounts."""
+    li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
     lines = li.join(o, F.expr("l_orderkey = o_orderkey"), "inner")
     if dirty:
@@ -131,6 +132,7 @@ def orders(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     # integer hundredths and divided once, it is the same double as the decimal
     # cast (both are the correctly rounded quotient of two exact integers).
     margin = int(PROFIT_MARGIN * 100)
+    margins = f"({_cents('l_extendedprice')} * ({margin} - {_cents('l_discount')})) / 10000D"
     return lines.selectExpr(
         f"CAST(l_linenumber AS BIGINT) * {ROW_ID_LINE} + l_partkey * {ROW_ID_PART} + l_suppkey AS `Row ID`",
         f"{order_id} AS `Order ID`",
@@ -140,15 +142,15 @@ def orders(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
         f"{customer_id} AS `Customer ID`",
         f"{product_id} AS `Product ID`",
         "CAST(l_quantity AS INT) AS Quantity",
-        "l_extendedprice AS Price",
+        f"{price} AS Price",
         "l_discount AS Discount",
-        f"({_cents('l_extendedprice')} * ({margin} - {_cents('l_discount')})) / 10000D AS Profit",
+        f"{profit or margins} AS Profit",
     )
 
 
-def sources(spark: SparkSession, sf_dir: str, dirty: bool = False) -> dict[str, DataFrame]:
+def sources(spark: SparkSession, sf_dir: str, dirty: bool = False, **amounts: str) -> dict[str, DataFrame]:
     return {
         "customers": customers(spark, sf_dir, dirty),
-        "orders": orders(spark, sf_dir, dirty),
+        "orders": orders(spark, sf_dir, dirty, **amounts),
         "products": products(spark, sf_dir, dirty),
     }

@@ -19,7 +19,7 @@ def tiers(df):
 @pytest.mark.parametrize("method", ["window", "range"])
 def test_price_positions(spark, method):
     a = spark.createDataFrame(
-        [("P1", "Tech", 1200.0), ("P2", "Tech", 1000.0), ("P3", "Tech", 200.0), ("P4", "Tech", 100.0)], SCHEMA
+        [("P1", "Lamps", 95.5), ("P2", "Lamps", 61.0), ("P3", "Lamps", 22.25), ("P4", "Lamps", 3.0)], SCHEMA
     )
     out = tiers(P.classify_price_level(a, method=method))
     assert out == {"P1": "Premium", "P2": "Mid-Range", "P3": "Mid-Range", "P4": "Budget"}
@@ -54,7 +54,7 @@ def test_range_tiers_without_broadcast_match(spark):
 
     products = C.clean_products(td.products(spark, SF_SMALL, dirty=True))
     window = P.classify_price_level(products, clean=False, method="window")
-    shuffled = P._with_position(P._tiers_range(products, broadcast_runs=0))
+    shuffled = P._with_position(P._tiers_range(products, broadcast_bytes=0))
     assert window.exceptAll(shuffled).count() == 0 and shuffled.exceptAll(window).count() == 0
 
 

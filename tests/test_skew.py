@@ -84,3 +84,31 @@ def test_salted_joins_spread_the_hot_customer_and_keep_every_row(spark):
                              "Customer ID", 1000, buckets=8)
         tasks = joined.where("`Customer ID` = 1").select(F.spark_partition_id().alias("p")).distinct().count()
     assert tasks > 1
+
+
+def test_many_hot_ids_never_meet_in_one_task(spark):
+    # Past the broadcast limit the orders look up the hot ids by (id, salt).
+    orders, customers, products = hot_sources(spark)
+    plain = O.enriched_orders(orders, customers, products)
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1",
+              spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        salted = O.enriched_orders(orders, customers, products, hot_key_rows=2, salt_buckets=8, broadcast_keys=0)
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+        assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+    # No exchange of order lines (they carry a Quantity) on an id alone.
+    lines = plan.split("\n")
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning(Customer ID" in line or "Exchange hashpartitioning(Product ID" in line:
+            assert "__salt" in line or "Quantity" not in lines[i + 1], line
+
+
+def test_hot_order_id_is_trimmed_before_the_shuffle(spark):
+    from marginlens.operators.cleaning import clean_orders
+    from marginlens.sources.testdata import table
+
+    lines = table(spark, SF_CHECK, "lineitem").selectExpr(
+        "CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey AS `Row ID`",
+        "CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE l_orderkey END AS `Order ID`", "l_discount AS Profit")
+    plan = clean_orders(lines)._jdf.queryExecution().executedPlan().toString()
+    partial = plan.index("Partial")
+    assert plan.index("Final") < plan.index("Exchange hashpartitioning(Order ID") < partial
