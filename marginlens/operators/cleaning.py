@@ -193,50 +193,56 @@ def orders_cleaning_report(orders: DataFrame) -> DataFrame:
 
     ``negative_profit`` counts ``Profit < 0`` as the reference reports it;
     NULL profits, which the same rule also drops, are reported separately.
-    Two aggregations: one over all rows for the row-local rules before the
-    dedupe (column pruning narrows its scan to the profit and order-id
-    columns), one over the kept rows for the rules after it.
+    One pass: an aggregation per order id, which Spark combines on the map
+    side, holds the rules' counts and the line that the dedupe keeps (the
+    smallest struct of the tie-break columns, in its order); a second, global
+    one adds them up and looks at the kept lines.
     """
     cols = orders.columns
     profit, oid = _c(s.PROFIT), _c(s.ORDER_ID)
-    before = [
-        F.count(F.lit(1)).alias("original"),
+    has_id = s.ORDER_ID in cols
+    passed = (profit >= 0) if s.PROFIT in cols else F.lit(True)
+    line = F.struct(*[_c(n) for n in tiebreak_names(orders, [s.ORDER_ID])])
+    counts = [
+        F.count(F.lit(1)).alias("__n"),
         (F.count_if(profit.isNull()) if s.PROFIT in cols else _zero()).alias("null_profit"),
         (F.count_if(profit < 0) if s.PROFIT in cols else _zero()).alias("negative_profit"),
     ]
-    # NULL ids are counted among rows that passed the profit rule.
-    passed_profit = (profit >= 0) if s.PROFIT in cols else F.lit(True)
-    before.append(
-        (F.count_if(passed_profit & oid.isNull()) if s.ORDER_ID in cols else _zero()).alias("null_order_id")
-    )
-    head = orders.agg(*before).withColumn(
-        "__reached", F.col("original") - F.col("null_profit") - F.col("negative_profit") - F.col("null_order_id")
-    )
-    survived = drop_null(drop_negative_profit(orders), s.ORDER_ID)
-
-    kept = dedupe_orders(survived)
+    if has_id:
+        per_id = orders.groupBy(oid).agg(
+            *counts, F.count_if(passed).alias("__reached"), F.min(F.when(passed, line)).alias("__kept"))
+        no_id = oid.isNull()
+    else:  # nothing is dropped for its id or deduplicated: every line is its own group
+        per_id = orders.select(
+            F.lit(1).alias("__n"), (profit.isNull() if s.PROFIT in cols else F.lit(False)).cast("long").alias("null_profit"),
+            ((profit < 0) if s.PROFIT in cols else F.lit(False)).cast("long").alias("negative_profit"),
+            F.coalesce(passed, F.lit(False)).cast("long").alias("__reached"), line.alias("__kept"))
+        no_id = F.lit(False)
+    flat = per_id.select(
+        "__n", "null_profit", "negative_profit", "__reached", no_id.alias("__no_id"),
+        *[F.col(f"__kept.{quote(n)}") for n in tiebreak_names(orders, [s.ORDER_ID])])
     later = []
     if s.ORDER_DATE in cols and s.SHIP_DATE in cols:
-        later.append(("invalid_date", ~_dates_valid(orders)))
+        later.append(("invalid_date", ~_dates_valid(flat)))
     if s.CUSTOMER_ID in cols:
         later.append(("null_customer_id", _c(s.CUSTOMER_ID).isNull()))
     if s.PRODUCT_ID in cols:
         later.append(("null_product_id", _c(s.PRODUCT_ID).isNull()))
-    # Each kept row counts for the first later rule it fails.
-    first_failure = None
-    for name, condition in later:
-        first_failure = F.when(condition, name) if first_failure is None else first_failure.when(condition, name)
-    tail_aggs = [F.count(F.lit(1)).alias("__kept")]
-    for name in ["invalid_date", "null_customer_id", "null_product_id"]:
-        tail_aggs.append(
-            (F.count_if(first_failure == name) if any(n == name for n, _ in later) else _zero()).alias(name)
-        )
-    tail = kept.agg(*tail_aggs)
-    one_row = head.unionByName(tail, allowMissingColumns=True).agg(
-        *[F.coalesce(F.sum(c), _zero()).alias(c)
-          for c in ["original", "null_profit", "negative_profit", "null_order_id", "__reached", "__kept",
-                    "invalid_date", "null_customer_id", "null_product_id"]]
-    ).withColumn("duplicate_order_id", F.col("__reached") - F.col("__kept"))
+    # Each kept line counts for the first later rule it fails.
+    failure = F.lit(None).cast("string")
+    for name, condition in reversed(later):
+        failure = F.when(condition, name).otherwise(failure)
+    no_id, kept = F.col("__no_id"), ~F.col("__no_id") & (F.col("__reached") > 0)
+    removed = {
+        "null_profit": F.sum("null_profit"),
+        "negative_profit": F.sum("negative_profit"),
+        "null_order_id": F.sum(F.when(no_id, F.col("__reached"))),
+        "duplicate_order_id": F.sum(F.when(kept, F.col("__reached") - 1)),
+        **{name: F.count_if(kept & (F.col("__failure") == name)) for name in ORDER_RULES[4:]},
+    }
+    one_row = flat.withColumn("__failure", failure).agg(
+        F.coalesce(F.sum("__n"), _zero()).alias("original"),
+        *[F.coalesce(value, _zero()).cast("bigint").alias(name) for name, value in removed.items()])
     return _report_rows(one_row, "orders", ORDER_RULES)
 
 

@@ -17,6 +17,7 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from marginlens.operators import cleaning as C
@@ -30,7 +31,7 @@ from marginlens.operators import validate as V
 from marginlens.operators.cleaning import quote
 from marginlens.plans import oracle as sql
 from marginlens.plans.pipeline import run_pipeline
-from marginlens.plans.session import shared_scratch
+from marginlens.plans.session import read_once, shared_scratch
 from marginlens.schemas import CUSTOMERS_SCHEMA, ORDERS_SCHEMA
 from marginlens.sources import files, views, workbook
 from marginlens.sources import testdata as td
@@ -396,16 +397,28 @@ ORDERS_SCHEMA_BIGINT_ROW_ID = StructType([StructField("Row ID", LongType(), True
 def _s2(spark: SparkSession, d: str) -> DataFrame:
     out = shared_scratch(spark, "orders-json")
     td.orders(spark, d, dirty=True).write.mode("overwrite").json(out)
-    return files.read_orders(spark, out, multi_line=False, schema=ORDERS_SCHEMA_BIGINT_ROW_ID)
+    return read_once(files.read_orders(spark, out, multi_line=False, schema=ORDERS_SCHEMA_BIGINT_ROW_ID), out)
+
+
+def _s2_array(spark: SparkSession, d: str) -> DataFrame:
+    # One JSON array per file, of about 10,000 orders each.
+    out, orders = shared_scratch(spark, "orders-json-arrays"), td.orders(spark, d, dirty=True)
+    arrays = max(1, orders.count() // 10_000)
+    rows = orders.select(F.to_json(F.struct(*[F.col(quote(c)) for c in orders.columns])).alias("row"))
+    text = F.concat(F.lit("["), F.array_join(F.collect_list("row"), ",\n"), F.lit("]"))
+    rows.groupBy(F.pmod(F.xxhash64("row"), F.lit(arrays)).alias("file")).agg(text.alias("value")).select("value") \
+        .write.option("maxRecordsPerFile", 1).text(out)
+    return read_once(files.read_orders(spark, out, schema=ORDERS_SCHEMA_BIGINT_ROW_ID, strict_fields=True), out)
 
 
 def _s3(spark: SparkSession, d: str) -> DataFrame:
     out = shared_scratch(spark, "products-csv")
     td.products(spark, d, dirty=True).write.mode("overwrite").option("header", True).csv(out)
-    return files.read_products(spark, out)
+    return read_once(files.read_products(spark, out), out)
 
 
 register("s2_json_orders_roundtrip", DIRTY + sql.S2_ROUNDTRIP)(_s2)
+register("s2_json_array_orders", DIRTY + sql.S2_ROUNDTRIP)(_s2_array)
 register("s3_csv_products_roundtrip", DIRTY + sql.S3_ROUNDTRIP)(_s3)
 
 # --- P: the end-to-end pipeline, output by output (dirty adapter) -----------
@@ -455,7 +468,7 @@ register("p1_pipeline_materialized_profit_summary", PIPELINE_SQL["profit_summary
     )["profit_summary"]
 )
 
-# --- S1: workbooks, round-tripped in memory ---------------------------------
+# --- S1: workbooks, round-tripped in memory and through files ---------------------------------
 
 
 
@@ -465,4 +478,12 @@ def _s1(spark: SparkSession, d: str) -> DataFrame:
     return workbook.decode_records(workbook.to_workbook_records(text), CUSTOMERS_SCHEMA)
 
 
+def _s1_files(spark: SparkSession, d: str) -> DataFrame:
+    customers = td.customers(spark, d, dirty=True)
+    out = shared_scratch(spark, "customers-xlsx")
+    workbook.write_workbooks(customers.selectExpr(*[f"CAST({quote(c)} AS STRING) AS {quote(c)}" for c in customers.columns]), out)
+    return read_once(workbook.read_workbooks(spark, out, CUSTOMERS_SCHEMA, glob="part-*"), out)
+
+
 register("s1_workbook_customers_roundtrip", DIRTY + sql.S1_ROUNDTRIP)(_s1)
+register("s1_workbook_files", DIRTY + sql.S1_ROUNDTRIP)(_s1_files)

@@ -66,3 +66,13 @@ def shared_scratch(spark: SparkSession, label: str) -> str:
     import uuid
 
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/marginlens-{label}-{uuid.uuid4().hex}"
+
+
+def read_once(df, path: str):
+    """``df``, which reads files under ``path``, as a checkpoint; the files are removed."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    out = df.checkpoint(eager=True)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return out

@@ -13,8 +13,11 @@ action runs.
   header is checked against the schema names when the file is scanned and a
   reordered or renamed header fails the job instead of silently binding
   columns by position.
-* A path that does not exist raises :class:`SourceError` at build time
-  rather than yielding ``None``.
+* A path that does not exist, a CSV whose (first) header is not the schema's
+  and, with ``strict_fields``, JSON that lacks a field of the schema raise
+  :class:`SourceError` at build time rather than yielding ``None``.  The two
+  checks read the head of the files.  Files that turn out unreadable later
+  fail the action that reads them, with Spark's own error.
 """
 
 from __future__ import annotations
@@ -41,15 +44,31 @@ def _load(kind: str, path: str | list[str], build) -> DataFrame:
 
 
 def read_orders(
-    spark: SparkSession, path: str | list[str], multi_line: bool = True, schema: StructType = ORDERS_SCHEMA
+    spark: SparkSession,
+    path: str | list[str],
+    multi_line: bool = True,
+    schema: StructType = ORDERS_SCHEMA,
+    strict_fields: bool = False,
 ) -> DataFrame:
-    """Orders from JSON (array per file, or JSON Lines with ``multi_line=False``)."""
+    """Orders from JSON (array per file, or JSON Lines with ``multi_line=False``).
+
+    ``strict_fields`` infers the fields of a sample of the records first and
+    refuses input without some of the schema's, which would all be NULL.
+    """
+    if strict_fields:
+        found = _load("orders", path, lambda: spark.read.option("multiLine", multi_line).option("samplingRatio", 0.1).json(path))
+        missing = [n for n in schema.fieldNames() if n not in found.columns]
+        if missing:
+            raise SourceError(f"orders: {path} has no field {missing}")
     return _load(
         "orders", path, lambda: spark.read.schema(schema).option("multiLine", multi_line).json(path)
     )
 
 
 def _csv(spark: SparkSession, kind: str, path, schema: StructType) -> DataFrame:
+    head = _load(kind, path, lambda: spark.read.option("header", True).csv(path)).columns
+    if head != schema.fieldNames():
+        raise SourceError(f"{kind}: the header of {path} is {head}, not {schema.fieldNames()}")
     return _load(
         kind,
         path,

@@ -30,6 +30,7 @@ from xml.etree import ElementTree as ET
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marginlens.schemas import CUSTOMERS_SCHEMA
@@ -188,9 +189,11 @@ def read_customers(spark: SparkSession, path: str | list[str], strict_header: bo
 
 # --- round-trip support -----------------------------------------------------
 # The reference only reads workbooks.  To check the reader against the same
-# tables as every other query, each partition of a text table can be encoded
-# as one in-memory workbook (inline strings, missing cells for NULL) and fed
-# straight back to ``decode_records``; no file is written.
+# tables as every other query, a text table can be encoded as workbooks of
+# ``ENCODED_ROWS`` rows (inline strings, missing cells for NULL) and written
+# through Spark's text writer, one per file.
+
+ENCODED_ROWS = 10_000
 
 def _cell_ref(column: int, row: int) -> str:
     letters = ""
@@ -225,20 +228,35 @@ def encode_workbook(header: list[str], rows: Iterator[list[str | None]]) -> byte
                    "</Relationships>")
         z.writestr("xl/worksheets/sheet1.xml",
                    f'<worksheet xmlns="{main}"><sheetData>{"".join(lines)}</sheetData></worksheet>')
+        z.comment = b"\n"  # the archive's last byte; a line end to a text writer
     return out.getvalue()
 
 
 def to_workbook_records(df: DataFrame) -> DataFrame:
-    """Each partition of an all-text ``df`` as one workbook record ``(path, content)``."""
+    """An all-text ``df`` as workbook records ``(path, content)`` of at most ``ENCODED_ROWS`` rows."""
     names = _text_schema(df.schema)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        rows: list[list[str | None]] = []
+        part, made, rows = TaskContext.get().partitionId(), 0, []
+
+        def workbook() -> pd.DataFrame:
+            return pd.DataFrame({"path": [f"part-{part:05d}-{made:05d}.xlsx"], "content": [encode_workbook(names, rows)]})
+
         for batch in batches:
-            rows.extend(batch.astype(object).where(batch.notna(), None).values.tolist())
-        part = TaskContext.get().partitionId()
-        yield pd.DataFrame({"path": [f"part-{part:05d}.xlsx"], "content": [encode_workbook(names, rows)]})
+            for row in batch.astype(object).where(batch.notna(), None).values.tolist():
+                rows.append(row)
+                if len(rows) == ENCODED_ROWS:
+                    yield workbook()
+                    made, rows = made + 1, []
+        if rows or not made:
+            yield workbook()
 
     return df.mapInPandas(encode, "path string, content binary")
+
+
+def write_workbooks(df: DataFrame, path: str) -> None:
+    """Workbook files of an all-text ``df`` under ``path``, one workbook per file."""
+    content = F.expr("CAST(substring(content, 1, length(content) - 1) AS STRING)")
+    to_workbook_records(df).select(content.alias("value")).write.option("maxRecordsPerFile", 1).text(path)

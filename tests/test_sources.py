@@ -79,8 +79,21 @@ def test_csv_header_checked(spark):
     bad = os.path.join(d, "bad.csv")
     with open(bad, "w") as fh:
         fh.write("Category,Product ID,Sub-Category,Product Name,State,Price per product\nTech,P1,Phones,X,,1\n")
+    with pytest.raises(files.SourceError, match="header"):
+        files.read_products(spark, bad)
+    # A second file with another header fails the job that scans it.
     with pytest.raises(Exception, match="(?i)header|schema"):
-        files.read_products(spark, bad).collect()
+        files.read_products(spark, [good, bad]).collect()
+
+
+def test_json_fields_can_be_required(spark):
+    d = scratch()
+    path = os.path.join(d, "orders.json")
+    with open(path, "w") as fh:
+        fh.write('[{"OrderID": "A-1", "Profit": 1.0}, {"OrderID": "A-2", "Profit": 2.0}]')
+    assert files.read_orders(spark, path).count() == 2
+    with pytest.raises(files.SourceError, match="Order ID"):
+        files.read_orders(spark, path, strict_fields=True)
 
 
 def test_missing_path_is_a_source_error(spark):
