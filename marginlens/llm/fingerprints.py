@@ -13,8 +13,8 @@ of smaller over sum of larger weights).
 Terms are exploded and reduced by one aggregate with a ``min`` per sample, of
 a long with a quantised ln a above and 32 bits of a hash of (term, t) below.
 The smallest a of a text of total weight W is exponential with mean 1/W, so
-a term with a > 25 / W wins with a probability of exp(-25) only, and is left
-out.  Since a weight >= c exp(-r) = -ln(u3 u4) u1 u2 for the four uniforms
+a term with a > 16 / W wins with a probability of exp(-16) only, and is left
+out (a sample that no term wins agrees only with another such).  Since a weight >= c exp(-r) = -ln(u3 u4) u1 u2 for the four uniforms
 behind c and r, most terms fail by products alone, before any logarithm.
 """
 
@@ -33,37 +33,58 @@ WORDS = 5
 #: Samples that one row of the aggregate holds (``samples`` is a multiple).
 WIDTH = 16
 #: Terms with a > REACH / W are not looked at; one that is needs a probability of exp(-REACH).
-REACH = 25
+REACH = 16
 LOW = (1 << 32) - 1
 #: A sample that no term of the text can have won within the bound, or of a text without words.
 NOTHING = (1 << 63) - 1
 
 
-def with_terms(texts: DataFrame, size: int = WORDS) -> DataFrame:
-    """``texts`` with one row per weighted term: ``h`` (hash), ``w`` (weight)
-    and the text's total ``weight``.
+def with_words(texts: DataFrame, text: str, name: str) -> DataFrame:
+    """``texts`` with ``<name>_keys``, the sorted hashes of a text's five-word
+    shingles, and ``<name>_once``, the distinct ones, instead of ``text``.
 
-    Words are ``[^\\x20\\x09-\\x0D]+``; fewer than ``size`` are one term, and a
-    text without words gives one row with NULL ``h``.
+    Words are ``[^\\x20\\x09-\\x0D]+``; fewer than five are one shingle, and a
+    text without words has none.  Five-word hashes are made from pairs of
+    pairs, a whole array at a time.
     """
-    keep = [c for c in texts.columns if c != "text"]
-    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda x: x != "")
-    shingle = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0))),
-        lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(size)]))
-    starts = F.filter(F.sequence(F.lit(0), F.size("keys") - 1),
-                      lambda i: (i == 0) | (F.get("keys", i) != F.get("keys", i - 1)))
-    runs = F.transform("starts", lambda s, j: F.struct(
-        F.get("keys", s).alias("h"), (F.coalesce(F.get("starts", j + 1), F.size("keys")) - s).alias("w")))
+    keep = [c for c in texts.columns if c != text]
+    n = F.size("w1")
+
+    def paired(a: str, b: str, distance: int) -> Column:
+        return F.zip_with(a, F.slice(b, F.lit(distance + 1), n), lambda x, y: F.xxhash64(x, y))
+
+    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda x: x != "")
+    whole = F.slice(paired("w4", "w1", 4), F.lit(1), F.greatest(n - (WORDS - 1), F.lit(1)))
     return (
-        texts.select(*keep, words.alias("words"))
-        .select(*keep, F.when(F.size("words") > 0, F.sort_array(shingle)).otherwise(F.array().cast("array<long>")).alias("keys"))
-        .select(*keep, "keys", F.when(F.size("keys") > 0, starts).otherwise(F.array().cast("array<int>")).alias("starts"))
-        .select(*keep, F.size("keys").cast("double").alias("weight"), F.explode_outer(runs).alias("term"))
-        .select(*keep, "weight", "term.h", F.col("term.w").cast("double").alias("w"))
+        texts.select(*keep, F.transform(words, lambda x: F.xxhash64(x)).alias("w1"))
+        .withColumn("w2", paired("w1", "w1", 1)).withColumn("w4", paired("w2", "w2", 2))
+        .select(*keep, F.sort_array(whole).alias(f"{name}_keys"))
+        .withColumn(f"{name}_once", F.array_distinct(f"{name}_keys"))
     )
 
 
+def _repeats(name: str) -> Column:
+    return F.size(f"{name}_once") < F.size(f"{name}_keys")
+
+
+def _single(hashes: Column, kind: int) -> Column:
+    return F.transform(hashes, lambda h: F.struct(F.lit(kind).alias("kind"), h.alias("h"), F.lit(1).alias("w")))
+
+
+def _weighted(name: str, kind: int) -> Column:
+    """Terms with their weights: the run lengths of the sorted hashes."""
+    keys, starts = f"{name}_keys", f"{name}_starts"
+    runs = F.transform(starts, lambda s, j: F.struct(
+        F.lit(kind).alias("kind"), F.get(keys, s).alias("h"), (F.coalesce(F.get(starts, j + 1), F.size(keys)) - s).alias("w")))
+    return F.when(_repeats(name), runs).otherwise(_single(F.col(f"{name}_once"), kind))
+
+
+def _with_starts(texts: DataFrame, name: str) -> DataFrame:
+    keys = f"{name}_keys"
+    starts = F.filter(F.sequence(F.lit(0), F.size(keys) - 1), lambda i: (i == 0) | (F.get(keys, i) != F.get(keys, i - 1)))
+    return texts.withColumn(f"{name}_starts", F.when(_repeats(name), starts))
+
+
 def _constant(k: int) -> Column:
     """The k-th of a fixed sequence of 64-bit constants."""
     return F.lit(int(mixed(np.array([k + 1], np.uint64)).view(np.int64)[0]))
@@ -91,22 +112,59 @@ def sample(k: int) -> Column:
     ln_a = F.log(-F.log(other)) - r * (t - b + 1)
     rank = F.floor((F.greatest(ln_a, F.lit(-60.0)) + 64) * 2.0**24)
     offer = F.shiftleft(rank, 32).bitwiseOR(F.hash(h, t).cast("long").bitwiseAND(F.lit(LOW)))
-    return F.when(d * (1 + d * (0.5 + d * (1 / 3))) * small <= F.col("bound"), offer)
+    return F.when(d * (1 + d * (1 / 2 + d * (1 / 3 + d * (1 / 4 + d * (1 / 5 + d / 6))))) * small <= F.col("bound"), offer)
 
 
-def fingerprint(texts: DataFrame, keys: list[str], samples: int = SAMPLES, size: int = WORDS) -> DataFrame:
-    """``keys`` and ``samples`` (array of ints) per distinct key of ``texts``,
-    whose other column is ``text``, never NULL.  Rows with the same key must
-    have the same text.  Texts without words agree with each other only."""
-    terms = with_terms(texts.select(*keys, "text"), size)
+def least_offers(terms: DataFrame, keys: list[str], samples: int) -> DataFrame:
+    """``keys``, ``part`` and the smallest offer to each sample of the part, over
+    rows ``keys, h, w`` and the text's total ``weight``."""
     parts = terms.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(samples // WIDTH - 1)))).select(
-        *keys, "part", F.xxhash64("h", "part").alias("h"), F.log("w").alias("ln_w"),
+        *keys, "part", F.xxhash64("h", "part").alias("h"), F.log(F.col("w").cast("double")).alias("ln_w"),
         (F.col("w") / F.col("weight") * REACH * 2.0**64).alias("bound"))
-    least = parts.groupBy(*keys, "part").agg(*[F.min(sample(k)).alias(f"s{k}") for k in range(WIDTH)])
-    values = F.array(*[F.coalesce(F.col(f"s{k}"), F.lit(NOTHING)).bitwiseAND(F.lit(LOW)) for k in range(WIDTH)])
-    whole = least.select(*keys, F.struct("part", values.alias("values")).alias("x")).groupBy(*keys).agg(
-        F.sort_array(F.collect_list("x")).alias("x"))
-    return whole.select(*keys, F.flatten(F.transform("x", lambda x: x["values"])).alias("samples"))
+    return parts.groupBy(*keys, "part").agg(*[F.min(sample(k)).alias(f"s{k}") for k in range(WIDTH)])
+
+
+def _values(condition: Column | None = None) -> Column:
+    """The part's samples as an array: the lower bits of the smallest offers."""
+    def of(k: int) -> Column:
+        offer = F.col(f"s{k}") if condition is None else F.when(condition, F.col(f"s{k}"))
+        return F.coalesce(F.min(offer), F.lit(NOTHING)).bitwiseAND(F.lit(LOW))
+
+    return F.array(*[of(k) for k in range(WIDTH)])
+
+
+def _in_order(values: str) -> Column:
+    """The arrays of all parts, one after another."""
+    return F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("part", values))), lambda x: x[values]))
+
+
+def fingerprint(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
+    """``keys`` and ``samples`` (array of longs) per distinct key of ``texts``,
+    whose other column is ``text``, never NULL.  Numbers as keys are fastest.
+    Rows with the same key must have the same text.  Texts without words agree
+    with each other only."""
+    words = _with_starts(with_words(texts.select(*keys, "text"), "text", "a"), "a")
+    terms = words.select(*keys, F.size("a_keys").alias("weight"), F.explode_outer(_weighted("a", 0)).alias("x")).select(
+        *keys, "weight", "x.h", "x.w")
+    least = least_offers(terms, keys, samples).groupBy(*keys, "part").agg(_values().alias("values"))
+    return least.groupBy(*keys).agg(_in_order("values").alias("samples"))
+
+
+def fingerprint_pairs(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
+    """``keys, own, edited``: the fingerprints of the columns ``text`` and
+    ``edited``.  Terms that weigh the same in both are sampled once."""
+    words = with_words(with_words(texts.select(*keys, "text", "edited"), "text", "a"), "edited", "b")
+    words = _with_starts(_with_starts(words, "a"), "b").withColumn("common", F.array_intersect("a_once", "b_once"))
+    shared = F.concat(_single(F.col("common"), 2), _single(F.array_except("a_once", "common"), 0),
+                      _single(F.array_except("b_once", "common"), 1))
+    both = F.when(_repeats("a") | _repeats("b"), F.concat(_weighted("a", 0), _weighted("b", 1))).otherwise(shared)
+    # the lighter of the two texts has the wider bound, which serves both
+    weight = F.greatest(F.least(F.size("a_keys"), F.size("b_keys")), F.lit(1))
+    terms = words.select(*keys, weight.alias("weight"), F.explode_outer(both).alias("x")).select(
+        *keys, "weight", F.coalesce("x.kind", F.lit(2)).alias("kind"), "x.h", "x.w")
+    least = least_offers(terms, [*keys, "kind"], samples).groupBy(*keys, "part").agg(
+        _values(F.col("kind") != 1).alias("own"), _values(F.col("kind") != 0).alias("edited"))
+    return least.groupBy(*keys).agg(_in_order("own").alias("own"), _in_order("edited").alias("edited"))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -159,15 +217,9 @@ def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))"),
                       F.substring("head", F.lit(1), quarter))
-    both = base.join(heads, "key").select(
-        "key", F.xxhash64("text").alias("h_text"), n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
-    texts = both.select("key", "h_text", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))).alias("x")
-    ).select("key", "h_text", "n_chars", "edited_sha256", "x.kind", "x.text")
-    made = fingerprint(texts, ["key", "h_text", "n_chars", "edited_sha256", "kind"], samples)
-    pairs = cut(made.groupBy("key", "h_text", "n_chars", "edited_sha256").agg(
-        F.first(F.when(F.col("kind") == 0, F.col("samples")), ignorenulls=True).alias("own"),
-        F.first(F.when(F.col("kind") == 1, F.col("samples")), ignorenulls=True).alias("edited")))
+    both = base.join(heads, "key").select("key", F.xxhash64("text").alias("h_text"), "text", edited.alias("edited"))
+    about = both.select("key", "h_text", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    pairs = cut(fingerprint_pairs(both, ["key", "h_text"], samples).join(about.distinct(), ["key", "h_text"]))
     of_next = pairs.groupBy("key").agg(F.min_by("own", "h_text").alias("of_next")).withColumnRenamed("key", "next_key")
     return pairs.join(follow, "key").join(of_next, "next_key").select(
         F.when(F.col("key") != -(1 << 63), F.col("key")).alias("doc_id"), "n_chars", "edited_sha256",
