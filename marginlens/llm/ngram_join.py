@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from marginlens.llm.components import Forest, components
 from marginlens.llm.scratch import cut
-from marginlens.llm.textkeys import shingle_keys, word_keys
+from marginlens.llm.textkeys import shingle_keys, slices, word_keys
 
 #: Tokens in more documents than this are frequent; buckets up to it are expanded into pairs.
 FREQUENT = 16
@@ -43,7 +43,7 @@ COMBINED = 26
 #: Ranges of the hash space whose counts bound an intersection.
 RANGES = 32
 #: Documents and tokens of a block that is verified at once.
-BLOCK_DOCS, BLOCK_TOKENS = 2048, 4_000_000
+BLOCK_DOCS, BLOCK_TOKENS = 512, 2_000_000
 #: Candidate documents up to this number are broadcast (after counting) to the second scan.
 BROADCAST_ROWS = 1_000_000
 
@@ -78,7 +78,7 @@ def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
     share = np.uint64(int(min(0.999, 1.5 * (1 - percent / 100)) * 2**64))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, sig, counts, counted, others = [], [], [], [], []
             for keys in shingle_sets(batch.column(1), size):
                 inside = int(np.searchsorted(keys, share))
@@ -86,8 +86,8 @@ def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 n.append(len(keys))
                 sig.append(signature(keys))
                 counts.append(range_counts(keys))
-                counted.append(keys[:inside].view(np.int64))
-                others.append(keys[inside:inside + need].view(np.int64))
+                counted.append(keys[:inside].view(np.int64).copy())
+                others.append(keys[inside:inside + need].view(np.int64).copy())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int32()), pa.array(sig, pa.binary()),
                  _lists(counts, np.int32), _lists(counted, np.int64), _lists(others, np.int64)],
@@ -222,7 +222,7 @@ def verified_links(docs: DataFrame, sketched: DataFrame, edges: DataFrame, size:
     found = docs.select(F.col("doc_id").cast("long"), "text").join(right, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep, sets = [], []
             for i, keys in enumerate(shingle_sets(batch.column(0), size)):
                 if signature(keys) == batch.column(2)[i].as_py():

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marginlens.llm.textkeys import STEP, mixed, word_keys
+from marginlens.llm.textkeys import STEP, mixed, slices, word_keys
 
 #: Documents in the fit, up to the chance of the hash.
 MAX_ROWS = 12_000
@@ -117,7 +117,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, bi
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [x.tobytes() for x in ngram_indicators(batch.column(1), bits)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, pa.binary())],
                                              names=["doc_id", "quality", "x"])
@@ -144,7 +144,7 @@ def score_quality(docs: DataFrame, model: Model, bits: int = BITS) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = sent.value
-        for batch in batches:
+        for batch in slices(batches):
             p = 1 / (1 + np.exp(-2 * np.clip(fitted.margins(batch.column(at), bits), -300, 300)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))],

@@ -13,11 +13,18 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text whose word keys are computed at once.
-STRETCH = 1 << 21
+STRETCH = 1 << 18
 
 BASE, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, so that a task holds little at once."""
+    for batch in batches:
+        for at in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(at, rows)
+
+
 def _tables():
     fold = np.arange(256, dtype=np.uint8)
     fold[65:91] += 32
