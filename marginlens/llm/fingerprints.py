@@ -34,7 +34,7 @@ WORDS = 5
 WIDTH = 16
 #: Terms with a > REACH / W are not looked at; one that is needs a probability of exp(-REACH).
 REACH = 16
-LOW = (1 << 32) - 1
+LOW, HALF = (1 << 32) - 1, 1 << 31
 #: A sample that no term of the text can have won within the bound, or of a text without words.
 NOTHING = (1 << 63) - 1
 
@@ -125,10 +125,10 @@ def least_offers(terms: DataFrame, keys: list[str], samples: int) -> DataFrame:
 
 
 def _values(condition: Column | None = None) -> Column:
-    """The part's samples as an array: the lower bits of the smallest offers."""
+    """The part's samples as an array of ints: the lower bits of the smallest offers, less 2**31."""
     def of(k: int) -> Column:
         offer = F.col(f"s{k}") if condition is None else F.when(condition, F.col(f"s{k}"))
-        return F.coalesce(F.min(offer), F.lit(NOTHING)).bitwiseAND(F.lit(LOW))
+        return (F.coalesce(F.min(offer), F.lit(NOTHING)).bitwiseAND(F.lit(LOW)) - HALF).cast("int")
 
     return F.array(*[of(k) for k in range(WIDTH)])
 
@@ -139,7 +139,7 @@ def _in_order(values: str) -> Column:
 
 
 def fingerprint(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``keys`` and ``samples`` (array of longs) per distinct key of ``texts``,
+    """``keys`` and ``samples`` (array of ints) per distinct key of ``texts``,
     whose other column is ``text``, never NULL.  Numbers as keys are fastest.
     Rows with the same key must have the same text.  Texts without words agree
     with each other only."""
@@ -174,7 +174,7 @@ def likeness(a: str, b: str) -> Column:
 
 
 def as_text(samples: str) -> Column:
-    return F.array_join(F.transform(samples, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+    return F.array_join(F.transform(samples, lambda x: F.lpad(F.lower(F.hex(x.cast("long") + HALF)), 8, "0")), "")
 
 
 def next_keys(docs: DataFrame) -> DataFrame:
@@ -218,8 +218,11 @@ def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))"),
                       F.substring("head", F.lit(1), quarter))
     both = base.join(heads, "key").select("key", F.xxhash64("text").alias("h_text"), "text", edited.alias("edited"))
-    about = both.select("key", "h_text", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    pairs = cut(fingerprint_pairs(both, ["key", "h_text"], samples).join(about.distinct(), ["key", "h_text"]))
+    about = both.select(F.col("key").alias("k"), F.col("h_text").alias("h"), F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    # Both sides are partitioned by the key already; as an equality, the hash
+    # would be a join key too, and both sides would be shuffled again.
+    same = (F.col("key") == F.col("k")) & (F.col("h_text") <= F.col("h")) & (F.col("h_text") >= F.col("h"))
+    pairs = cut(fingerprint_pairs(both, ["key", "h_text"], samples).join(about.distinct(), same).drop("k", "h"))
     of_next = pairs.groupBy("key").agg(F.min_by("own", "h_text").alias("of_next")).withColumnRenamed("key", "next_key")
     return pairs.join(follow, "key").join(of_next, "next_key").select(
         F.when(F.col("key") != -(1 << 63), F.col("key")).alias("doc_id"), "n_chars", "edited_sha256",
