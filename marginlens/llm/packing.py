@@ -164,14 +164,15 @@ def best_fit(lengths, capacity: int, open_bins: int) -> tuple[np.ndarray, np.nda
     return bins, offsets
 
 
-def pack_pieces(pieces: DataFrame, capacity: int = 1024, open_bins: int = 1024,
+def pack_pieces(pieces: DataFrame, capacity: int = 1024, open_bins: int = 16_384,
                 pieces_per_group: int = 250_000) -> DataFrame:
     """``pieces`` with the sequence each lies in and its place there.
 
     Rows are dealt at random to ``count / pieces_per_group`` groups, and each
-    group is packed by one task in a fixed random order, so a task holds a
-    bounded number of (narrow) rows at any size of the corpus.  A group leaves
-    ``open_bins`` sequences unfilled at most.  Lengths must lie between 1 and
+    group is packed by one task, so a task holds a bounded number of (narrow)
+    rows at any size of the corpus.  Pieces come in a fixed random order, in
+    runs of ``open_bins``, long ones of a run first: no bin has to close within
+    a run, and its short pieces fill what the long ones left.  Lengths must lie between 1 and
     ``capacity``.  Adds ``sequence_id`` and ``offset`` (long); ``rid`` is the
     piece's number in the checkpoint.
     """
@@ -186,16 +187,18 @@ def pack_pieces(pieces: DataFrame, capacity: int = 1024, open_bins: int = 1024,
         if not got:
             return
         rows = pd.concat(got).sort_values(["h", "rid"], ignore_index=True)
+        run = np.arange(len(rows)) // open_bins
+        rows = rows.iloc[np.lexsort((np.arange(len(rows)), -rows["length"].to_numpy(), run))]
         bins, offsets = best_fit(rows["length"].tolist(), capacity, open_bins)
         group = TaskContext.get().partitionId()
-        yield pd.DataFrame({"rid": rows["rid"], "sequence_id": (group << 40) + bins, "offset": offsets})
+        yield pd.DataFrame({"rid": rows["rid"].to_numpy(), "sequence_id": (group << 40) + bins, "offset": offsets})
 
     placed = narrow.repartition(groups, "h").mapInPandas(pack, "rid long, sequence_id long, offset long")
     return pieces.join(placed, "rid")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2,
-                   open_bins: int = 1024, keep_ids: bool = False) -> DataFrame:
+                   open_bins: int = 16_384, keep_ids: bool = False) -> DataFrame:
     """Documents cut into pieces and packed: ``document_pieces`` columns plus
     ``sequence_id`` and ``offset``.  Documents are packed to at most
     ``capacity`` tokens a sequence, gapless from offset 0."""
