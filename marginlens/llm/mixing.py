@@ -10,6 +10,8 @@ another number of partitions gives the same mixture.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +20,6 @@ from marginlens.llm.scratch import cut
 #: Sources up to this number are broadcast (after counting); more are joined by shuffle, salted.
 BROADCAST_SOURCES = 10_000
 SALTS = 64
-#: exp(-rate) must be a normal double.
-MAX_RATE = 700.0
 
 
 def uniform(*parts: Column | str) -> Column:
@@ -28,19 +28,36 @@ def uniform(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
+def poisson_first(rate: Column) -> Column:
+    """The smallest count that a number of 52 random bits above 0 can reach."""
+    return F.greatest(F.lit(0), F.floor(rate - 12 * F.sqrt(rate) - 24).cast("int"))
+
+
 def poisson_cdf(rate: Column) -> Column:
-    """Cumulative probabilities of 0, 1, 2, ... as an array, up to a count
-    that 52 random bits cannot exceed."""
+    """Cumulative probabilities of ``poisson_first(rate)`` and the counts after it as an
+    array, up to a count that 52 random bits cannot exceed.
+
+    Probabilities are taken relative to the mode's, downward and upward from it, and
+    divided by their sum, so that no rate makes them vanish."""
+    first, mode = poisson_first(rate), F.floor(rate).cast("int")
     last = F.ceil(rate + 12 * F.sqrt(rate) + 24).cast("int")
-    first = F.exp(-rate)
-    state = F.struct(F.array(first).alias("cdf"), first.alias("p"), first.alias("sum"))
 
-    def step(acc: Column, k: Column) -> Column:
-        p = acc["p"] * rate / k
-        total = acc["sum"] + p
-        return F.struct(F.concat(acc["cdf"], F.array(total)).alias("cdf"), p.alias("p"), total.alias("sum"))
+    def running(start: Column, values: Column, following, finish=lambda acc: acc["all"]) -> Column:
+        """``start`` and what ``following`` makes of the last number and each of the values."""
+        state = F.struct(F.array(start).alias("all"), start.alias("last"))
+
+        def step(acc: Column, x: Column) -> Column:
+            value = following(acc["last"], x)
+            return F.struct(F.concat(acc["all"], F.array(value)).alias("all"), value.alias("last"))
+
+        return F.aggregate(values, state, step, finish)
 
-    return F.aggregate(F.sequence(F.lit(1), last), state, step, lambda acc: acc["cdf"])
+    one, none = F.lit(1.0), F.array().cast("array<int>")
+    down = F.when(mode > first, F.sequence(mode, first + 1, F.lit(-1))).otherwise(none)
+    below = F.slice(F.reverse(running(one, down, lambda p, k: p * k / rate)), F.lit(1), mode - first)
+    weights = F.concat(below, running(one, F.sequence(mode + 1, last), lambda p, k: p * rate / k))
+    return running(F.lit(0.0), weights, lambda total, p: total + p,
+                   lambda acc: F.transform(F.slice(acc["all"], F.lit(2), last - first + 1), lambda total: total / acc["last"]))
 
 
 def source_rates(docs: DataFrame, alpha: float = 0.5, total: float = 1.0) -> DataFrame:
@@ -57,20 +74,20 @@ def mix_sources(docs: DataFrame, rates: DataFrame, seed: str = "mix", id_col: st
     """The documents replicated to their sources' rates and globally shuffled.
 
     ``rates`` has ``source`` (unique; NULL is a source like any other) and
-    ``rate`` (mean copies of each document, 0 to 700).  Sources that it does
+    ``rate`` (mean copies of each document, any number from 0).  Sources that it does
     not name, and those with a NULL rate, get none.  Adds ``copy`` (from 0)
     and ``shuffle_key`` (the place in the global order); columns of these
     names are replaced.  Rows with the same source and id are replicated
-    alike.  Documents may have any text, NULL too.  Rates below 0 or over 700
-    raise ``ValueError``.
+    alike.  Documents may have any text, NULL too.  Rates below 0, NaN and
+    infinite ones raise ``ValueError``.
     """
     cols = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
     table = cut(rates.select(F.col("source").alias("__source"), F.col("rate").cast("double").alias("__rate"))
                 .filter("__rate IS NOT NULL"))
     stats = table.agg(F.count(F.lit(1)).alias("n"), F.min("__rate").alias("low"), F.max("__rate").alias("high")).first()
-    if stats["n"] and not 0 <= stats["low"] <= stats["high"] <= MAX_RATE:
-        raise ValueError(f"rates must lie between 0 and {MAX_RATE:g}")
-    table = table.withColumn("__cdf", poisson_cdf(F.col("__rate")))
+    if stats["n"] and not 0 <= stats["low"] <= stats["high"] < math.inf:
+        raise ValueError("rates must be finite and not below 0")
+    table = table.withColumn("__first", poisson_first(F.col("__rate"))).withColumn("__cdf", poisson_cdf(F.col("__rate")))
     source, ident = F.col("source"), F.col(f"`{id_col}`")
     if stats["n"] <= BROADCAST_SOURCES:
         joined = docs.join(F.broadcast(table), source.eqNullSafe(F.col("__source")))
@@ -79,7 +96,7 @@ def mix_sources(docs: DataFrame, rates: DataFrame, seed: str = "mix", id_col: st
         joined = docs.join(salted, source.eqNullSafe(F.col("__source"))
                            & (F.pmod(F.xxhash64(ident), F.lit(SALTS)) == F.col("__salt")))
     u = uniform(seed, source, ident)
-    count = F.size(F.filter("__cdf", lambda c: c <= F.col("__u")))
+    count = F.col("__first") + F.size(F.filter("__cdf", lambda c: c <= F.col("__u")))
     copies = joined.withColumn("__u", u).withColumn("__n", count).filter("__n > 0").select(
         *[F.col(f"`{c}`") for c in cols], F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("copy"))
     return (copies.withColumn("shuffle_key", uniform(f"{seed}/order", F.col("source"), ident, F.col("copy")))

@@ -54,3 +54,25 @@ def test_empty_tables(spark):
     empty, rates = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "source string, rate double")
     assert mix_sources(empty, source_rates(empty)).collect() == []
     assert mix_sources(spark.createDataFrame([(1, "t", "s", "c", 1)], SCHEMA), rates).collect() == []
+
+
+def test_large_rates_follow_the_distribution(spark):
+    """A tiny source of a large corpus: far more copies than exp(-rate) can start from."""
+    rates = {"over": 701.0, "far": 6000.5, None: 1500.0, "mid": 250.0, "one": 1.0}
+    rows = [(i, "t", s, "c", 1) for s in rates for i in range(60)]
+    table = spark.createDataFrame(list(rates.items()), "source string, rate double")
+    got = mix_sources(spark.createDataFrame(rows, SCHEMA), table, seed="s").groupBy("source", "doc_id").count().collect()
+    have = {(r["source"], r["doc_id"]): r["count"] for r in got}
+    want = {}
+    for i, _, s, *_ in rows:
+        u = int(hashlib.md5(f"s:{s or 'null'}:{i}".encode()).hexdigest()[:13], 16) / 2**52
+        k, total = 0, math.exp(-rates[s])
+        while u >= total:
+            k += 1
+            total += math.exp(-rates[s] + k * math.log(rates[s]) - math.lgamma(k + 1))
+        if k:
+            want[(s, i)] = k
+    assert have == want
+    for bad in (math.inf, math.nan):
+        with pytest.raises(ValueError):
+            mix_sources(spark.createDataFrame(rows[:1], SCHEMA), spark.createDataFrame([("over", bad)], "source string, rate double"))
