@@ -56,7 +56,8 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'<]|"[^"
 NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"']+))""", re.I)
 WORD = re.compile(r"[a-z]+")
 
-#: Labels of a repeated group at most, partial wrappers' shares of a host, deepest nesting that is told apart.
+#: Labels of a repeated group at most, partial wrappers' shares of a host, nesting from which plain blocks are not
+#: told apart (their texts belong to the block around them).
 GROUP, SALTS, DEPTH = 3, 32, 60
 #: Decisions up to this size are broadcast (after measuring); more are joined by shuffle, salted.
 BROADCAST_BYTES = 32 << 20
@@ -72,10 +73,31 @@ def _label(tag: str, attributes: str) -> str:
     return ".".join([tag, *known])
 
 
+def _kind(label: str) -> str:
+    """What a block must be told apart for at any nesting; empty if nothing."""
+    tag = label.split(".")[0]
+    if _outside(label):
+        return "header" if tag == "header" else "outside"
+    return tag if tag in ARTICLE else ""
+
+
 def parse(page: str) -> list:
-    """The tree of a page: nodes are ``[label, children]`` or ``["#", text]``."""
+    """The tree of a page: nodes are ``[label, children]`` or ``["#", text]``.
+
+    Every open element stays open until it is closed, at any nesting.  From
+    ``DEPTH`` on, plain blocks get no node of their own, and their texts go to
+    the node around them; outside blocks and articles still get one, each kind
+    once and none within an outside block, whose texts all go.
+    """
     root: list = ["", []]
     stack, names, text = [root], [""], []
+    kinds: list[frozenset] = [frozenset()]  # told apart beyond DEPTH, of the open elements
+    opened: dict[str, int] = {}
+
+    def shut() -> None:
+        opened[names.pop()] -= 1
+        stack.pop()
+        kinds.pop()
 
     def flush() -> None:
         if text:
@@ -109,26 +131,28 @@ def parse(page: str) -> list:
             continue
         flush()
         if closing:
-            if tag in names:
+            if opened.get(tag):
                 while names[-1] != tag:
-                    names.pop()
-                    stack.pop()
-                names.pop()
-                stack.pop()
+                    shut()
+                shut()
             continue
-        if names[-1] == "p":
-            names.pop()
-            stack.pop()
-        elif names[-1] in CLOSED_BY.get(tag, ()):
-            names.pop()
-            stack.pop()
+        if names[-1] == "p" or names[-1] in CLOSED_BY.get(tag, ()):
+            shut()
         if tag in VOID:
             continue
-        node = [_label(tag, attributes), []]
-        stack[-1][1].append(node)
-        if len(stack) < DEPTH:
-            stack.append(node)
-            names.append(tag)
+        node, told = [_label(tag, attributes), []], kinds[-1]
+        if len(stack) >= DEPTH:
+            kind = _kind(node[0])
+            if not kind or kind in told or "outside" in told:
+                node = stack[-1]
+            else:
+                told = told | {kind}
+        if node is not stack[-1]:
+            stack[-1][1].append(node)
+        stack.append(node)
+        names.append(tag)
+        kinds.append(told)
+        opened[tag] = opened.get(tag, 0) + 1
     flush()
     return root
 

@@ -75,3 +75,19 @@ def test_tokens_are_linear_in_odd_pages():
     wrappers.parse("<a href='" * 20_000)
     wrappers.parse("<p " * 20_000 + "\"" * 20_000)
     wrappers.parse("<script>" * 5_000)
+
+
+def test_closings_match_at_any_nesting():
+    def text(html):
+        tree = wrappers.parse(html)
+        return wrappers.extract(tree, wrappers.decide(wrappers.wrapper_of(tree)))
+
+    for n in (10, 57, 58, 59, 60, 70, 5000):
+        deep = "<div>" * n + "x{}y" + "</div>" * n
+        page = "<div id=page><nav>n</nav><article><p>a</p>" + deep + "<p>b</p></article><p>after</p></div>"
+        assert text(page.format("")) == "a\nxy\nb"
+        for block in ("<aside>n<div>n</div>n</aside>", "<nav><nav>n</nav><article>n</article>n</nav>", "<div class=comments><p>n</div>",
+                      "<div><div></p></section></div><form><ul><li>n</ul></form></div>"):
+            assert text(page.format(block)) == "a\nx\ny\nb", (n, block)
+        far = "<body><p>n</p>" + "<div>" * n + "<nav>n</nav><main><aside>n</aside><article><p>a b c</p><div>d</div></article>n</main>n" + "</div>" * n
+        assert text(far) == "a b c\nd"
