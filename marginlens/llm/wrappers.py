@@ -260,9 +260,8 @@ def decide(wrapper: list) -> list:
 
     The article is the ``article`` or ``main`` element with most text, else the
     deepest element with over half of the text that is not marked as outside.
-    In it, nodes marked as outside go, and so do short texts outside
-    paragraphs, headings and lists that are the same on five pages or more
-    while most of the article differs.
+    In it, nodes marked as outside go and all other texts stay, also those
+    that are the same on all pages, on however many.
     """
     named: list = []
 
@@ -287,25 +286,16 @@ def decide(wrapper: list) -> list:
         inner = [c for c in named if c is not best and c[LABEL].startswith("article") and 2 * _inner_chars(c) > _inner_chars(best)]
         best = inner[0] if inner else best
 
-    def fixed(node: list) -> int:
-        if node[LABEL] == "#":
-            return node[CHARS] if node[VALUE] is not None and node[PAGES] > 1 else 0
-        return sum(map(fixed, node[CHILDREN]))
-
-    varied = 2 * fixed(best) < best[CHARS]
-    prose = {"p", "li", "blockquote", "pre", "td", "th", "dd", "dt", "h1", "h2", "h3", "h4", "h5", "h6", "article", "main"}
-
-    def reduced(node: list, inside: bool, parent: str) -> list:
+    def reduced(node: list, inside: bool) -> list:
         inside = inside or node is best
         label = node[LABEL]
         if label == "#":
-            same = varied and node[VALUE] is not None and node[PAGES] >= 5 and parent.split(".")[0] not in prose and len(node[VALUE]) < 80
-            return ["#", inside and not same, []]
+            return ["#", inside, []]
         if inside and label.split(".")[0] == "header" or not _outside(label):
-            return [label, inside, [reduced(c, inside, parent if label == "()" else label) for c in node[CHILDREN]]]
+            return [label, inside, [reduced(c, inside) for c in node[CHILDREN]]]
         return [label, False, []]
 
-    return reduced(wrapper, False, "")
+    return reduced(wrapper, False)
 
 
 def extract(tree: list, decision: list) -> str:

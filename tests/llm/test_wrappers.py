@@ -91,3 +91,20 @@ def test_closings_match_at_any_nesting():
             assert text(page.format(block)) == "a\nx\ny\nb", (n, block)
         far = "<body><p>n</p>" + "<div>" * n + "<nav>n</nav><main><aside>n</aside><article><p>a b c</p><div>d</div></article>n</main>n" + "</div>" * n
         assert text(far) == "a b c\nd"
+
+
+def test_fixed_texts_stay_on_any_number_of_pages():
+    rnd = random.Random(2)
+    for n in (1, 2, 4, 5, 40):
+        want, trees = [], []
+        for _ in range(n):
+            paras = [words(rnd, 30) for _ in range(3)]
+            trees.append(wrappers.parse(
+                f"<body><nav>n</nav><article><h1>T</h1><p>{paras[0]}</p><figure><figcaption>Photo: staff</figcaption></figure><div>Ingredients</div>"
+                f"<p>{paras[1]}</p><section>Method<p>{paras[2]}</p></section><div class=share>Share</div></article><footer>f</footer>"))
+            want.append("\n".join(["T", paras[0], "Photo: staff", "Ingredients", paras[1], "Method", paras[2]]))
+        merged = wrappers.wrapper_of(trees[0])
+        for tree in trees[1:]:
+            merged = wrappers.merge(merged, wrappers.wrapper_of(tree), True)
+        decision = wrappers.decide(merged)
+        assert [wrappers.extract(tree, decision) for tree in trees] == want
