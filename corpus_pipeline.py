@@ -11,10 +11,11 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marginlens.llm import line_dedup, mixing, ngram_join, packing, quality
+from marginlens.llm.scratch import cut
 from marginlens.plans.session import shared_scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -33,12 +34,26 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by 80 % of their five-word shingles, the one with the
-    smallest id stays.  Rows without id stay, and so do repeated rows of a
-    document that stays."""
-    found = ngram_join.jaccard_components(docs, size=5, percent=80)
-    gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Of rows linked by 80 % of their five-word shingles, the one with the
+    smallest id stays, a row without id only if none has one.  Of rows of that
+    id, or of none, the one with the smallest text key, then of the smallest
+    other columns stays.  Rows without shingles are linked with nothing and stay."""
+    key = ["doc_id", "key_a", "key_b"]
+    found = ngram_join.jaccard_components(docs, size=5, percent=80, keyed=True).filter("n_shingles > 0")
+    rows = cut(found.groupBy("component", *key).agg(F.count(F.lit(1)).alias("n")))
+    first = rows.groupBy("component").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), *key)).alias("first"))
+    stays = F.struct(F.isnull("doc_id").alias("none"), *key).eqNullSafe(F.col("first"))
+    marked = cut(rows.join(first, "component").withColumn("gone", ~stays).filter("gone OR n > 1").select(
+        *[F.col(c).alias(f"__{c}") for c in key], "gone"))
+    keyed = docs.select(*COLUMNS, *ngram_join.text_keys("text"))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key]
+    out = keyed.join(marked.filter("gone"), same, "left_anti")
+    repeated = marked.filter("NOT gone")
+    if repeated.take(1):
+        order = Window.partitionBy(*key).orderBy(*[c for c in COLUMNS if c not in ("doc_id", "text")])
+        one = out.join(repeated, same, "left_semi").withColumn("__rank", F.row_number().over(order)).filter("__rank = 1")
+        out = out.join(repeated, same, "left_anti").unionByName(one.drop("__rank"))
+    return out.select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -74,7 +74,9 @@ def _lists(parts: list[np.ndarray], kind) -> pa.ListArray:
 
 def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Per row: ``rid, doc_id, n, sig``, counts per hash range, the tokens of
-    the counted share, and as many others as the extended prefix may need."""
+    the counted share, and as many others as the extended prefix may need;
+    columns behind ``doc_id, text`` (longs) are handed on."""
+    more = docs.columns[2:]
     share = np.uint64(int(min(0.999, 1.5 * (1 - percent / 100)) * 2**64))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,11 +92,12 @@ def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 others.append(keys[inside:inside + need].view(np.int64).copy())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int32()), pa.array(sig, pa.binary()),
-                 _lists(counts, np.int32), _lists(counted, np.int64), _lists(others, np.int64)],
-                names=["doc_id", "n", "sig", "counts", "tokens", "others"])
+                 _lists(counts, np.int32), _lists(counted, np.int64), _lists(others, np.int64), *batch.columns[2:]],
+                names=["doc_id", "n", "sig", "counts", "tokens", "others", *more])
 
-    schema = "doc_id long, n int, sig binary, counts array<int>, tokens array<long>, others array<long>"
-    made = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sketch, schema)
+    schema = ", ".join(["doc_id long, n int, sig binary, counts array<int>, tokens array<long>, others array<long>",
+                        *[f"{c} long" for c in more]])
+    made = docs.select(F.col("doc_id").cast("long"), "text", *more).mapInArrow(sketch, schema)
     return cut(made.withColumn("rid", F.monotonically_increasing_id()))
 
 
@@ -265,7 +268,12 @@ def verified_links(docs: DataFrame, sketched: DataFrame, edges: DataFrame, size:
     return dealt.mapInPandas(links, "u long, v long")
 
 
-def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+def text_keys(text: Column | str) -> list[Column]:
+    """128 bits of a text as two longs, ``key_a, key_b``."""
+    return [F.xxhash64(text).alias("key_a"), F.xxhash64(F.lit("second"), text).alias("key_b")]
+
+
+def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, keyed: bool = False) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id``.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; a set are the
@@ -276,20 +284,27 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     Repeated rows are rows of their own; a NULL id is a document whose
     component has the smallest id that is not NULL, if any.  Other columns,
     whatever their names, are ignored.
+
+    ``keyed`` adds the ``text_keys`` of the row and ``component``, a number of
+    its component that no other has, also where ids are NULL or repeated (NULL
+    without shingles).
     """
     if not 50 <= percent <= 99:
         raise ValueError("percent must lie between 50 and 99")
+    more = text_keys("text") if keyed else []
     docs = docs.select("doc_id", "text")
-    sketched = sketches(docs, size, percent)
+    sketched = sketches(docs.select("doc_id", "text", *more), size, percent)
     classes = cut(sketched.filter("n > 0").groupBy("sig").agg(F.min("rid").alias("cls"), F.min("doc_id").alias("least")))
     links = verified_links(docs, sketched, candidate_edges(sketched, classes, percent), size, percent)
     linked = components(links)
     least = classes.join(linked.withColumnRenamed("node", "cls"), "cls")
     whole = least.groupBy("label").agg(F.min("least").alias("component"))
-    named = least.join(whole, "label").select("cls", "component")
-    final = classes.join(named, "cls", "left").select("sig", F.coalesce("component", "least").alias("component"))
-    return sketched.select("doc_id", "n", "sig").join(final, "sig", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    named = least.join(whole, "label").select("cls", "component", "label")
+    final = classes.join(named, "cls", "left").select(
+        "sig", F.coalesce("component", "least").alias("component"), F.coalesce("label", "cls").alias("label"))
+    return sketched.join(final, "sig", "left").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"),
+        *(["key_a", "key_b", F.col("label").alias("component")] if keyed else []))
 
 
 def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -57,6 +57,23 @@ def test_one_of_each_group_of_near_copies_stays(stages):
     assert {r.doc_id for r in after} == want and len(after) == len(want) < len(before)
 
 
+def test_one_row_of_each_group_stays_with_null_and_repeated_ids(spark):
+    def text(name, edit=""):
+        return " ".join(f"{name}{i}" for i in range(60)) + edit
+
+    rows = [(1, text("a"), "en", "s", 1), (5, text("a", " more"), "en", "s", 1), (5, text("b"), "en", "s", 1),  # one copy, one clean text
+            (None, text("c"), "en", "s", 1), (None, text("c", " more"), "en", "s", 1), (None, text("c"), "en", "s", 1),  # no id in the group
+            (None, text("d"), "en", "s", 1), (7, text("d", " more"), "en", "s", 1),
+            (8, text("e"), "fr", "s", 1), (8, text("e"), "en", "s", 1), (8, text("e"), "en", "s", 1),  # repeated rows
+            (None, text("f"), "en", "s", 1), (9, "", "en", "s", 0), (9, "", "en", "s", 0), (None, None, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    got = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()]
+    of_c = [r for r in got if r[1] and r[1].startswith("c0 ")]
+    assert len(of_c) == 1 and of_c[0] in rows
+    want = [rows[0], rows[2], rows[7], rows[9], rows[11], rows[12], rows[13], rows[14]]
+    assert sorted((r for r in got if r not in of_c), key=repr) == sorted(want, key=repr)
+
+
 def test_copies_follow_the_rates(stages):
     before, after = stages[3], stages[4]
     n = collections.Counter(r.source for r in before)
