@@ -116,6 +116,8 @@ def index_keys(n: int, n_tokens: int, shared: list[tuple[int, int]], others: lis
     # linked sets are both up to border / t in size, or both at least t * border
     border = 100 * (COMBINED - 1) // (100 - percent)
     combine, single = n * percent <= border * 100, n * 100 >= border * percent
+    if percent <= 50 and percent * n <= 100:  # one shared token may be enough for a link
+        single = True
     keys = [(t, 0) for c, t in first if c <= FREQUENT or single]
     if combine:
         often = [t for c, t in first if c > FREQUENT or c == 0]

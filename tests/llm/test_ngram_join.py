@@ -98,6 +98,17 @@ def test_index_meets_in_a_key():
         assert keys[0] & keys[1], trial
 
 
+def test_one_shared_token_of_two_links_at_50_percent(spark):
+    common, own = (40, 7), [(40, 100 + i) for i in range(20)]
+    keys = [set(ngram_join.index_keys(len(s), len(s), [common], [], 50)) for s in ([common], [common, own[0]])]
+    assert keys[0] & keys[1]
+    rows = [(1, "a b"), *[(10 + i, f"a b w{i}") for i in range(30)], (90, "c d"), (91, "c d e f")]
+    df = spark.createDataFrame([(*r, "n", "s", 1, 1) for r in rows], SCHEMA)
+    got = ngram_join.jaccard_components(df, 2, 50).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows, 2, 50)
+    assert {r.component_id for r in got if r.doc_id < 90} == {1}
+
+
 @pytest.mark.parametrize("one_task", [0, 200_000])
 def test_empty_table_and_far_components(spark, monkeypatch, one_task):
     monkeypatch.setattr(module, "ONE_TASK", one_task)
