@@ -15,9 +15,10 @@ action runs.
   columns by position.
 * A path that does not exist, a CSV whose (first) header is not the schema's
   and, with ``strict_fields``, JSON that lacks a field of the schema raise
-  :class:`SourceError` at build time rather than yielding ``None``.  The two
-  checks read the head of the files.  Files that turn out unreadable later
-  fail the action that reads them, with Spark's own error.
+  :class:`SourceError` at build time rather than yielding ``None``.  The CSV
+  check reads the head of the files, the JSON check all records once.  Files
+  that turn out unreadable later fail the action that reads them, with
+  Spark's own error.
 """
 
 from __future__ import annotations
@@ -52,11 +53,11 @@ def read_orders(
 ) -> DataFrame:
     """Orders from JSON (array per file, or JSON Lines with ``multi_line=False``).
 
-    ``strict_fields`` infers the fields of a sample of the records first and
-    refuses input without some of the schema's, which would all be NULL.
+    ``strict_fields`` infers the fields of all records first and refuses input
+    without some of the schema's, which would all be NULL.
     """
     if strict_fields:
-        found = _load("orders", path, lambda: spark.read.option("multiLine", multi_line).option("samplingRatio", 0.1).json(path))
+        found = _load("orders", path, lambda: spark.read.option("multiLine", multi_line).json(path))
         missing = [n for n in schema.fieldNames() if n not in found.columns]
         if missing:
             raise SourceError(f"orders: {path} has no field {missing}")

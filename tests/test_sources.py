@@ -96,6 +96,15 @@ def test_json_fields_can_be_required(spark):
         files.read_orders(spark, path, strict_fields=True)
 
 
+def test_strict_fields_finds_a_field_of_few_records(spark, tmp_path):
+    names = files.ORDERS_SCHEMA.fieldNames()
+    path = str(tmp_path / "sparse.json")
+    with open(path, "w") as fh:
+        for i in range(2000):
+            fh.write(json.dumps({n: "1" for n in names if n != "Profit" or i in (700, 1300)}) + "\n")
+    assert files.read_orders(spark, path, multi_line=False, strict_fields=True).count() == 2000
+
+
 def test_missing_path_is_a_source_error(spark):
     with pytest.raises(files.SourceError, match="not found"):
         files.read_orders(spark, "/nonexistent/orders.json")
