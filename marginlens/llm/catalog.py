@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marginlens.llm import chat, fingerprints, hilbert, line_dedup, mixing, ngram_join, packing, quality, warc, wrappers
+from marginlens.llm import chat, fingerprints, hilbert, line_dedup, mixing, ngram_join, packing, quality, repair, warc, wrappers
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_hilbert_neighbours": hilbert.op9_hilbert_neighbours,
     "op10_quality_classifier": quality.op10_quality_classifier,
+    "op13_conversation_repair": repair.op13_conversation_repair,
 }
 
 SQL = {
     "op6_chat_formatting": chat.OP6_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
+    "op13_conversation_repair": repair.OP13_SQL,
 }
