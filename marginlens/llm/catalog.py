@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from marginlens.llm import chat, fingerprints, hilbert, line_dedup, mixing, ngram_join, packing, quality, repair, warc, wrappers
+from marginlens.llm import (
+    chat,
+    fingerprints,
+    hilbert,
+    lattice,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+    repair,
+    warc,
+    whitening,
+    wrappers,
+)
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -15,6 +29,8 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_hilbert_neighbours": hilbert.op9_hilbert_neighbours,
     "op10_quality_classifier": quality.op10_quality_classifier,
+    "op11_lattice_near_duplicates": lattice.op11_lattice_near_duplicates,
+    "op12_whitening": whitening.op12_whitening,
     "op13_conversation_repair": repair.op13_conversation_repair,
 }
 
