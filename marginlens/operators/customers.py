@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from marginlens import schemas as s
 from marginlens.functions.dates import order_date
 from marginlens.functions.labels import churn_label
-from marginlens.functions.money import exact_sum
+from marginlens.functions.money import exact_sum, exact_totals
 from marginlens.operators.cleaning import clean_customers, clean_orders
 
 CUSTOMER_METRICS = [
@@ -74,6 +74,10 @@ def lifetime_value(customers: DataFrame, orders: DataFrame, clean: bool = True)
     cleans the customers, as the reference does.
     """
     lines, deduped = _prepare(orders, clean)
+    if deduped:
+        amounts = {"total_sales": _c(s.PRICE), "total_profit": _c(s.PROFIT)}
+        totals = exact_totals(lines.filter(_c(s.PRICE) >= 0), [s.CUSTOMER_ID], amounts, {"total_orders": _c(s.ORDER_ID)})
+        return _attach(clean_customers(customers) if clean else customers, totals)
     metrics = (
         lines.filter(_c(s.PRICE) >= 0)
         .groupBy(s.CUSTOMER_ID)
@@ -93,6 +97,9 @@ def _average_order_value(deduped: bool) -> Column:
 def average_basket_size(customers: DataFrame, orders: DataFrame, clean: bool = True) -> DataFrame:
     """``average_order_value = sum(Price) / distinct orders`` (no price filter)."""
     lines, deduped = _prepare(orders, clean)
+    if deduped:
+        totals = exact_totals(lines, [s.CUSTOMER_ID], {"sum": _c(s.PRICE)}, {"n": _c(s.ORDER_ID)})
+        return _attach(customers, totals.select(s.CUSTOMER_ID, F.try_divide("sum", "n").alias("average_order_value")))
     metrics = lines.groupBy(s.CUSTOMER_ID).agg(_average_order_value(deduped).alias("average_order_value"))
     return _attach(customers, metrics)
 

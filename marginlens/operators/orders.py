@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from marginlens import schemas as s
 from marginlens.operators.cleaning import clean_customers, clean_orders, clean_products, quote
-from marginlens.operators.joins import BROADCAST_KEYS, hot_keys, salted_join
+from marginlens.operators.joins import BROADCAST_KEYS, hot_keys, salted_join, split_join, written_with_hot_keys
 from marginlens.plans.session import ensure_checkpoint_dir
 
+DIMENSION_KEYS = [s.CUSTOMER_ID, s.PRODUCT_ID]
+
 
 def _c(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -23,6 +25,8 @@ def enriched_orders(
     hot_key_rows: int | None = None,
     salt_buckets: int = 32,
     broadcast_keys: int = BROADCAST_KEYS,
+    split_hot: bool = True,
+    hot: dict[str, dict[int, list]] | None = None,
 ) -> DataFrame:
     """Orders inner-joined to customers and products, ``Profit`` rounded to cents.
 
@@ -32,25 +36,32 @@ def enriched_orders(
     Spark broadcasts a dimension only when its measured size is under the
     broadcast threshold, and AQE re-plans at run time.
 
-    ``hot_key_rows`` turns on salted joins (``operators.joins``): a customer
-    or product id with at least that many orders is spread over
-    ``salt_buckets`` tasks instead of one.  The rows are the same; the cleaned
-    orders and the two lists of hot ids are written as checkpoints.
+    A customer or product id that holds a large share of the orders would
+    fill one task of a shuffle join.  By default the cleaned orders are written
+    as a table, that write finds such ids, and their orders are cut into
+    parts (``operators.joins``).  ``hot`` takes the ids of an earlier write of
+    ``orders``; ``split_hot=False`` joins plainly and runs no job.
+    ``hot_key_rows`` instead salts every id with at least that many orders over
+    ``salt_buckets`` tasks, from counts.  The rows are the same every way.
     """
     if clean:
         orders, customers, products = clean_orders(orders), clean_customers(customers), clean_products(products)
     customer_cols = customers.select(s.CUSTOMER_ID, s.CUSTOMER_NAME, s.COUNTRY)
     product_cols = products.select(s.PRODUCT_ID, s.CATEGORY, s.SUB_CATEGORY, s.PRODUCT_NAME)
     if hot_key_rows is None:
-        joined = orders.join(customer_cols, s.CUSTOMER_ID, "inner").join(product_cols, s.PRODUCT_ID, "inner")
+        if hot is None and split_hot:
+            orders, hot = written_with_hot_keys(orders, DIMENSION_KEYS)
+        joined = orders
+        for dim, k in ((customer_cols, s.CUSTOMER_ID), (product_cols, s.PRODUCT_ID)):
+            joined = split_join(joined, dim, k, (hot or {}).get(k, {}))
     else:
         # The orders are written once; both hot lists and the joins read that copy.
         ensure_checkpoint_dir(orders.sparkSession)
         orders = orders.checkpoint(eager=True)
-        hot = {k: hot_keys(orders, k, hot_key_rows).checkpoint(eager=True) for k in (s.CUSTOMER_ID, s.PRODUCT_ID)}
+        lists = {k: hot_keys(orders, k, hot_key_rows).checkpoint(eager=True) for k in DIMENSION_KEYS}
         joined = orders
         for dim, k in ((customer_cols, s.CUSTOMER_ID), (product_cols, s.PRODUCT_ID)):
-            joined = salted_join(joined, dim, k, hot_key_rows, salt_buckets, broadcast_keys, hot[k])
+            joined = salted_join(joined, dim, k, hot_key_rows, salt_buckets, broadcast_keys, lists[k])
     # One projection: the 12 kept columns and the profit rounded to cents, once, on the double.
     return joined.selectExpr(
         *[quote(c) for c in s.ENRICHED_ORDER_COLUMNS if c != s.PROFIT],

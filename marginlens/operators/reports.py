@@ -204,6 +204,17 @@ def top_customer_trends(by_customer: DataFrame, by_customer_year: DataFrame, n:
     )
 
 
+def customer_trends(customers: DataFrame, n: int = 5) -> DataFrame:
+    """R16 from ``profit.customer_year_totals``, in one branch: the ``n`` most
+    profitable customers are taken with their years and unfolded."""
+    top = customers.orderBy(F.col("Total_Profit").desc_nulls_last(), _c(s.CUSTOMER_NAME).asc_nulls_first()).limit(n)
+    rows = top.select(_c(s.CUSTOMER_NAME), F.inline("years"))
+    total = exact_sum(F.col("Total_Profit"), Window.partitionBy(_c(s.CUSTOMER_NAME)))
+    return rows.withColumn("Customer_Total_Profit", round_money(total)).orderBy(
+        _c(s.CUSTOMER_NAME).asc_nulls_first(), F.col("Year").asc_nulls_first()
+    )
+
+
 def year_metrics(by_year: DataFrame) -> DataFrame:
     """Total profit, total orders and mean yearly profit."""
     return by_year.agg(

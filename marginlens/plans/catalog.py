@@ -207,6 +207,22 @@ register("e9_rounding_edges", sql.ctes(**EDGES) + "SELECT * FROM enriched")(_wit
 register("e1_small_amounts", sql.ctes(**SMALL) + sql.lifetime_value_sql())(
     _with_amounts(SMALL, lambda o, c, p: E.lifetime_value(c, o))
 )
+# Amounts of any magnitude: sums of whole numbers of 1e300 or 1e-300, and small,
+# usual and large amounts in one group.
+HUGE, TINY = ({"profit": amount, "price": amount} for amount in (
+    f"CAST(CAST(l_suppkey % 100 + 1 AS STRING) || '{unit}' AS DOUBLE)" for unit in ("e300", "e-300")))
+MIXED = {"profit": "CASE l_suppkey % 3 WHEN 0 THEN CAST('1e-300' AS DOUBLE) WHEN 1 THEN CAST(l_suppkey % 100 AS DOUBLE) / 4 "
+                   "ELSE CAST(CAST(l_suppkey % 7 + 1 AS STRING) || 'e16' AS DOUBLE) END"}
+register("a4_huge_amounts", sql.ctes(**HUGE) + sql.scaled_by_customer("e300"))(
+    _with_amounts(HUGE, lambda o, c, p: A.profit_by_customer(O.enriched_orders(o, c, p), unique_orders=True))
+)
+register("a2_mixed_amounts", sql.ctes(**MIXED) + sql.mixed_by_year())(
+    _with_amounts(MIXED, lambda o, c, p: A.profit_by_year(O.enriched_orders(o, c, p), unique_orders=True))
+)
+for _case, _amounts, _unit in [("huge", HUGE, "e300"), ("tiny", TINY, "e-300")]:
+    register(f"e1_{_case}_amounts", sql.ctes(**_amounts) + sql.scaled_lifetime_value(_unit))(
+        _with_amounts(_amounts, lambda o, c, p: E.lifetime_value(c, o))
+    )
 register("r1_large_totals", sql.ctes(**LARGE) + sql.with_aggregates() + sql.REPORT_SQL["r1"])(
     _with_amounts(LARGE, lambda o, c, p: R.summary_statistics(A.profit_summary(O.enriched_orders(o, c, p))))
 )
@@ -311,12 +327,7 @@ register("r15_profit_by_customer_year_first", AGG + sql.REPORT_SQL["r15_customer
 
 
 def _r16(spark: SparkSession, d: str) -> DataFrame:
-    enriched = _enriched(spark, d)
-    # The yearly rows are re-sorted by the report, so they skip their own sort.
-    return R.top_customer_trends(
-        A.profit_by_customer(enriched, unique_orders=True),
-        A.profit_by_customer_year(enriched, unique_orders=True, sort=False),
-    )
+    return R.customer_trends(A.customer_year_totals(_enriched(spark, d)))
 
 
 register("r16_top_customer_trends", AGG + sql.REPORT_SQL["r16"])(_r16)

@@ -167,6 +167,39 @@ def aggregate_sql(keys: list[str], source: str = "enriched") -> str:
     FROM {source} GROUP BY ALL"""
 
 
+# --- sums of amounts beyond any decimal ---------------------------------------
+
+JOINED = """cln_orders o JOIN cln_customers c ON o."Customer ID" = c."Customer ID"
+                      JOIN cln_products p ON o."Product ID" = p."Product ID\""""
+
+
+def _units(column: str, unit: str) -> str:
+    """The sum of whole multiples of a unit, as the double nearest to it."""
+    return f"CAST(CAST(CAST(SUM(ROUND({column} / CAST('1{unit}' AS DOUBLE))) AS BIGINT) AS VARCHAR) || '{unit}' AS DOUBLE)"
+
+
+def scaled_by_customer(unit: str) -> str:
+    return f"""
+    SELECT "Customer Name", {_units('o."Profit"', unit)} AS "Total_Profit", COUNT(*) AS "Order_Count"
+    FROM {JOINED} GROUP BY ALL"""
+
+
+def scaled_lifetime_value(unit: str) -> str:
+    return f""",
+  m AS (SELECT "Customer ID", {_units(PRICE, unit)} AS total_sales, {_units(PROFIT, unit)} AS total_profit, COUNT(*) AS total_orders
+        FROM cln_orders GROUP BY "Customer ID")
+SELECT * FROM cln_customers LEFT JOIN m USING ("Customer ID")"""
+
+
+def mixed_by_year() -> str:
+    """Large amounts are added up first, then the usual ones; 1e-300 rounds to no cents."""
+    large, small = 'CASE WHEN "Profit" >= 1e15 THEN "Profit" ELSE 0 END', 'CASE WHEN "Profit" < 1e15 THEN "Profit" ELSE 0 END'
+    return f"""
+    SELECT {year_of()} AS "Year", {_units(large, "e16")} + CAST(SUM(CAST(ROUND(({small}) * 4) AS BIGINT)) AS DOUBLE) / 4 AS "Total_Profit",
+           COUNT(*) AS "Order_Count"
+    FROM {JOINED} GROUP BY ALL"""
+
+
 # --- cleaning report --------------------------------------------------------
 
 def _report_rows(table: str, rules: list[str]) -> str:

@@ -68,6 +68,14 @@ def shared_scratch(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/marginlens-{label}-{uuid.uuid4().hex}"
 
 
+def written(df, label: str):
+    """``df`` as a Parquet table in a fresh folder under the checkpoint
+    directory: lineage ends there, and readers take only the columns they need."""
+    out = shared_scratch(df.sparkSession, label)
+    df.write.parquet(out)
+    return df.sparkSession.read.schema(df.schema).parquet(out)
+
+
 def read_once(df, path: str):
     """``df``, which reads files under ``path``, as a checkpoint; the files are removed."""
     spark = df.sparkSession

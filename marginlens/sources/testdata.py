@@ -55,6 +55,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_single_split(df: DataFrame) -> DataFrame:
+    """``df`` dealt over the session's cores if its file is one split (a single
+    row group cannot be read by several tasks); larger tables pass as they are."""
+    if df.rdd.getNumPartitions() > 1:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _dmy(ts: str) -> str:
     """``date_format(ts, 'd/M/yyyy')`` from integer fields (no formatter per row)."""
     return (f"concat_ws('/', CAST(dayofmonth({ts}) AS STRING), CAST(month({ts}) AS STRING), "
@@ -117,7 +125,7 @@ def orders(
 ) -> DataFrame:
     """Order lines; ``profit`` and ``price`` are other SQL expressions over the
     raw columns, for queries about unusual amounts."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread_single_split(table(spark, sf_dir, "lineitem"))
     o = table(spark, sf_dir, "orders")
     lines = li.join(o, F.expr("l_orderkey = o_orderkey"), "inner")
     if dirty:
