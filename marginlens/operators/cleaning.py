@@ -20,13 +20,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from marginlens import schemas as s
 from marginlens.functions.dates import parse_date
 from marginlens.functions.text import clean_name
+from marginlens.plans.session import metrics
 
 _RANK = "__keep_rank"
 
@@ -269,10 +270,95 @@ def products_cleaning_report(products: DataFrame) -> DataFrame:
     return _id_table_report(products, s.PRODUCT_ID, "products", "product")
 
 
-def cleaning_report(customers: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """C11 for all three tables as one DataFrame ``(table_name, step, rule, row_count)``."""
+def cleaning_report(
+    customers: DataFrame, orders: DataFrame, products: DataFrame, orders_report: DataFrame | None = None
+) -> DataFrame:
+    """C11 for all three tables as one DataFrame ``(table_name, step, rule, row_count)``;
+    ``orders_report`` is that of an earlier pass over the orders."""
     return (
-        orders_cleaning_report(orders)
+        (orders_cleaning_report(orders) if orders_report is None else orders_report)
         .unionByName(customers_cleaning_report(customers))
         .unionByName(products_cleaning_report(products))
     )
+
+
+# --- cleaning, report and profile in one pass ---------------------------------
+#
+# ``DataFrame.observe`` gathers counts while the cleaned table is written.  The
+# rules before the dedupe are counted in its map stage, whose tasks Spark may
+# run again after a lost executor and then counts twice; the metrics therefore
+# also count the task contributions, and a table whose ranges did not all
+# contribute once is counted again from its source.
+
+_PART, _FIRST = "__part", "__first"
+
+
+class ObservedOrders:
+    """The cleaned orders of :func:`clean_orders`, written, and what that pass saw.
+
+    ``cleaned`` is the written table, ``hot`` the hot ids of ``keys``
+    (``operators.joins``), ``report()`` the rows of
+    :func:`orders_cleaning_report`, ``rows`` the number of raw orders and
+    ``sample`` the smallest and the largest raw row (by all columns, NULLs
+    first), None for an empty table.
+    """
+
+    def __init__(self, orders: DataFrame, keys: Sequence[str] = ()):
+        from marginlens.operators.joins import written_with_hot_keys
+
+        self._orders = orders
+        cols = orders.columns
+        passed = (_c(s.PROFIT) >= 0) if s.PROFIT in cols else F.lit(True)
+        has_id = s.ORDER_ID in cols
+        no_id = _c(s.ORDER_ID).isNull() if has_id else F.lit(False)
+        row = F.struct(*[_c(c) for c in cols])
+        before, after = Observation(), Observation()
+        marked = orders.withColumn(_PART, F.spark_partition_id()).withColumn(
+            _FIRST, F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0)
+        seen = marked.observe(
+            before, F.count(F.lit(1)).alias("original"),
+            (F.count_if(_c(s.PROFIT).isNull()) if s.PROFIT in cols else F.sum(F.lit(0))).alias("null_profit"),
+            (F.count_if(_c(s.PROFIT) < 0) if s.PROFIT in cols else F.sum(F.lit(0))).alias("negative_profit"),
+            F.count_if(passed & no_id).alias("null_order_id"), F.count_if(passed & ~no_id).alias("reached"),
+            F.min(row).alias("low"), F.max(row).alias("high"),
+            F.count_if(_FIRST).alias("tasks"), F.collect_set(_PART).alias("parts"))
+        kept = dedupe_orders(drop_null(drop_negative_profit(seen.drop(_PART, _FIRST)), s.ORDER_ID))
+        later = []
+        if s.ORDER_DATE in cols and s.SHIP_DATE in cols:
+            later.append(("invalid_date", ~_dates_valid(kept)))
+        later += [(f"null_{name}", _c(c).isNull()) for name, c in (("customer_id", s.CUSTOMER_ID), ("product_id", s.PRODUCT_ID)) if c in cols]
+        failure = F.lit("")
+        for name, condition in reversed(later):
+            failure = F.when(condition, name).otherwise(failure)
+        checked = kept.withColumn("__failure", failure).observe(
+            after, F.count(F.lit(1)).alias("kept"),
+            *[F.count_if(F.col("__failure") == name).alias(name) for name in ORDER_RULES[4:]])
+        self.cleaned, self.hot = written_with_hot_keys(checked.filter("__failure = ''").drop("__failure"), list(keys))
+        self._before, self._after = metrics(before), metrics(after)
+
+    @property
+    def exact(self) -> bool:
+        """Whether every range of the source contributed once."""
+        return None not in (self._before, self._after) and self._before["tasks"] == len(self._before["parts"])
+
+    @property
+    def rows(self) -> int:
+        return self._before["original"] if self.exact else self._orders.count()
+
+    @property
+    def sample(self) -> tuple | None:
+        if self._before is None:
+            row = F.struct(*[_c(c) for c in self._orders.columns])
+            low, high = self._orders.agg(F.min(row), F.max(row)).first()
+        else:
+            low, high = self._before["low"], self._before["high"]
+        return None if low is None else (low, high)
+
+    def report(self) -> DataFrame:
+        if not self.exact:
+            return orders_cleaning_report(self._orders)
+        seen = {**self._before, **self._after}
+        seen["duplicate_order_id"] = seen["reached"] - seen["kept"]
+        one = self._orders.sparkSession.range(1).select(
+            F.lit(seen["original"]).alias("original"), *[F.lit(seen[rule] or 0).cast("bigint").alias(rule) for rule in ORDER_RULES])
+        return _report_rows(one, "orders", ORDER_RULES)

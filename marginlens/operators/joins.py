@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from marginlens.operators.cleaning import quote
-from marginlens.plans.session import ensure_checkpoint_dir, written
+from marginlens.plans.session import ensure_checkpoint_dir, metrics, written
 
 SALT, HOT = "__salt", "__hot"
 BROADCAST_KEYS = 100_000
@@ -91,7 +91,7 @@ def salted_join(
 
 
 def written_with_hot_keys(fact: DataFrame, keys: list[str]) -> tuple[DataFrame, dict[str, dict[int, list]]]:
-    """``fact`` as a written table, and the hot values of each key by the number of parts to cut them into.
+    """``fact`` as a checkpoint, and the hot values of each key by the number of parts to cut them into.
 
     The write's own tasks fill a frequent-item sketch per key
     (``DataFrame.observe``), so the hot keys cost no further pass.  A key is
@@ -101,8 +101,8 @@ def written_with_hot_keys(fact: DataFrame, keys: list[str]) -> tuple[DataFrame,
     """
     seen = Observation()
     sketches = [F.expr(f"approx_top_k({quote(k)}, {HOT_IDS}, {TRACKED})").alias(k) for k in keys]
-    table = written(fact.observe(seen, F.count(F.lit(1)).alias("n"), *sketches), "orders")
-    found = seen.get
+    table = written(fact.observe(seen, F.count(F.lit(1)).alias("n"), *sketches))
+    found = metrics(seen) or {"n": 0, **dict.fromkeys(keys)}
     hot: dict[str, dict[int, list]] = {}
     for k in keys:
         parts: dict[int, list] = {}

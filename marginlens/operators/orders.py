@@ -38,7 +38,7 @@ def enriched_orders(
 
     A customer or product id that holds a large share of the orders would
     fill one task of a shuffle join.  By default the cleaned orders are written
-    as a table, that write finds such ids, and their orders are cut into
+    as a checkpoint, that write finds such ids, and their orders are cut into
     parts (``operators.joins``).  ``hot`` takes the ids of an earlier write of
     ``orders``; ``split_hot=False`` joins plainly and runs no job.
     ``hot_key_rows`` instead salts every id with at least that many orders over

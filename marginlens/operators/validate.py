@@ -106,17 +106,20 @@ def _null_name(column: str) -> str:
     return "null_" + column.lower().replace(" ", "_").replace("-", "_")
 
 
-def validate_enriched_orders(enriched: DataFrame, original: DataFrame) -> DataFrame:
-    """V3: enriched row count vs. the original orders (``violations`` = rows
-    lost, negative if rows were gained), NULLs in the key columns,
-    non-positive quantities and negative prices."""
+def validate_enriched_orders(enriched: DataFrame, original: DataFrame | int) -> DataFrame:
+    """V3: enriched row count vs. the original orders or their number
+    (``violations`` = rows lost, negative if rows were gained), NULLs in the
+    key columns, non-positive quantities and negative prices."""
     checks = {_null_name(c): _c(c).isNull() for c in ORDER_KEY_COLUMNS}
     checks["non_positive_quantity"] = _c(s.QUANTITY) <= 0
     checks["negative_price"] = _c(s.PRICE) < 0
     enriched_counts = enriched.agg(
         F.count(F.lit(1)).alias("enriched_rows"), *[F.count_if(c).alias(n) for n, c in checks.items()]
     )
-    original_counts = original.agg(F.count(F.lit(1)).alias("original_rows"))
+    if isinstance(original, int):
+        original_counts = enriched.sparkSession.range(1).select(F.lit(original).cast("bigint").alias("original_rows"))
+    else:
+        original_counts = original.agg(F.count(F.lit(1)).alias("original_rows"))
     both = enriched_counts.unionByName(original_counts, allowMissingColumns=True).agg(
         *[F.sum(n).alias(n) for n in ["enriched_rows", "original_rows", *checks]]
     )
@@ -124,6 +127,44 @@ def validate_enriched_orders(enriched: DataFrame, original: DataFrame) -> DataFr
     return _report(one, ["row_count_mismatch", *checks])
 
 
+def _missing(orders: DataFrame, dimension: DataFrame, key: str, flag: str) -> DataFrame:
+    """Ids of the orders that the dimension lacks; the orders' ids are made distinct map-side first."""
+    ids = orders.select(_c(key)).where(_c(key).isNotNull()).distinct()
+    return ids.join(dimension.select(_c(key)), key, "left_anti").withColumn(flag, F.lit(True))
+
+
+def orphan_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """The cleaned orders that the denormalised table loses, with
+    ``no_customer`` and ``no_product``: no customer or product has their id.
+
+    Only lists of missing ids meet the orders, so Spark broadcasts them, or
+    filters the orders by a Bloom filter of them, where they are few.
+    """
+    flagged = orders
+    for dimension, key, flag in ((customers, s.CUSTOMER_ID, "no_customer"), (products, s.PRODUCT_ID, "no_product")):
+        flagged = flagged.join(_missing(orders, dimension, key, flag), key, "left")
+    flags = [F.coalesce(F.col(flag), F.lit(False)).alias(flag) for flag in ("no_customer", "no_product")]
+    return flagged.where("no_customer OR no_product").select(*[_c(c) for c in orders.columns], *flags)
+
+
+def orphan_report(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """V3's lost rows by cause: orders without customer, without product, without both, and all lost.
+
+    One pass over the orders counts each pair of ids map-side, so an id that
+    holds a large share of the orders brings at most a row per id it meets.
+    """
+    pairs = orders.groupBy(_c(s.CUSTOMER_ID), _c(s.PRODUCT_ID)).agg(F.count(F.lit(1)).alias("n"))
+    for dimension, key, flag in ((customers, s.CUSTOMER_ID, "has_customer"), (products, s.PRODUCT_ID, "has_product")):
+        pairs = pairs.join(dimension.select(_c(key), F.lit(True).alias(flag)), key, "left")
+    no_customer, no_product = F.col("has_customer").isNull(), F.col("has_product").isNull()
+    checks = {
+        "missing_customer": no_customer, "missing_product": no_product, "missing_both": no_customer & no_product,
+        "lost_orders": no_customer | no_product,
+    }
+    one = pairs.agg(*[F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).alias(name) for name, condition in checks.items()])
+    return _report(one, list(checks))
+
+
 def validate_profit_summary(summary: DataFrame, enriched: DataFrame) -> DataFrame:
     """V4: NULLs in each key, duplicate rows on the keys (total minus
     distinct), NULL profit, non-positive order counts, and more summary rows

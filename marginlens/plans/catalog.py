@@ -327,10 +327,19 @@ register("r15_profit_by_customer_year_first", AGG + sql.REPORT_SQL["r15_customer
 
 
 def _r16(spark: SparkSession, d: str) -> DataFrame:
-    return R.customer_trends(A.customer_year_totals(_enriched(spark, d)))
+    enriched = _enriched(spark, d)
+    # The yearly rows are re-sorted by the report, so they skip their own sort.
+    return R.top_customer_trends(
+        A.profit_by_customer(enriched, unique_orders=True),
+        A.profit_by_customer_year(enriched, unique_orders=True, sort=False),
+    )
 
 
 register("r16_top_customer_trends", AGG + sql.REPORT_SQL["r16"])(_r16)
+# The same rows from one aggregation of the denormalised orders.
+register("r16_customer_trends_one_branch", AGG + sql.REPORT_SQL["r16"])(
+    lambda spark, d: R.customer_trends(A.customer_year_totals(_enriched(spark, d)))
+)
 register("r17_year_metrics", AGG + sql.REPORT_SQL["r17"])(
     lambda spark, d: R.year_metrics(A.profit_by_year(_enriched(spark, d), unique_orders=True))
 )
@@ -389,6 +398,56 @@ register("v5_validate_profit_aggregate", DIRTY + sql.v5_sql())(
     lambda spark, d: V.validate_profit_aggregate(A.profit_by_year(_enriched(spark, d, dirty=True), unique_orders=True))
 )
 
+# Violating and empty input: the validators' other branches.
+
+
+def _v2_violations(spark: SparkSession, d: str) -> DataFrame:
+    # Uncleaned products keep NULL and repeated ids; quantities and labels are spoilt by fixed rules.
+    src = _dirty(spark, d)
+    tiers = P.classify_price_level(src["products"], clean=False)
+    enriched = P.sales_velocity(tiers, C.clean_orders(src["orders"]), clean=False, fill_columns=["total_quantity_sold"])
+    size = F.length("Product Name")
+    return V.validate_enriched_products(
+        enriched.withColumn("total_quantity_sold", F.when(size % 3 == 0, -F.col("total_quantity_sold")).otherwise(F.col("total_quantity_sold")))
+        .withColumn("price_position", F.when(size % 4 == 0, "Luxury").otherwise(F.col("price_position")))
+        .withColumn("inventory_velocity", F.when(size % 5 == 0, "Stuck").otherwise(F.col("inventory_velocity"))))
+
+
+register("v2_validate_products_violations", DIRTY + sql.v2_violations_sql())(_v2_violations)
+
+
+def _v4_violations(spark: SparkSession, d: str) -> DataFrame:
+    # The summary twice, with NULL keys and totals and zero counts by fixed rules, against half of its source.
+    enriched = _enriched(spark, d, dirty=True)
+    summary = A.profit_summary(enriched)
+    spoilt = summary.withColumn("Category", F.when(F.col("Order_Count") > 1, F.lit(None)).otherwise(F.col("Category"))) \
+        .withColumn("Total_Profit", F.when(F.col("Year") % 2 == 0, F.lit(None)).otherwise(F.col("Total_Profit"))) \
+        .withColumn("Order_Count", F.when(F.col("Year") % 3 == 0, F.lit(0)).otherwise(F.col("Order_Count")))
+    return V.validate_profit_summary(summary.unionByName(spoilt), enriched.filter(F.col("Order ID") % 2 == 0))
+
+
+register("v4_validate_summary_violations", DIRTY + sql.v4_violations_sql())(_v4_violations)
+
+
+def _v5_empty(spark: SparkSession, d: str) -> DataFrame:
+    enriched = _enriched(spark, d, dirty=True).filter(F.col("Profit") < 0)  # cleaning left none
+    return V.validate_profit_aggregate(A.profit_by_year(enriched, unique_orders=True))
+
+
+register("v5_validate_empty_aggregate", DIRTY + sql.v5_empty_sql())(_v5_empty)
+
+
+def _v3_orphans(spark: SparkSession, d: str) -> DataFrame:
+    src = _dirty(spark, d)
+    return V.orphan_report(C.clean_orders(src["orders"]), C.clean_customers(src["customers"]), C.clean_products(src["products"]))
+
+
+register("v3_orphans", DIRTY + sql.v3_orphans_sql())(_v3_orphans)
+register("v3_orphan_orders", DIRTY + sql.v3_orphan_orders_sql())(
+    lambda spark, d: V.orphan_orders(
+        C.clean_orders(_dirty(spark, d)["orders"]), C.clean_customers(_dirty(spark, d)["customers"]), C.clean_products(_dirty(spark, d)["products"]))
+)
+
 # --- Q: table profiles (clean adapter) --------------------------------------
 
 for _kind in ["customers", "orders", "products"]:
@@ -396,6 +455,29 @@ for _kind in ["customers", "orders", "products"]:
         lambda spark, d, kind=_kind: Q.profile(td.sources(spark, d)[kind], kind)
     )
 
+for _kind in ["customers", "orders", "products"]:
+    register(f"q1_profile_samples_{_kind}", DIRTY + sql.profile_samples_sql(_kind))(
+        lambda spark, d, kind=_kind: Q.profile_samples(_dirty(spark, d)[kind], kind)
+    )
+    register(f"q1_profile_summary_{_kind}", DIRTY + sql.profile_summary_sql(_kind))(
+        lambda spark, d, kind=_kind: Q.profile_summary(_dirty(spark, d)[kind], kind)
+    )
+
+
+def _q1_failed(spark: SparkSession, d: str) -> DataFrame:
+    """The profiles of tables of which one cannot be loaded: that one is Failed."""
+    frames, errors = {}, {}
+    for kind in ("customers", "orders", "products"):
+        try:
+            frames[kind] = files.read_products(spark, f"{d}/no-such-products") if kind == "products" else td.sources(spark, d)[kind]
+        except files.SourceError as exc:
+            frames[kind], errors[kind] = None, str(exc).split(":")[1].strip()
+    out = [Q.profile_summary(frame, kind, spark, errors.get(kind)) for kind, frame in frames.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+register("q1_profile_failed", CLEAN + sql.profile_failed_sql())(_q1_failed)
+
 # --- S: file sources (round trips through Spark's own writers) --------------
 
 
@@ -428,6 +510,25 @@ def _s3(spark: SparkSession, d: str) -> DataFrame:
     return read_once(files.read_products(spark, out), out)
 
 
+def _damaged_orders(spark: SparkSession, d: str) -> tuple[files.Quarantined, str]:
+    """JSON Lines of the orders with damaged records, read with a quarantine."""
+    out, orders = shared_scratch(spark, "orders-damaged"), td.orders(spark, d, dirty=True)
+    whole = F.to_json(F.struct(*[F.col(quote(c)) for c in orders.columns]))
+    head, left = F.concat(F.lit('{"Row ID":'), F.col("Row ID")), F.col("Row ID") % 50
+    orders.select(F.when(left == 0, head).when(left == 1, F.concat(head, F.lit(',"Quantity":"many"}'))).otherwise(whole).alias("value")).write.text(out)
+    return files.read_orders(spark, out, multi_line=False, schema=ORDERS_SCHEMA_BIGINT_ROW_ID, quarantined=True), out
+
+
+def _quarantine(side: str):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        split, out = _damaged_orders(spark, d)
+        return read_once(split.accepted if side == "accepted" else split.rejected.select("record"), out)
+
+    return run
+
+
+register("s4_quarantine", DIRTY + sql.S4_QUARANTINE)(_quarantine("rejected"))
+register("s4_accepted", DIRTY + sql.S4_ACCEPTED)(_quarantine("accepted"))
 register("s2_json_orders_roundtrip", DIRTY + sql.S2_ROUNDTRIP)(_s2)
 register("s2_json_array_orders", DIRTY + sql.S2_ROUNDTRIP)(_s2_array)
 register("s3_csv_products_roundtrip", DIRTY + sql.S3_ROUNDTRIP)(_s3)
@@ -473,11 +574,13 @@ PIPELINE_SQL = {
 }
 for _name, _sql in PIPELINE_SQL.items():
     register(f"p1_pipeline_{_name}", _sql)(_pipeline_output(_name))
-register("p1_pipeline_materialized_profit_summary", PIPELINE_SQL["profit_summary"])(
-    lambda spark, d: run_pipeline(
-        *(_dirty(spark, d)[k] for k in ("customers", "orders", "products")), as_of=AS_OF, materialize=True
-    )["profit_summary"]
-)
+# From the pass that cleans and writes the orders, and from the shared base of the aggregates.
+for _name in ("profit_summary", "cleaning_report", "profiles", "validation", "profit_by_customer"):
+    register(f"p1_pipeline_materialized_{_name}", PIPELINE_SQL[_name])(
+        lambda spark, d, name=_name: run_pipeline(
+            *(_dirty(spark, d)[k] for k in ("customers", "orders", "products")), as_of=AS_OF, materialize=True
+        )[name]
+    )
 
 # --- S1: workbooks, round-tripped in memory and through files ---------------------------------
 

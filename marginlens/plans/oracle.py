@@ -321,7 +321,7 @@ VELOCITY = """CASE WHEN total_quantity_sold > 100 THEN 'Fast Moving'
                 WHEN total_quantity_sold > 20 THEN 'Medium Moving' ELSE 'Slow Moving' END"""
 
 
-def tiered_cte() -> str:
+def tiered_cte(source: str = "cln_products") -> str:
     return f"""tiered AS (
     SELECT *, {PRICE_POSITION} AS price_position FROM (
       SELECT *, CAST(ntile(4) OVER (PARTITION BY "Category"
@@ -329,7 +329,7 @@ def tiered_cte() -> str:
                               "Sub-Category" ASC NULLS FIRST, "Product Name" ASC NULLS FIRST,
                               "State" ASC NULLS FIRST) AS INTEGER)
              AS price_tier
-      FROM cln_products))"""
+      FROM {source}))"""
 
 
 SOLD = """sold AS (SELECT "Product ID", CAST(SUM("Quantity") AS BIGINT) AS total_quantity_sold
@@ -560,9 +560,9 @@ AGGREGATE_KEYS = {
 }
 
 
-def v5_sql(keys: list[str] | None = None) -> str:
+def v5_sql(keys: list[str] | None = None, source: str = "enriched") -> str:
     return f""",
-  by_year AS ({aggregate_sql(keys or ["Year"])}),
+  by_year AS ({aggregate_sql(keys or ["Year"], source)}),
   v_one AS (SELECT COUNT(*) AS n, COUNT_IF("Total_Profit" IS NULL) AS null_total_profit,
                    COUNT_IF("Order_Count" IS NULL) AS null_order_count,
                    COUNT_IF("Order_Count" <= 0) AS non_positive_order_count,
@@ -572,6 +572,57 @@ def v5_sql(keys: list[str] | None = None) -> str:
                         "valid"], passed={"valid": "n > 0"})}"""
 
 
+def v5_empty_sql() -> str:
+    text = v5_sql(source='(SELECT * FROM enriched WHERE "Profit" < 0)')
+    for check in ('"Total_Profit" IS NULL', '"Order_Count" IS NULL', '"Order_Count" <= 0'):
+        text = text.replace(f"COUNT_IF({check})", f"COUNT(*) FILTER ({check})")  # COUNT_IF of no rows is NULL
+    return text
+
+
+def v2_violations_sql() -> str:
+    tiers, sold = tiered_cte("src_products"), SOLD
+    return f""",
+  {tiers},
+  {sold},
+  ep_j AS (SELECT * REPLACE (COALESCE(total_quantity_sold, 0) AS total_quantity_sold)
+           FROM tiered LEFT JOIN sold USING ("Product ID")),
+  ep_v AS (SELECT *, {VELOCITY} AS inventory_velocity FROM ep_j),
+  spoilt AS (SELECT * REPLACE (
+      CASE WHEN length("Product Name") % 3 = 0 THEN -total_quantity_sold ELSE total_quantity_sold END AS total_quantity_sold,
+      CASE WHEN length("Product Name") % 4 = 0 THEN 'Luxury' ELSE price_position END AS price_position,
+      CASE WHEN length("Product Name") % 5 = 0 THEN 'Stuck' ELSE inventory_velocity END AS inventory_velocity) FROM ep_v)
+{keyed_validation("spoilt", '"Product ID"', V2_CHECKS, "null_product_id", "duplicate_product_id")}"""
+
+
+def v4_violations_sql() -> str:
+    text = v4_sql().replace("(SELECT COUNT(*) FROM enriched)", '(SELECT COUNT(*) FROM enriched WHERE "Order ID" % 2 = 0)')
+    both = f"""summary_once AS ({profit_summary_sql()}),
+  summary AS (SELECT * FROM summary_once UNION ALL BY NAME SELECT * REPLACE (
+      CASE WHEN "Order_Count" > 1 THEN NULL ELSE "Category" END AS "Category",
+      CASE WHEN "Year" % 2 = 0 THEN NULL ELSE "Total_Profit" END AS "Total_Profit",
+      CASE WHEN "Year" % 3 = 0 THEN 0 ELSE "Order_Count" END AS "Order_Count") FROM summary_once)"""
+    return text.replace(f"summary AS ({profit_summary_sql()})", both)
+
+
+_ORPHANS = """,
+  lost AS (SELECT o.*, o."Customer ID" NOT IN (SELECT "Customer ID" FROM cln_customers) AS no_customer,
+                  o."Product ID" NOT IN (SELECT "Product ID" FROM cln_products) AS no_product FROM cln_orders o)
+"""
+
+
+def v3_orphans_sql() -> str:
+    counts = {"missing_customer": "no_customer", "missing_product": "no_product", "missing_both": "no_customer AND no_product",
+              "lost_orders": "no_customer OR no_product"}
+    cells = ", ".join(f"COUNT_IF({c}) AS {n}" for n, c in counts.items())
+    return f"""{_ORPHANS.rstrip()},
+  v_one AS (SELECT {cells} FROM lost)
+{report_rows("v_one", list(counts))}"""
+
+
+def v3_orphan_orders_sql() -> str:
+    return _ORPHANS + "SELECT * FROM lost WHERE no_customer OR no_product"
+
+
 # --- profiles ---------------------------------------------------------------
 
 SOURCE_TYPES = {
@@ -595,6 +646,29 @@ FROM (SELECT COUNT(*) AS record_count FROM src_{table}) cnt,
      (VALUES {values}) AS c(column_name, ordinal, data_type)"""
 
 
+def profile_samples_sql(table: str) -> str:
+    names = [n for n, _ in SOURCE_TYPES[table]]
+    up, down = (", ".join(f'"{n}" {way}' for n in names) for way in ("ASC NULLS FIRST", "DESC NULLS LAST"))
+    cells = "\nUNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, sample, '{n}' AS column_name, {i} AS ordinal, CAST("{n}" AS VARCHAR) AS value FROM both_rows"""
+        for i, n in enumerate(names, start=1))
+    return f""",
+  both_rows AS (SELECT 1 AS sample, * FROM (SELECT * FROM src_{table} ORDER BY {up} LIMIT 1)
+                UNION ALL SELECT 2, * FROM (SELECT * FROM src_{table} ORDER BY {down} LIMIT 1) WHERE (SELECT COUNT(*) FROM src_{table}) > 1)
+{cells}"""
+
+
+def profile_summary_sql(table: str) -> str:
+    return f"""
+SELECT '{table}' AS table_name, TRUE AS dataframe_created, {len(SOURCE_TYPES[table])} AS total_columns,
+       COUNT(*) AS number_of_records, 'Passed' AS status, CAST(NULL AS VARCHAR) AS error FROM src_{table}"""
+
+
+def profile_failed_sql() -> str:
+    return f"""{profile_summary_sql("customers")} UNION ALL {profile_summary_sql("orders")}
+UNION ALL SELECT 'products', FALSE, 0, 0, 'Failed', 'path not found'"""
+
+
 def enriched_customers_ctes() -> str:
     return f""",
   {customer_metrics_cte()},
@@ -637,3 +711,9 @@ S1_ROUNDTRIP = """
 SELECT CAST("Customer ID" AS VARCHAR) AS "Customer ID", "Customer Name", email, phone, address, "Segment",
        "Country", "City", "State", "Postal Code", "Region"
 FROM src_customers"""
+
+# Every 50th record is cut off, every 50th has a quantity that is no number.
+S4_QUARANTINE = """
+SELECT '{"Row ID":' || "Row ID" || CASE WHEN "Row ID" % 50 = 0 THEN '' ELSE ',"Quantity":"many"}' END AS record
+FROM src_orders WHERE "Row ID" % 50 < 2"""
+S4_ACCEPTED = S2_ROUNDTRIP + """ WHERE "Row ID" % 50 >= 2"""

@@ -10,18 +10,20 @@ the plans that it needs, and nothing else is; the caller picks the actions
 The sources are cleaned once and every output is derived from the same
 cleaned frames.  Spark re-executes a shared input for each action, so when
 several outputs are materialised, ``materialize=True`` writes the cleaned
-orders and the denormalised orders (the two large tables, each read by many
-outputs) once, when first asked for, as reliable checkpoints in the session's
-``spark.checkpoint.dir``: later actions read those copies, and a lost
-executor does not force the cleaning and joins to rerun.  Those writes and
-the range price tiers' one (see ``operators.products``) are the only jobs that
-asking for an output may start.
+orders, the denormalised orders and the base of the profit aggregates (the
+large tables, each read by many outputs) once, when first asked for, as reliable checkpoints
+in the session's ``spark.checkpoint.dir``: later actions read those copies, and
+a lost executor does not force the cleaning and joins to rerun.  The raw orders
+are then scanned once: the pass that cleans them also finds the hot ids and
+counts what the cleaning report, the profile and the validation say.  Those
+writes and the range price tiers' one (see ``operators.products``) are the only
+jobs that asking for an output may start.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +35,7 @@ from marginlens.operators import products as P
 from marginlens.operators import profile as Q
 from marginlens.operators import profit as A
 from marginlens.operators import validate as V
-from marginlens.plans.session import ensure_checkpoint_dir
+from marginlens.plans.session import written
 
 AGGREGATES = {
     "profit_by_year": A.profit_by_year,
@@ -74,24 +76,27 @@ class Outputs(Mapping):
             self._built[name] = self._aggregate(name) if name in AGGREGATES else getattr(self, f"_{name}")()
         return self._built[name]
 
-    def _written(self, df: DataFrame) -> DataFrame:
-        if not self.materialize:
-            return df
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+    def _once(self, df: DataFrame) -> DataFrame:
+        return written(df) if self.materialize else df
+
+    @cached_property
+    def _observed(self) -> C.ObservedOrders:
+        return C.ObservedOrders(self.orders, O.DIMENSION_KEYS)
 
     def _profiles(self) -> DataFrame:
+        rows = self._observed.rows if self.materialize else None
         return (
             Q.profile(self.customers, "customers")
-            .unionByName(Q.profile(self.orders, "orders"))
+            .unionByName(Q.profile(self.orders, "orders", rows=rows))
             .unionByName(Q.profile(self.products, "products"))
         )
 
     def _cleaning_report(self) -> DataFrame:
-        return C.cleaning_report(self.customers, self.orders, self.products)
+        orders = self._observed.report() if self.materialize else None
+        return C.cleaning_report(self.customers, self.orders, self.products, orders)
 
     def _clean_orders(self) -> DataFrame:
-        return self._written(C.clean_orders(self.orders))
+        return self._observed.cleaned if self.materialize else C.clean_orders(self.orders)
 
     def _clean_customers(self) -> DataFrame:
         return C.clean_customers(self.customers)
@@ -109,26 +114,32 @@ class Outputs(Mapping):
         return P.sales_velocity(tiered, self["clean_orders"], clean=False)
 
     def _enriched_orders(self) -> DataFrame:
-        return self._written(O.enriched_orders(
-            self["clean_orders"], self["clean_customers"], self["clean_products"], clean=False,
-            hot_key_rows=self.hot_key_rows,
+        orders = self["clean_orders"]
+        return self._once(O.enriched_orders(
+            orders, self["clean_customers"], self["clean_products"], clean=False,
+            hot_key_rows=self.hot_key_rows, split_hot=False, hot=self._observed.hot if self.materialize else None,
         ))
 
+    @cached_property
+    def _base(self) -> DataFrame:
+        return self._once(A.profit_base(self["enriched_orders"]))
+
     def _profitable_orders(self) -> DataFrame:
         return O.profitable_orders(self["enriched_orders"])
 
     def _profit_summary(self) -> DataFrame:
-        return A.profit_summary(self["enriched_orders"])
+        return A.profit_summary(self._base, from_base=True)
 
     def _aggregate(self, name: str) -> DataFrame:
-        # One row per order id here (see ``operators.profit``): plain counts suffice.
-        return AGGREGATES[name](self["enriched_orders"], unique_orders=True)
+        # One row per order id here (see ``operators.profit``): the base's plain counts suffice.
+        return AGGREGATES[name](self._base, from_base=True)
 
     def _validation(self) -> DataFrame:
         reports = {
             "enriched_customers": V.validate_enriched_customers(self["enriched_customers"]),
             "enriched_products": V.validate_enriched_products(self["enriched_products"]),
-            "enriched_orders": V.validate_enriched_orders(self["enriched_orders"], self.orders),
+            "enriched_orders": V.validate_enriched_orders(
+                self["enriched_orders"], self._observed.rows if self.materialize else self.orders),
             "profit_summary": V.validate_profit_summary(self["profit_summary"], self["enriched_orders"]),
             **{name: V.validate_profit_aggregate(self[name]) for name in AGGREGATES},
         }

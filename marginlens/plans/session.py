@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -68,12 +69,18 @@ def shared_scratch(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/marginlens-{label}-{uuid.uuid4().hex}"
 
 
-def written(df, label: str):
-    """``df`` as a Parquet table in a fresh folder under the checkpoint
-    directory: lineage ends there, and readers take only the columns they need."""
-    out = shared_scratch(df.sparkSession, label)
-    df.write.parquet(out)
-    return df.sparkSession.read.schema(df.schema).parquet(out)
+def written(df):
+    """``df`` as a reliable checkpoint: lineage ends there, and later reads survive lost executors."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def metrics(observation) -> dict | None:
+    """What an observation saw; None if Spark proved its rows empty and left it out of the plan."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return None
 
 
 def read_once(df, path: str):

@@ -23,15 +23,53 @@ action runs.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from contextlib import contextmanager
+from typing import NamedTuple
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from marginlens.schemas import CUSTOMERS_SCHEMA, ORDERS_SCHEMA, PRODUCTS_SCHEMA
 
 
+CORRUPT = "__corrupt_record"
+
+
 class SourceError(Exception):
-    """A source could not be loaded (missing path, bad header, unreadable file)."""
+    """A source could not be loaded: missing path, bad header or missing fields
+    at build time, an unreadable file within :func:`source_errors`."""
+
+
+@contextmanager
+def source_errors(kind: str, path: str | list[str]):
+    """Failures of the actions inside, as :class:`SourceError` (Spark's own error is its cause)."""
+    try:
+        yield
+    except (PySparkException, Py4JJavaError) as exc:
+        raise SourceError(f"{kind}: cannot read {path}: {str(exc).splitlines()[0]}") from exc
+
+
+class Quarantined(NamedTuple):
+    """The ``accepted`` records, and the ``rejected`` ones as ``record`` (their text) and ``file``."""
+
+    accepted: DataFrame
+    rejected: DataFrame
+
+
+def _split(reader: DataFrameReader, load, schema: StructType) -> Quarantined:
+    """One read with Spark's column for records that don't fit; each side is a filter on it."""
+    both = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    rows = load(reader.schema(both).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
+    rows = rows.select("*", F.col("_metadata.file_path").alias("__file"))
+    # Spark parses only the columns that a query reads, and forbids reading the
+    # text column alone, so both sides' condition reads all of them.
+    read = F.length(F.concat_ws("", *[F.col(f"`{n}`").cast("string") for n in schema.fieldNames()])) >= 0
+    accepted = rows.where(F.col(CORRUPT).isNull() & read).select(*[F.col(f"`{n}`") for n in schema.fieldNames()])
+    rejected = rows.where(F.col(CORRUPT).isNotNull() & read).select(F.col(CORRUPT).alias("record"), F.col("__file").alias("file"))
+    return Quarantined(accepted, rejected)
 
 
 def _load(kind: str, path: str | list[str], build) -> DataFrame:
@@ -50,26 +88,33 @@ def read_orders(
     multi_line: bool = True,
     schema: StructType = ORDERS_SCHEMA,
     strict_fields: bool = False,
-) -> DataFrame:
+    quarantined: bool = False,
+) -> DataFrame | Quarantined:
     """Orders from JSON (array per file, or JSON Lines with ``multi_line=False``).
 
     ``strict_fields`` infers the fields of all records first and refuses input
-    without some of the schema's, which would all be NULL.
+    without some of the schema's, which would all be NULL.  ``quarantined``
+    gives :class:`Quarantined` instead of a DataFrame; a whole array file that
+    is cut off is one rejected record.
     """
     if strict_fields:
         found = _load("orders", path, lambda: spark.read.option("multiLine", multi_line).json(path))
         missing = [n for n in schema.fieldNames() if n not in found.columns]
         if missing:
             raise SourceError(f"orders: {path} has no field {missing}")
-    return _load(
-        "orders", path, lambda: spark.read.schema(schema).option("multiLine", multi_line).json(path)
-    )
+    reader = spark.read.option("multiLine", multi_line)
+    if quarantined:
+        return _load("orders", path, lambda: _split(reader, lambda r: r.json(path), schema))
+    return _load("orders", path, lambda: reader.schema(schema).json(path))
 
 
-def _csv(spark: SparkSession, kind: str, path, schema: StructType) -> DataFrame:
+def _csv(spark: SparkSession, kind: str, path, schema: StructType, quarantined: bool = False) -> DataFrame | Quarantined:
     head = _load(kind, path, lambda: spark.read.option("header", True).csv(path)).columns
     if head != schema.fieldNames():
         raise SourceError(f"{kind}: the header of {path} is {head}, not {schema.fieldNames()}")
+    if quarantined:  # the extra column keeps Spark from checking headers, so each file's is left to the head check
+        reader = spark.read.option("header", True)
+        return _load(kind, path, lambda: _split(reader, lambda r: r.csv(path), schema))
     return _load(
         kind,
         path,
@@ -81,9 +126,11 @@ def _csv(spark: SparkSession, kind: str, path, schema: StructType) -> DataFrame:
     )
 
 
-def read_products(spark: SparkSession, path: str | list[str], schema: StructType = PRODUCTS_SCHEMA) -> DataFrame:
+def read_products(
+    spark: SparkSession, path: str | list[str], schema: StructType = PRODUCTS_SCHEMA, quarantined: bool = False
+) -> DataFrame | Quarantined:
     """S3: products from CSV with a header that must match the schema names."""
-    return _csv(spark, "products", path, schema)
+    return _csv(spark, "products", path, schema, quarantined)
 
 
 def read_customers_csv(
