@@ -108,3 +108,90 @@ def test_fixed_texts_stay_on_any_number_of_pages():
             merged = wrappers.merge(merged, wrappers.wrapper_of(tree), True)
         decision = wrappers.decide(merged)
         assert [wrappers.extract(tree, decision) for tree in trees] == want
+
+
+def unmarked_site(rnd, n):
+    """A host whose boilerplate has no marks: menu, notice, sign-up and imprint are only the same on its pages."""
+    pages = []
+    for i in range(n):
+        title, paras = words(rnd, 4), [words(rnd, 20) for _ in range(rnd.randint(2, 6))]
+        body = f"<h1>{title}</h1>" + "".join(f"<p>{p}</p>" for p in paras)
+        more = f"<ul><li><a href=x>{words(rnd, 3)}</a></li><li><a href=y>{words(rnd, 3)}</a></li></ul>" if i % 2 else ""
+        pages.append((f"<body><div><ul><li><a>Home</a></li><li><a>News</a></li></ul></div><div>We use cookies on this site</div>"
+                      f"<div>{body}<p>Sign up for our letter</p></div><div>{more}</div><div>Imprint</div></body>", "\n".join([title, *paras])))
+    return pages
+
+
+def by_hand(pages):
+    """One host in plain Python: fixed texts, one wrapper of all pages, its article."""
+    from collections import Counter
+
+    trees = [wrappers.parse(p) for p in pages]
+    seen = Counter(k for tree in trees for k in {wrappers.text_key(t) for t in wrappers.texts_of(tree)})
+    fixed = frozenset(k for k, n in seen.items() if n > 1 and 2 * n >= len(pages))
+    trees = [wrappers.marked(tree, fixed) for tree in trees]
+    merged = wrappers.wrapper_of(trees[0])
+    for tree in trees[1:]:
+        merged = wrappers.merge(merged, wrappers.wrapper_of(tree), True)
+    decision = wrappers.decide(merged)
+    return [wrappers.extract(tree, decision) for tree in trees]
+
+
+def test_unmarked_boilerplate_goes_by_the_hosts_wrapper(spark):
+    rnd = random.Random(9)
+    rows, want = [], {}
+    for host in range(3):
+        for i, (html, text) in enumerate(unmarked_site(rnd, 2 if host == 2 else 40)):
+            rows.append((100 * host + i, f"https://h{host}.example/{i}", html, "h", "d", 1))
+            want[100 * host + i] = text
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = {r.page_id: r.text for r in wrappers.extract_articles(df, wrappers.infer_wrappers(df)).collect()}
+    assert got == want
+    for host in range(3):
+        own = [r for r in rows if r[0] // 100 == host]
+        assert by_hand([r[2] for r in own]) == [want[r[0]] for r in own]
+    # A page's own wrapper knows no other page: what its host's wrapper drops stays.
+    for r in rows:
+        assert by_hand([r[2]])[0] != want[r[0]] and "Sign up" in by_hand([r[2]])[0]
+
+
+def test_names_are_whole():
+    inside = ('<section id="side-effects">a1</section><div class="share-price">a2</div><section class="related-work">a3</section>'
+              '<div id="menu-of-the-day">a4</div><section id="search-results">a5</section><div class="copyright-law">a6</div>'
+              '<p id="comment-on-method">a7</p><p class="widget-count">a8</p>')
+    assert by_hand([f"<body><article><h1>T</h1>{inside}</article></body>"]) == ["T\na1\na2\na3\na4\na5\na6\na7\na8"]
+    assert by_hand(['<article>x<div class="big ad">n</div><div id=comments>n</div><ul class="share">n</ul></article>']) == ["x"]
+
+
+def lcs(a, b):
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+    return best[-1][-1]
+
+
+def test_alignment_is_a_longest_common_subsequence(monkeypatch):
+    rnd = random.Random(4)
+    for bits in (1 << 30, 8):
+        monkeypatch.setattr(wrappers, "BITS", bits)
+        for _ in range(400):
+            a, b = ([rnd.choice("abcd"[:rnd.randint(1, 4)]) for _ in range(rnd.randint(0, 14))] for _ in range(2))
+            pairs = wrappers._matches(a, b)
+            assert all(a[i] == b[j] for i, j in pairs) and len(pairs) == lcs(a, b)
+            assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+
+
+def test_thousands_of_irregular_siblings():
+    import time
+
+    def one(seed):
+        rnd = random.Random(seed)
+        tags = (rnd.choice(["div", "p", "section", "ul", "h2", "table", "ol", "dl", "h3"]) for _ in range(4000))
+        return wrappers.wrapper_of(wrappers.parse("<body>" + "".join(f"<{t}>x{rnd.random()}</{t}>" for t in tags) + "</body>"))
+
+    a, b = one(1), one(2)
+    start = time.perf_counter()
+    merged = wrappers.merge(a, b, True)
+    assert time.perf_counter() - start < 1
+    assert max(map(len, (merged[wrappers.CHILDREN][0][wrappers.CHILDREN],))) <= wrappers.CHILDREN_KEPT
