@@ -32,10 +32,11 @@ SAMPLES = 64
 WORDS = 5
 #: Samples that one row of the aggregate holds (``samples`` is a multiple).
 WIDTH = 16
-#: Terms with a > REACH / W are not looked at; one that is needs a probability of exp(-REACH).
+#: Terms with a > REACH / W are not looked at first.  A sample that no term below that wins, which happens with
+#: probability exp(-REACH), is taken again from all terms of its text, so each is the least of all terms.
 REACH = 16
 LOW, HALF = (1 << 32) - 1, 1 << 31
-#: A sample that no term of the text can have won within the bound, or of a text without words.
+#: A sample of a text without words.
 NOTHING = (1 << 63) - 1
 
 
@@ -115,22 +116,33 @@ def sample(k: int) -> Column:
     return F.when(d * (1 + d * (1 / 2 + d * (1 / 3 + d * (1 / 4 + d * (1 / 5 + d / 6))))) * small <= F.col("bound"), offer)
 
 
-def least_offers(terms: DataFrame, keys: list[str], samples: int) -> DataFrame:
+def least_offers(terms: DataFrame, keys: list[str], samples: int, reach: float) -> DataFrame:
     """``keys``, ``part`` and the smallest offer to each sample of the part, over
-    rows ``keys, h, w`` and the text's total ``weight``."""
+    rows ``keys, h, w`` and the text's total ``weight``; with ``limit``, below
+    which an offer's rank is the least of all terms, and ``some``, whether there are any."""
+    limit = F.floor((F.log(reach / F.col("weight")) + 64) * 2.0**24)
     parts = terms.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(samples // WIDTH - 1)))).select(
         *keys, "part", F.xxhash64("h", "part").alias("h"), F.log(F.col("w").cast("double")).alias("ln_w"),
-        (F.col("w") / F.col("weight") * REACH * 2.0**64).alias("bound"))
-    return parts.groupBy(*keys, "part").agg(*[F.min(sample(k)).alias(f"s{k}") for k in range(WIDTH)])
+        (F.col("w") / F.col("weight") * reach * 2.0**64).alias("bound"), limit.alias("limit"))
+    return parts.groupBy(*keys, "part").agg(
+        *[F.min(sample(k)).alias(f"s{k}") for k in range(WIDTH)], F.max("limit").alias("limit"), (F.count("ln_w") > 0).alias("some"))
+
+
+def _least(k: int, condition: Column | None) -> Column:
+    offer = F.col(f"s{k}") if condition is None else F.when(condition, F.col(f"s{k}"))
+    return F.coalesce(F.min(offer), F.lit(NOTHING))
 
 
 def _values(condition: Column | None = None) -> Column:
     """The part's samples as an array of ints: the lower bits of the smallest offers, less 2**31."""
-    def of(k: int) -> Column:
-        offer = F.col(f"s{k}") if condition is None else F.when(condition, F.col(f"s{k}"))
-        return (F.coalesce(F.min(offer), F.lit(NOTHING)).bitwiseAND(F.lit(LOW)) - HALF).cast("int")
+    return F.array(*[(_least(k, condition).bitwiseAND(F.lit(LOW)) - HALF).cast("int") for k in range(WIDTH)])
 
-    return F.array(*[of(k) for k in range(WIDTH)])
+
+def _open(condition: Column | None = None) -> Column:
+    """Whether a term that was not looked at may win one of the part's samples."""
+    some = F.max(F.col("some") if condition is None else F.when(condition, F.col("some")))
+    far = [F.shiftright(_least(k, condition), 32) >= F.max("limit") for k in range(WIDTH)]
+    return F.coalesce(some, F.lit(False)) & F.greatest(*far)
 
 
 def _in_order(values: str) -> Column:
@@ -138,33 +150,54 @@ def _in_order(values: str) -> Column:
     return F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("part", values))), lambda x: x[values]))
 
 
+def _whole(texts: DataFrame, keys: list[str], bounded) -> DataFrame:
+    """``bounded(texts, reach)``, written; the few texts with open samples are done again from all terms."""
+    made = cut(bounded(texts, REACH))
+    again = made.filter("open").select(*[F.col(k).alias(f"__{k}") for k in keys])
+    if again.isEmpty():
+        return made.drop("open")
+    same = [F.col(k) == F.col(f"__{k}") for k in keys]
+    redone = bounded(texts.join(again, same, "left_semi"), float("inf"))
+    return made.filter("NOT open").unionByName(redone).drop("open")
+
+
 def fingerprint(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
     """``keys`` and ``samples`` (array of ints) per distinct key of ``texts``,
-    whose other column is ``text``, never NULL.  Numbers as keys are fastest.
-    Rows with the same key must have the same text.  Texts without words agree
-    with each other only."""
-    words = _with_starts(with_words(texts.select(*keys, "text"), "text", "a"), "a")
-    terms = words.select(*keys, F.size("a_keys").alias("weight"), F.explode_outer(_weighted("a", 0)).alias("x")).select(
-        *keys, "weight", "x.h", "x.w")
-    least = least_offers(terms, keys, samples).groupBy(*keys, "part").agg(_values().alias("values"))
-    return least.groupBy(*keys).agg(_in_order("values").alias("samples"))
+    whose other column is ``text``; neither is NULL.  Numbers as keys are
+    fastest.  Rows with the same key must have the same text.  Equal texts get
+    equal samples; texts without words agree with each other only."""
+
+    def bounded(rows: DataFrame, reach: float) -> DataFrame:
+        words = _with_starts(with_words(rows.select(*keys, "text"), "text", "a"), "a")
+        terms = words.select(*keys, F.size("a_keys").alias("weight"), F.explode_outer(_weighted("a", 0)).alias("x")).select(
+            *keys, "weight", "x.h", "x.w")
+        least = least_offers(terms, keys, samples, reach).groupBy(*keys, "part").agg(_values().alias("values"), _open().alias("open"))
+        return least.groupBy(*keys).agg(_in_order("values").alias("samples"), F.max("open").alias("open"))
+
+    return _whole(texts, keys, bounded)
 
 
 def fingerprint_pairs(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
     """``keys, own, edited``: the fingerprints of the columns ``text`` and
-    ``edited``.  Terms that weigh the same in both are sampled once."""
-    words = with_words(with_words(texts.select(*keys, "text", "edited"), "text", "a"), "edited", "b")
-    words = _with_starts(_with_starts(words, "a"), "b").withColumn("common", F.array_intersect("a_once", "b_once"))
-    shared = F.concat(_single(F.col("common"), 2), _single(F.array_except("a_once", "common"), 0),
-                      _single(F.array_except("b_once", "common"), 1))
-    both = F.when(_repeats("a") | _repeats("b"), F.concat(_weighted("a", 0), _weighted("b", 1))).otherwise(shared)
-    # the lighter of the two texts has the wider bound, which serves both
-    weight = F.greatest(F.least(F.size("a_keys"), F.size("b_keys")), F.lit(1))
-    terms = words.select(*keys, weight.alias("weight"), F.explode_outer(both).alias("x")).select(
-        *keys, "weight", F.coalesce("x.kind", F.lit(2)).alias("kind"), "x.h", "x.w")
-    least = least_offers(terms, [*keys, "kind"], samples).groupBy(*keys, "part").agg(
-        _values(F.col("kind") != 1).alias("own"), _values(F.col("kind") != 0).alias("edited"))
-    return least.groupBy(*keys).agg(_in_order("own").alias("own"), _in_order("edited").alias("edited"))
+    ``edited``, each what :func:`fingerprint` gives.  Terms that weigh the same
+    in both are sampled once."""
+
+    def bounded(rows: DataFrame, reach: float) -> DataFrame:
+        words = with_words(with_words(rows.select(*keys, "text", "edited"), "text", "a"), "edited", "b")
+        words = _with_starts(_with_starts(words, "a"), "b").withColumn("common", F.array_intersect("a_once", "b_once"))
+        shared = F.concat(_single(F.col("common"), 2), _single(F.array_except("a_once", "common"), 0),
+                          _single(F.array_except("b_once", "common"), 1))
+        both = F.when(_repeats("a") | _repeats("b"), F.concat(_weighted("a", 0), _weighted("b", 1))).otherwise(shared)
+        # the lighter of the two texts has the wider bound, which serves both
+        weight = F.greatest(F.least(F.size("a_keys"), F.size("b_keys")), F.lit(1))
+        terms = words.select(*keys, weight.alias("weight"), F.explode_outer(both).alias("x")).select(
+            *keys, "weight", F.coalesce("x.kind", F.lit(2)).alias("kind"), "x.h", "x.w")
+        own, edited = F.col("kind") != 1, F.col("kind") != 0
+        least = least_offers(terms, [*keys, "kind"], samples, reach).groupBy(*keys, "part").agg(
+            _values(own).alias("own"), _values(edited).alias("edited"), (_open(own) | _open(edited)).alias("open"))
+        return least.groupBy(*keys).agg(_in_order("own").alias("own"), _in_order("edited").alias("edited"), F.max("open").alias("open"))
+
+    return _whole(texts, keys, bounded)
 
 
 def likeness(a: str, b: str) -> Column:
@@ -198,10 +231,10 @@ def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     the last document is followed by the first.  Returns ``doc_id, n_chars,
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
 
-    NULL text counts as empty, a NULL id as smaller than all others.  Rows
-    that repeat id and text are one row of the result; among different texts
-    of one id, that with the smallest hash is the next document of the id
-    before.  Other columns, whatever their names, are ignored.
+    NULL text counts as empty, a NULL id as smaller than all others.  Repeated
+    rows come out repeatedly; among different texts of one id, that with the
+    smallest hash is the next document of the id before.  Equal texts have
+    equal fingerprints.  Other columns, whatever their names, are ignored.
     """
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"),
                        F.coalesce("text", F.lit("")).alias("text"))
@@ -218,12 +251,14 @@ def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))"),
                       F.substring("head", F.lit(1), quarter))
     both = base.join(heads, "key").select("key", F.xxhash64("text").alias("h_text"), "text", edited.alias("edited"))
-    about = both.select(F.col("key").alias("k"), F.col("h_text").alias("h"), F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    about = both.select(  # one row per document
+        F.col("key").alias("k"), F.col("h_text").alias("h"), F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
     # Both sides are partitioned by the key already; as an equality, the hash
     # would be a join key too, and both sides would be shuffled again.
     same = (F.col("key") == F.col("k")) & (F.col("h_text") <= F.col("h")) & (F.col("h_text") >= F.col("h"))
-    pairs = cut(fingerprint_pairs(both, ["key", "h_text"], samples).join(about.distinct(), same).drop("k", "h"))
-    of_next = pairs.groupBy("key").agg(F.min_by("own", "h_text").alias("of_next")).withColumnRenamed("key", "next_key")
+    prints = fingerprint_pairs(both, ["key", "h_text"], samples)
+    pairs = prints.join(about, same).drop("k", "h")
+    of_next = prints.groupBy("key").agg(F.min_by("own", "h_text").alias("of_next")).withColumnRenamed("key", "next_key")
     return pairs.join(follow, "key").join(of_next, "next_key").select(
         F.when(F.col("key") != -(1 << 63), F.col("key")).alias("doc_id"), "n_chars", "edited_sha256",
         as_text("own").alias("fingerprint"), as_text("edited").alias("edited_fingerprint"),

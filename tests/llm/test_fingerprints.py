@@ -79,3 +79,28 @@ def test_one_row_repeated_ids_and_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     df = fp.fingerprint(frame(spark, [(1, "a")]).select("doc_id", "text"), ["doc_id"])
     assert "Python" not in df._jdf.queryExecution().toString()
+
+
+def test_equal_texts_have_equal_fingerprints_within_any_reach(spark, monkeypatch):
+    """A low reach leaves many samples open at first; a text's partner must not show in its fingerprint."""
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice(["ab", "cd", "ef", "gh", "ij"]) + str(rnd.randint(0, 30)) for _ in range(rnd.randint(12, 60))) for _ in range(40)]
+    rows = []
+    for i, text in enumerate(texts):  # each text once before a text of one long word, once before another text
+        rows += [(4 * i, text), (4 * i + 1, "x" * 400), (4 * i + 2, text), (4 * i + 3, texts[(i * 7 + 3) % 40])]
+    made = {}
+    for reach in (16, 2, 0.5):
+        monkeypatch.setattr(fp, "REACH", reach)
+        got = {r.doc_id: r for r in fp.edited_fingerprints(frame(spark, rows)).collect()}
+        for i in range(40):
+            assert got[4 * i].fingerprint == got[4 * i + 2].fingerprint
+        made[reach] = {i: (r.fingerprint, r.edited_fingerprint) for i, r in got.items()}
+        one = fp.fingerprint(frame(spark, rows).select("doc_id", "text"), ["doc_id"]).select("doc_id", fp.as_text("samples").alias("f"))
+        assert {r.doc_id: r.f for r in one.collect()} == {i: f[0] for i, f in made[reach].items()}
+    assert made[16] == made[2] == made[0.5]
+
+
+def test_repeated_rows_stay(spark):
+    rows = [(1, "a b c d e f g h"), (1, "a b c d e f g h"), (2, "x"), (None, None), (None, None)]
+    got = sorted(str(r.doc_id) for r in fp.edited_fingerprints(frame(spark, rows)).collect())
+    assert got == ["1", "1", "2", "None", "None"]
