@@ -13,7 +13,10 @@ frequent ones the prefix is extended by one token, and pairs (2-combinations)
 of its frequent tokens are indexed (for large sets, whose pairs would be too
 many, frequent tokens are indexed singly again; sets near the border have
 both).  Rows of a small bucket become pairs, filtered by an exact upper bound
-of the intersection; rows of a large bucket are tied to one hub only, so that
+of the intersection.  The documents of large buckets are joined among themselves
+once more, now with all their tokens counted: pages that share a template but
+not their text then have prefixes of their own tokens and leave.  What still
+fills a large bucket are near copies; they are tied to one hub only, so that
 no group ever emits all its pairs.  The candidate graph's components are cut
 into blocks of bounded size, and each task verifies a pair of blocks with the
 whole sets.  Verified links give the components.
@@ -149,10 +152,51 @@ def enough(inner: Column | int, total: Column | int, percent: int):
     return inner * (100 + percent) >= total * percent
 
 
-def candidate_edges(sketched: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """``u, v``: edges of a graph whose components hold every link between classes."""
+def fetched(docs: DataFrame, wanted: DataFrame, size: int, more: list[str]) -> DataFrame:
+    """``rid``, the ``more`` columns (ints) and ``keys`` (the whole set) of the rows
+    of ``wanted`` (``rid, wanted_id, sig``), by a second scan of the texts."""
+    rows = wanted.count()
+    right = F.broadcast(wanted) if rows <= BROADCAST_ROWS else wanted
+    found = docs.select(F.col("doc_id").cast("long"), "text").join(right, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            keep, sets = [], []
+            for i, keys in enumerate(shingle_sets(batch.column(0), size)):
+                if signature(keys) == batch.column(2)[i].as_py():
+                    keep.append(i)
+                    sets.append(keys.tobytes())
+            rows = batch.take(pa.array(keep, pa.int32()))
+            yield pa.RecordBatch.from_arrays([rows.column(1), *rows.columns[3:], pa.array(sets, pa.binary())], names=["rid", *more, "keys"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in wanted.schema.fields}
+    schema = ", ".join(["rid long", *[f"{c} {kinds[c]}" for c in more], "keys binary"])
+    return found.select("text", "rid", "sig", *more).mapInArrow(sets_of, schema)
+
+
+def counted_whole(sets: DataFrame) -> DataFrame:
+    """Sketches (as :func:`sketches` gives them) with all tokens in the counted share."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            keys = [np.frombuffer(k, np.uint64) for k in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(k) for k in keys], pa.int32()), _lists([range_counts(k) for k in keys], np.int32),
+                 _lists([k.view(np.int64) for k in keys], np.int64), _lists([k[:0].view(np.int64) for k in keys], np.int64)],
+                names=["rid", "n", "counts", "tokens", "others"])
+
+    made = sets.select("rid", "keys").mapInArrow(whole, "rid long, n int, counts array<int>, tokens array<long>, others array<long>")
+    return cut(made.dropDuplicates(["rid"]))  # rows that repeat an id may be fetched twice
+
+
+def candidate_edges(sketched: DataFrame, classes: DataFrame, percent: int, docs: DataFrame | None = None, size: int = 0) -> DataFrame:
+    """``u, v``: edges of a graph whose components hold every link between classes.
+
+    With ``docs`` the documents of large buckets are joined once more, by all
+    their tokens; without, large buckets become stars.
+    """
     tokens = sketched.select("rid", F.explode("tokens").alias("t"))
-    counts = tokens.groupBy("t").agg(F.count(F.lit(1)).cast("int").alias("c")).filter("c > 1")
+    counts = cut(tokens.groupBy("t").agg(F.count(F.lit(1)).cast("int").alias("c")).filter("c > 1"))
     shared = tokens.join(counts, "t").groupBy("rid").agg(F.collect_list(F.struct("c", "t")).alias("shared"))
     alpha = F.ceil(F.col("n") * F.lit(percent) / 100)
     rows = (
@@ -162,16 +206,16 @@ def candidate_edges(sketched: DataFrame, classes: DataFrame, percent: int) -> Da
         .filter(F.col("n_tokens") - F.coalesce(F.size("shared"), F.lit(0)) < F.col("n") - alpha + 1)
     )
     index = cut(candidate_index(rows, percent))
-    buckets = index.groupBy("a", "b").agg(F.count(F.lit(1)).alias("m"), F.min("rid").alias("hub")).filter("m > 1")
+    buckets = cut(index.groupBy("a", "b").agg(F.count(F.lit(1)).alias("m"), F.min("rid").alias("hub")).filter("m > 1"))
     placed = cut(index.join(buckets, ["a", "b"]))
-    hubs = placed.filter(F.col("m") > FREQUENT).filter("rid != hub").select(F.col("rid").alias("u"), F.col("hub").alias("v"))
-    r, size = F.col("r"), F.size("r")
+    large = placed.filter(F.col("m") > FREQUENT)
+    r, size_of = F.col("r"), F.size("r")
     pairs = (
         placed.filter(F.col("m") <= FREQUENT).groupBy("a", "b").agg(F.array_sort(F.collect_set("rid")).alias("r"))
-        .filter(size > 1)
+        .filter(size_of > 1)
         .select(F.explode(F.flatten(F.transform(
-            F.sequence(F.lit(0), size - 2),
-            lambda i: F.transform(F.slice(r, i + 2, size), lambda y: F.struct(y.alias("u"), F.get(r, i).alias("v")))))).alias("p"))
+            F.sequence(F.lit(0), size_of - 2),
+            lambda i: F.transform(F.slice(r, i + 2, size_of), lambda y: F.struct(y.alias("u"), F.get(r, i).alias("v")))))).alias("p"))
         .select("p.u", "p.v").distinct()
     )
     known = sketched.select("rid", "n", "counts")
@@ -181,7 +225,12 @@ def candidate_edges(sketched: DataFrame, classes: DataFrame, percent: int) -> Da
         .join(known.select(F.col("rid").alias("v"), F.col("n").alias("n_v"), F.col("counts").alias("counts_v")), "v")
         .filter(enough(bound, F.col("n") + F.col("n_v"), percent)).select("u", "v")
     )
-    return hubs.distinct().union(close)
+    if docs is None:
+        return large.filter("rid != hub").select(F.col("rid").alias("u"), F.col("hub").alias("v")).distinct().union(close)
+    crowd = cut(large.select("rid").distinct().join(sketched.select("rid", F.col("doc_id").alias("wanted_id"), "sig"), "rid"))
+    if crowd.isEmpty():
+        return close
+    return close.union(candidate_edges(counted_whole(fetched(docs, crowd, size, [])), classes, percent))
 
 
 def verified(rid: list[int], block: list[int], sets: list[np.ndarray], across: bool, percent: int) -> list[tuple[int, int]]:
@@ -222,23 +271,7 @@ def verified_links(docs: DataFrame, sketched: DataFrame, edges: DataFrame, size:
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int").alias("blocks"))
     wanted = cut(named.join(blocks, "label").select(
         F.col("node").alias("rid"), F.col("doc_id").alias("wanted_id"), "sig", "label", "blocks"))
-    rows = wanted.count()
-    right = F.broadcast(wanted) if rows <= BROADCAST_ROWS else wanted
-    found = docs.select(F.col("doc_id").cast("long"), "text").join(right, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            keep, sets = [], []
-            for i, keys in enumerate(shingle_sets(batch.column(0), size)):
-                if signature(keys) == batch.column(2)[i].as_py():
-                    keep.append(i)
-                    sets.append(keys.tobytes())
-            rows = batch.take(pa.array(keep, pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(1), rows.column(3), rows.column(4), pa.array(sets, pa.binary())],
-                names=["rid", "label", "blocks", "keys"])
-
-    sets = found.select("text", "rid", "sig", "label", "blocks").mapInArrow(sets_of, "rid long, label long, blocks int, keys binary")
+    sets = fetched(docs, wanted, size, ["label", "blocks"])
     own = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
     dealt = (
         sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -297,7 +330,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, keyed:
     docs = docs.select("doc_id", "text")
     sketched = sketches(docs.select("doc_id", "text", *more), size, percent)
     classes = cut(sketched.filter("n > 0").groupBy("sig").agg(F.min("rid").alias("cls"), F.min("doc_id").alias("least")))
-    links = verified_links(docs, sketched, candidate_edges(sketched, classes, percent), size, percent)
+    links = verified_links(docs, sketched, candidate_edges(sketched, classes, percent, docs, size), size, percent)
     linked = components(links)
     least = classes.join(linked.withColumnRenamed("node", "cls"), "cls")
     whole = least.groupBy("label").agg(F.min("least").alias("component"))

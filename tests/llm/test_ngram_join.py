@@ -8,6 +8,7 @@ import pytest
 from marginlens.llm import components as module
 from marginlens.llm import ngram_join
 from marginlens.llm.components import components
+from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, n string, sig string, rid int, c int"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -117,3 +118,23 @@ def test_empty_table_and_far_components(spark, monkeypatch, one_task):
     random.Random(0).shuffle(chain)
     got = dict(tuple(r) for r in components(spark.createDataFrame(chain, "u long, v long").repartition(20)).collect())
     assert got == {i: 0 for i in range(201)} | {500: 500, 501: 500, 900: 500}
+
+
+def test_template_pages_leave_before_verification(spark):
+    """Pages with a common template (Jaccard about 0.43) fill large buckets but have no link: none is verified."""
+    rnd = random.Random(6)
+    template = [f"t{i}" for i in range(180)]
+    rows = [(i, " ".join(template + [f"{i}x{k}" for k in range(120)])) for i in range(400)]
+    rows += [(1000 + i, " ".join(template + [f"near{k}" for k in range(119)] + [f"{i}y"])) for i in range(40)]  # near copies among them
+    rnd.shuffle(rows)
+    df = spark.createDataFrame([(*r, "n", "s", 1, 1) for r in rows], SCHEMA)
+    docs = df.select("doc_id", "text")
+    made = ngram_join.sketches(docs, 3, 90)
+    classes = made.groupBy("sig").agg(F.min("rid").alias("cls"), F.min("doc_id").alias("least"))
+    ids = {r.rid: r.doc_id for r in made.select("rid", "doc_id").collect()}
+    stars = components(ngram_join.candidate_edges(made, classes, 90)).collect()
+    assert len(stars) > 400  # by the counted share alone, all pages are one candidate group
+    edges = ngram_join.candidate_edges(made, classes, 90, docs, 3).collect()
+    assert edges and all(ids[e.u] >= 1000 and ids[e.v] >= 1000 for e in edges)
+    got = ngram_join.jaccard_components(df, 3, 90).collect()
+    assert {r.component_id for r in got if r.doc_id >= 1000} == {1000} and all(r.component_id == r.doc_id for r in got if r.doc_id < 1000)
