@@ -85,9 +85,12 @@ def metrics(observation) -> dict | None:
 
 def read_once(df, path: str):
     """``df``, which reads files under ``path``, as a checkpoint; the files are removed."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    out = df.checkpoint(eager=True)
+    out = written(df)
+    remove(df.sparkSession, path)
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder wherever its file system is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    return out
