@@ -16,19 +16,28 @@ from pyspark.sql import functions as F
 
 from marginlens.llm import line_dedup, mixing, ngram_join, packing, quality
 from marginlens.llm.scratch import cut
-from marginlens.plans.session import shared_scratch
+from marginlens.plans.session import remove, shared_scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def reject_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier predicts as label 0 go; texts are not changed."""
+    """Documents that the quality classifier predicts as label 0 go; texts are not changed.
+
+    NULL and empty texts have the score of the bias alone and all go or stay
+    together.  Repeated rows have the same score.  Documents with a NULL id are
+    scored, never learnt from.  An empty table stays empty; without any labels
+    every document stays (score 0.5)."""
     model = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score_quality(docs.select(*COLUMNS), model).filter("predicted = 1").select(*COLUMNS)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in 10 documents or more go; every document stays, with its new length."""
+    """Lines found in 10 documents or more go; every document stays, with its new length.
+
+    A row is a document, so repeated rows count once each.  NULL text becomes
+    the empty string, as one empty line; empty lines never go.  NULL ids are
+    ordinary values, and an empty table stays empty."""
     out = line_dedup.drop_repeated_lines(docs, min_docs=10, min_chars=1)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
@@ -57,12 +66,21 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each source repeated to its target rate (temperature 0.5)."""
+    """Each source repeated to its target rate (temperature 0.5).
+
+    A document may come out no time, once or more often, with its row unchanged;
+    rows with equal source and id, NULL ones too, come out equally often.  A NULL
+    source is a source; NULL and empty texts are documents; an empty table stays
+    empty."""
     return mixing.mix_sources(docs, mixing.source_rates(docs.select("source"), alpha=0.5)).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every copy cut into pieces and packed into sequences of 1024 tokens."""
+    """Every copy cut into pieces and packed into sequences of 1024 tokens.
+
+    Each row is packed on its own, repeated ones too; a NULL or empty text is
+    one piece of the end token alone, and a NULL id stays NULL.  An empty table
+    gives no pieces."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -79,10 +97,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to ``documents``, each written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages applied to ``documents``, each written and read again; a
+    stage's table goes when the next one is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         out = f"{shared_scratch(spark, name)}-{uuid.uuid4().hex[:8]}"
         stage(spark, docs, sf_dir).write.parquet(out)
-        docs = spark.read.parquet(out)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(out), out
     return docs

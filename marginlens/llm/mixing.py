@@ -114,7 +114,8 @@ WITH n AS (SELECT source, count(*) AS n FROM documents GROUP BY source
 ), r AS (SELECT source, pow(CAST(n AS DOUBLE), 0.5) / w_all * n_all * 1.0 / n AS rate FROM n, w
 ), p AS (
   SELECT source, rate, k, CASE WHEN k = 0 THEN exp(-rate) ELSE exp(-rate + k * ln(rate) - lgamma(k + 1)) END AS p
-  FROM r, (SELECT unnest(range(0, 400)) AS k) WHERE k <= ceil(rate + 12 * sqrt(rate) + 24)
+  FROM r, (SELECT unnest(range(0, m)) AS k FROM (SELECT CAST(max(ceil(rate + 12 * sqrt(rate) + 24)) AS BIGINT) + 1 AS m FROM r))
+  WHERE k <= ceil(rate + 12 * sqrt(rate) + 24)
 ), c AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS cdf FROM p
 ), t AS (SELECT source, list(cdf ORDER BY k) AS cdf FROM c GROUP BY source
 ), d AS (

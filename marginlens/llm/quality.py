@@ -105,8 +105,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, bi
     """A model of ``labels.quality`` (0 or 1; other values and NULL are
     ignored) from the labelled documents that are not held out.
 
-    Only ``text`` is an input.  Repeated labels and repeated documents count
-    each time.  Without any labelled document every score is 0.5.
+    Only ``text`` is an input.  Repeated labels (same id and quality) count
+    once, an id with both qualities counts as both, and repeated documents
+    count each time, so ``max_rows`` bounds the labels, not the rows, of a table
+    that repeats ids.  Without any labelled document every score is 0.5.
     """
     usable = labels.filter(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select(
         F.col("doc_id").alias("label_id"), F.col("quality").cast("int").alias("quality")).distinct()

@@ -131,3 +131,32 @@ def test_entry_works_without_the_subpackage(tmp_path):
             "assert 'a1_profit_summary' in e.queries() and not any(n.startswith('op') for n in e.queries())\n"
             "assert set(e.oracle_sql()) <= set(e.queries())\n")
     subprocess.run([sys.executable, "-c", code], check=True, cwd=corpus_pipeline.__file__.rpartition("/")[0])
+
+
+def test_empty_tables(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_take_odd_rows(spark, stage):
+    """NULLs in all columns, empty texts and repeated rows: what each stage's docstring says."""
+    name, function = corpus_pipeline.STAGES[stage]
+    odd = [(None, None, None, None, None), (1, "", "en", "a", 0), (1, "", "en", "a", 0), (2, None, None, None, None), (3, "Some words, here.", "en", "a", 17)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = function(spark, spark.createDataFrame(odd, schema), SF).collect()
+    if name == "line_dedup":
+        assert sorted((str(r.doc_id), r.text, r.n_chars) for r in rows) == [("1", "", 0)] * 2 + [("2", "", 0), ("3", odd[4][1], 17), ("None", "", 0)]
+    elif name == "near_copies":
+        assert len(rows) == 5  # nothing but row 3 has words
+    elif name == "packing":
+        assert sorted(str(r.doc_id) for r in rows) == ["1", "1", "2", "3", "None"]
+    elif name == "mixing":
+        ones = [r for r in rows if r.doc_id == 1]
+        assert len(ones) % 2 == 0 and {tuple(r) for r in rows} <= set(odd)
+    else:
+        assert {tuple(r) for r in rows} <= set(odd) and len([r for r in rows if r.doc_id == 1]) in (0, 2)
+    none = function(spark, spark.createDataFrame([], schema), SF)
+    assert none.collect() == [] and (name == "packing" or none.columns == corpus_pipeline.COLUMNS)

@@ -43,3 +43,30 @@ def test_dual_coordinate_descent_meets_its_conditions():
     model = quality.fit_arrays(rows, labels, bits=6, epochs=400)
     margin = np.array([model.weight[x].sum() / np.sqrt(model.square[x].sum()) + model.bias for x in rows])
     assert np.mean((margin > 0) == (labels == 1)) > 0.95
+
+
+def test_the_solver_reaches_the_optimum_of_another():
+    """The hinge loss of the fitted model against the dual's optimum, found by a plain box-constrained solver."""
+    rng = np.random.default_rng(1)
+    rows = [np.unique(rng.integers(0, 32, 5)).astype(np.int32) for _ in range(60)]
+    labels = np.array([int((x < 16).mean() + rng.normal() * 0.3 > 0.5) for x in rows])
+    model = quality.fit_arrays(rows, labels, bits=5, epochs=600)
+    ratio = np.sqrt(model.square.astype(np.float64))
+    sign = np.where(labels == 1, 1.0, -1.0)
+    signed = np.where(ratio > 0, model.weight / np.where(ratio > 0, ratio, 1), 0)  # the weights, up to the ratios' signs
+    margins = np.array([model.weight[x].sum() / np.sqrt(model.square[x].sum()) + model.bias for x in rows])
+    primal = 0.5 * ((signed**2).sum() + model.bias**2) + np.maximum(0, 1 - sign * margins).sum()
+    counts = np.ones((2, 32))
+    for x, y in zip(rows, labels):
+        counts[y, x] += 1
+    ratios = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+    full = np.zeros((60, 33))
+    for i, x in enumerate(rows):
+        full[i, x] = ratios[x] / np.sqrt((ratios[x] ** 2).sum())
+    full[:, 32] = 1
+    q = (full @ full.T) * sign[:, None] * sign
+    dual, step = np.zeros(60), 1 / np.linalg.eigvalsh(q).max()
+    for _ in range(40_000):  # projected gradient
+        dual = np.clip(dual + step * (1 - q @ dual), 0, 1)
+    best = dual.sum() - 0.5 * dual @ q @ dual
+    assert best <= primal + 1e-6 and primal - best <= 1e-3 * primal
