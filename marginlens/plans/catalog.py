@@ -33,7 +33,7 @@ from marginlens.plans import oracle as sql
 from marginlens.plans.pipeline import run_pipeline
 from marginlens.plans.session import read_once, shared_scratch
 from marginlens.schemas import CUSTOMERS_SCHEMA, ORDERS_SCHEMA
-from marginlens.sources import files, views, workbook
+from marginlens.sources import arrays, files, views, workbook
 from marginlens.sources import testdata as td
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -493,17 +493,33 @@ def _s2(spark: SparkSession, d: str) -> DataFrame:
     return read_once(files.read_orders(spark, out, multi_line=False, schema=ORDERS_SCHEMA_BIGINT_ROW_ID), out)
 
 
-def _s2_array(spark: SparkSession, d: str) -> DataFrame:
-    # One JSON array per file, of about 10,000 orders each.
+def _array_files(spark: SparkSession, d: str) -> str:
+    """JSON array files of about 10,000 orders each."""
     out, orders = shared_scratch(spark, "orders-json-arrays"), td.orders(spark, d, dirty=True)
     arrays = max(1, orders.count() // 10_000)
     rows = orders.select(F.to_json(F.struct(*[F.col(quote(c)) for c in orders.columns])).alias("row"))
     text = F.concat(F.lit("["), F.array_join(F.collect_list("row"), ",\n"), F.lit("]"))
     rows.groupBy(F.pmod(F.xxhash64("row"), F.lit(arrays)).alias("file")).agg(text.alias("value")).select("value") \
         .write.option("maxRecordsPerFile", 1).text(out)
+    return out
+
+
+def _s2_array(spark: SparkSession, d: str) -> DataFrame:
+    out = _array_files(spark, d)
     return read_once(files.read_orders(spark, out, schema=ORDERS_SCHEMA_BIGINT_ROW_ID, strict_fields=True), out)
 
 
+def _s2_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """The same files in ranges of 256 KB, so that each array is read by several tasks."""
+    out, setting = _array_files(spark, d), "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, 256 << 10)
+    try:
+        return read_once(arrays.read_json_arrays(spark, out, ORDERS_SCHEMA_BIGINT_ROW_ID), out)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _s3(spark: SparkSession, d: str) -> DataFrame:
     out = shared_scratch(spark, "products-csv")
     td.products(spark, d, dirty=True).write.mode("overwrite").option("header", True).csv(out)
@@ -531,6 +547,7 @@ register("s4_quarantine", DIRTY + sql.S4_QUARANTINE)(_quarantine("rejected"))
 register("s4_accepted", DIRTY + sql.S4_ACCEPTED)(_quarantine("accepted"))
 register("s2_json_orders_roundtrip", DIRTY + sql.S2_ROUNDTRIP)(_s2)
 register("s2_json_array_orders", DIRTY + sql.S2_ROUNDTRIP)(_s2_array)
+register("s2_json_array_ranges", DIRTY + sql.S2_ROUNDTRIP)(_s2_ranges)
 register("s3_csv_products_roundtrip", DIRTY + sql.S3_ROUNDTRIP)(_s3)
 
 # --- P: the end-to-end pipeline, output by output (dirty adapter) -----------
