@@ -76,3 +76,14 @@ def test_large_rates_follow_the_distribution(spark):
     for bad in (math.inf, math.nan):
         with pytest.raises(ValueError):
             mix_sources(spark.createDataFrame(rows[:1], SCHEMA), spark.createDataFrame([("over", bad)], "source string, rate double"))
+
+
+def test_many_sources_take_the_salted_join(spark, monkeypatch):
+    from marginlens.llm import mixing
+
+    rows = [(i, "t", [None, "a", "b", "rare"][i % 4 if i % 7 else 1], "c", 1) for i in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    rates = spark.createDataFrame([(None, 0.5), ("a", 3.0), ("b", 1.0), ("rare", 8.0)], "source string, rate double")
+    broadcast = sorted(map(str, mix_sources(docs, rates).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert sorted(map(str, mix_sources(docs, rates).collect())) == broadcast
