@@ -153,7 +153,7 @@ def _in_order(values: str) -> Column:
 def _whole(texts: DataFrame, keys: list[str], bounded) -> DataFrame:
     """``bounded(texts, reach)``, written; the few texts with open samples are done again from all terms."""
     made = cut(bounded(texts, REACH))
-    again = made.filter("open").select(*[F.col(k).alias(f"__{k}") for k in keys])
+    again = made.filter("open").select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
     if again.isEmpty():
         return made.drop("open")
     same = [F.col(k) == F.col(f"__{k}") for k in keys]
@@ -177,27 +177,28 @@ def fingerprint(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> Da
     return _whole(texts, keys, bounded)
 
 
+def _bounded_pairs(texts: DataFrame, keys: list[str], samples: int, reach: float) -> DataFrame:
+    """``keys, own, edited, open`` of :func:`fingerprint_pairs`, from terms within ``reach``."""
+    words = with_words(with_words(texts.select(*keys, "text", "edited"), "text", "a"), "edited", "b")
+    words = _with_starts(_with_starts(words, "a"), "b").withColumn("common", F.array_intersect("a_once", "b_once"))
+    shared = F.concat(_single(F.col("common"), 2), _single(F.array_except("a_once", "common"), 0),
+                      _single(F.array_except("b_once", "common"), 1))
+    both = F.when(_repeats("a") | _repeats("b"), F.concat(_weighted("a", 0), _weighted("b", 1))).otherwise(shared)
+    # the lighter of the two texts has the wider bound, which serves both
+    weight = F.greatest(F.least(F.size("a_keys"), F.size("b_keys")), F.lit(1))
+    terms = words.select(*keys, weight.alias("weight"), F.explode_outer(both).alias("x")).select(
+        *keys, "weight", F.coalesce("x.kind", F.lit(2)).alias("kind"), "x.h", "x.w")
+    own, edited = F.col("kind") != 1, F.col("kind") != 0
+    least = least_offers(terms, [*keys, "kind"], samples, reach).groupBy(*keys, "part").agg(
+        _values(own).alias("own"), _values(edited).alias("edited"), (_open(own) | _open(edited)).alias("open"))
+    return least.groupBy(*keys).agg(_in_order("own").alias("own"), _in_order("edited").alias("edited"), F.max("open").alias("open"))
+
+
 def fingerprint_pairs(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
     """``keys, own, edited``: the fingerprints of the columns ``text`` and
     ``edited``, each what :func:`fingerprint` gives.  Terms that weigh the same
     in both are sampled once."""
-
-    def bounded(rows: DataFrame, reach: float) -> DataFrame:
-        words = with_words(with_words(rows.select(*keys, "text", "edited"), "text", "a"), "edited", "b")
-        words = _with_starts(_with_starts(words, "a"), "b").withColumn("common", F.array_intersect("a_once", "b_once"))
-        shared = F.concat(_single(F.col("common"), 2), _single(F.array_except("a_once", "common"), 0),
-                          _single(F.array_except("b_once", "common"), 1))
-        both = F.when(_repeats("a") | _repeats("b"), F.concat(_weighted("a", 0), _weighted("b", 1))).otherwise(shared)
-        # the lighter of the two texts has the wider bound, which serves both
-        weight = F.greatest(F.least(F.size("a_keys"), F.size("b_keys")), F.lit(1))
-        terms = words.select(*keys, weight.alias("weight"), F.explode_outer(both).alias("x")).select(
-            *keys, "weight", F.coalesce("x.kind", F.lit(2)).alias("kind"), "x.h", "x.w")
-        own, edited = F.col("kind") != 1, F.col("kind") != 0
-        least = least_offers(terms, [*keys, "kind"], samples, reach).groupBy(*keys, "part").agg(
-            _values(own).alias("own"), _values(edited).alias("edited"), (_open(own) | _open(edited)).alias("open"))
-        return least.groupBy(*keys).agg(_in_order("own").alias("own"), _in_order("edited").alias("edited"), F.max("open").alias("open"))
-
-    return _whole(texts, keys, bounded)
+    return _whole(texts, keys, lambda rows, reach: _bounded_pairs(rows, keys, samples, reach))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -256,9 +257,9 @@ def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     # Both sides are partitioned by the key already; as an equality, the hash
     # would be a join key too, and both sides would be shuffled again.
     same = (F.col("key") == F.col("k")) & (F.col("h_text") <= F.col("h")) & (F.col("h_text") >= F.col("h"))
-    prints = fingerprint_pairs(both, ["key", "h_text"], samples)
-    pairs = prints.join(about, same).drop("k", "h")
-    of_next = prints.groupBy("key").agg(F.min_by("own", "h_text").alias("of_next")).withColumnRenamed("key", "next_key")
+    ids = ["key", "h_text"]
+    pairs = _whole(both, ids, lambda rows, reach: _bounded_pairs(rows, ids, samples, reach).join(about, same).drop("k", "h"))
+    of_next = pairs.groupBy("key").agg(F.min_by("own", "h_text").alias("of_next")).withColumnRenamed("key", "next_key")
     return pairs.join(follow, "key").join(of_next, "next_key").select(
         F.when(F.col("key") != -(1 << 63), F.col("key")).alias("doc_id"), "n_chars", "edited_sha256",
         as_text("own").alias("fingerprint"), as_text("edited").alias("edited_fingerprint"),
