@@ -36,6 +36,8 @@ WIDTH = 16
 #: probability exp(-REACH), is taken again from all terms of its text, so each is the least of all terms.
 REACH = 16
 LOW, HALF = (1 << 32) - 1, 1 << 31
+#: Keys of texts with open samples that are broadcast (after counting).
+BROADCAST_ROWS = 1_000_000
 #: A sample of a text without words.
 NOTHING = (1 << 63) - 1
 
@@ -150,14 +152,16 @@ def _in_order(values: str) -> Column:
     return F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("part", values))), lambda x: x[values]))
 
 
-def _whole(texts: DataFrame, keys: list[str], bounded) -> DataFrame:
-    """``bounded(texts, reach)``, written; the few texts with open samples are done again from all terms."""
+def _whole(texts: DataFrame, keys: list[str], bounded, only=None) -> DataFrame:
+    """``bounded(texts, reach)``, written; the few texts with open samples are
+    done again from all terms (``only`` makes them from their keys, if that is
+    cheaper than filtering ``texts``)."""
     made = cut(bounded(texts, REACH))
     again = made.filter("open").select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
     if again.isEmpty():
         return made.drop("open")
     same = [F.col(k) == F.col(f"__{k}") for k in keys]
-    redone = bounded(texts.join(again, same, "left_semi"), float("inf"))
+    redone = bounded((only(again) if only else texts).join(again, same, "left_semi"), float("inf"))
     return made.filter("NOT open").unionByName(redone).drop("open")
 
 
@@ -240,25 +244,39 @@ def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"),
                        F.coalesce("text", F.lit("")).alias("text"))
     follow = cut(next_keys(base))
-    need = base.groupBy("key").agg(F.max(F.floor(F.length("text") / 4)).cast("int").alias("need"))
-    asked = need.join(follow, "key").select(F.col("next_key").alias("key"), F.col("key").alias("asker"), "need")
-    heads = (
-        base.join(asked, "key")
-        .groupBy("asker").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.expr("substring(text, 1, need)").alias("head"))).alias("m"))
-        .select(F.col("asker").alias("key"), "m.head")
-    )
-    n = F.length("text")
-    quarter = F.floor(n / 4).cast("int")
-    edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))"),
-                      F.substring("head", F.lit(1), quarter))
-    both = base.join(heads, "key").select("key", F.xxhash64("text").alias("h_text"), "text", edited.alias("edited"))
-    about = both.select(  # one row per document
-        F.col("key").alias("k"), F.col("h_text").alias("h"), F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+
+    def with_edits(rows: DataFrame) -> DataFrame:
+        """``key, h_text, text, edited`` of those ``rows`` whose next key is among them, too."""
+        need = rows.groupBy("key").agg(F.max(F.floor(F.length("text") / 4)).cast("int").alias("need"))
+        asked = need.join(follow, "key").select(F.col("next_key").alias("key"), F.col("key").alias("asker"), "need")
+        heads = (
+            rows.join(asked, "key")
+            .groupBy("asker").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.expr("substring(text, 1, need)").alias("head"))).alias("m"))
+            .select(F.col("asker").alias("key"), "m.head")
+        )
+        quarter = F.floor(F.length("text") / 4).cast("int")
+        edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 4) as int))"),
+                          F.substring("head", F.lit(1), quarter))
+        return rows.join(heads, "key").select("key", F.xxhash64("text").alias("h_text"), "text", edited.alias("edited"))
+
+    def only(again: DataFrame) -> DataFrame:
+        """The texts with open samples and the next ones, from a scan that drops all others."""
+        mine = again.select(F.col("__key").alias("key"))
+        wanted = cut(mine.unionByName(mine.join(follow, "key").select(F.col("next_key").alias("key"))).distinct())
+        return with_edits(base.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, "key", "left_semi"))
+
+    ids = ["key", "h_text"]
     # Both sides are partitioned by the key already; as an equality, the hash
     # would be a join key too, and both sides would be shuffled again.
     same = (F.col("key") == F.col("k")) & (F.col("h_text") <= F.col("h")) & (F.col("h_text") >= F.col("h"))
-    ids = ["key", "h_text"]
-    pairs = _whole(both, ids, lambda rows, reach: _bounded_pairs(rows, ids, samples, reach).join(about, same).drop("k", "h"))
+
+    def bounded(rows: DataFrame, reach: float) -> DataFrame:
+        about = rows.select(  # one row per document
+            F.col("key").alias("k"), F.col("h_text").alias("h"), F.length("text").cast("long").alias("n_chars"),
+            F.sha2("edited", 256).alias("edited_sha256"))
+        return _bounded_pairs(rows, ids, samples, reach).join(about, same).drop("k", "h")
+
+    pairs = _whole(with_edits(base), ids, bounded, only)
     of_next = pairs.groupBy("key").agg(F.min_by("own", "h_text").alias("of_next")).withColumnRenamed("key", "next_key")
     return pairs.join(follow, "key").join(of_next, "next_key").select(
         F.when(F.col("key") != -(1 << 63), F.col("key")).alias("doc_id"), "n_chars", "edited_sha256",
