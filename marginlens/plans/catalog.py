@@ -14,8 +14,10 @@ result does not depend on the day the check runs.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable
+import itertools
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -493,20 +495,31 @@ def _s2(spark: SparkSession, d: str) -> DataFrame:
     return read_once(files.read_orders(spark, out, multi_line=False, schema=ORDERS_SCHEMA_BIGINT_ROW_ID), out)
 
 
-def _array_files(spark: SparkSession, d: str) -> str:
-    """JSON array files of about 10,000 orders each."""
+ARRAY_ORDERS = 10_000
+
+
+def _json_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a task as JSON arrays of ``ARRAY_ORDERS`` each; the last one holds the rest."""
+    rows: list[str] = []
+    for batch in itertools.chain(batches, [None]):
+        rows += batch.column(0).to_pylist() if batch is not None else []
+        while len(rows) >= ARRAY_ORDERS or rows and batch is None:
+            yield pa.RecordBatch.from_arrays([pa.array(["[" + ",\n".join(rows[:ARRAY_ORDERS]) + "]"])], names=["value"])
+            del rows[:ARRAY_ORDERS]
+
+
+def _array_files(spark: SparkSession, d: str, compression: str = "none") -> str:
+    """JSON array files of at most 10,000 orders each, made where the orders come out of their join."""
     out, orders = shared_scratch(spark, "orders-json-arrays"), td.orders(spark, d, dirty=True)
-    arrays = max(1, orders.count() // 10_000)
     rows = orders.select(F.to_json(F.struct(*[F.col(quote(c)) for c in orders.columns])).alias("row"))
-    text = F.concat(F.lit("["), F.array_join(F.collect_list("row"), ",\n"), F.lit("]"))
-    rows.groupBy(F.pmod(F.xxhash64("row"), F.lit(arrays)).alias("file")).agg(text.alias("value")).select("value") \
-        .write.option("maxRecordsPerFile", 1).text(out)
+    rows.mapInArrow(_json_arrays, "value string").write.option("maxRecordsPerFile", 1).option("compression", compression).text(out)
     return out
 
 
 def _s2_array(spark: SparkSession, d: str) -> DataFrame:
-    out = _array_files(spark, d)
-    return read_once(files.read_orders(spark, out, schema=ORDERS_SCHEMA_BIGINT_ROW_ID, strict_fields=True), out)
+    out = _array_files(spark, d, "snappy")  # files of one task each, compressed or not
+    with files.numbers_in_stream(spark):
+        return read_once(files.read_orders(spark, out, schema=ORDERS_SCHEMA_BIGINT_ROW_ID, strict_fields=True), out)
 
 
 def _s2_ranges(spark: SparkSession, d: str) -> DataFrame:

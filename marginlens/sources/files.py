@@ -6,7 +6,8 @@ action runs.
 
 * Orders are JSON.  ``multi_line=True`` reads a JSON *array* per file (the
   reference's format); such a file cannot be split, so each file is one
-  task.  JSON Lines (``multi_line=False``) splits like text and is the
+  task, and ids that are numbers are slow but for :func:`numbers_in_stream`.
+  JSON Lines (``multi_line=False``) splits like text and is the
   format to use at scale.  Fields bind by name: a missing field is NULL, an
   extra one is ignored, a malformed value is NULL for that field only.
 * Products are CSV with a header.  ``enforceSchema`` is off, so every file's
@@ -52,6 +53,24 @@ def source_errors(kind: str, path: str | list[str]):
         raise SourceError(f"{kind}: cannot read {path}: {str(exc).splitlines()[0]}") from exc
 
 
+@contextmanager
+def numbers_in_stream(spark: SparkSession):
+    """Actions inside read numbers of text fields (ids) of JSON arrays in the stream, not each by a read of its own.
+
+    Spark takes the text of such a number from the file by a positioned read,
+    which opens a local file once more for each id.  Inside, whole numbers are
+    the same text; fractions are written anew (``1.50`` is ``1.5``), as they are
+    from compressed files anyway.
+    """
+    setting = "spark.sql.json.enableExactStringParsing"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, False)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 class Quarantined(NamedTuple):
     """The ``accepted`` records, and the ``rejected`` ones as ``record`` (their text) and ``file``."""
 

@@ -147,3 +147,26 @@ def test_large_workbook_streams_in_chunks():
     assert whole["a"].tolist() == [str(i) for i in range(25)]
     empty = workbook.decode_workbook("e.xlsx", workbook.encode_workbook(names, iter([])), names)
     assert len(empty) == 0 and list(empty.columns) == names
+
+
+def test_orders_become_arrays_of_bounded_size_in_their_tasks():
+    import pyarrow as pa
+
+    from marginlens.plans import catalog
+
+    rows = [json.dumps({"id": i}) for i in range(25_001)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(rows[a:a + 7_000])], names=["row"]) for a in range(0, len(rows), 7_000)]
+    made = [json.loads(x) for batch in catalog._json_arrays(iter(batches)) for x in batch.column(0).to_pylist()]
+    assert [len(x) for x in made] == [10_000, 10_000, 5_001] and [y["id"] for x in made for y in x] == list(range(25_001))
+    assert list(catalog._json_arrays(iter([]))) == []
+
+
+def test_ids_of_arrays_are_read_in_the_stream(spark, tmp_path):
+    """A positioned read is the one way to a fraction's own text, so its absence shows in it; whole numbers are the same."""
+    (tmp_path / "a.json").write_text('[{"Order ID": 1.50, "Customer ID": 123456789012345678901}]')
+    setting = "spark.sql.json.enableExactStringParsing"
+    before = spark.conf.get(setting)
+    with files.numbers_in_stream(spark):
+        row = files.read_orders(spark, str(tmp_path)).first()
+    assert (row["Order ID"], row["Customer ID"]) == ("1.5", "123456789012345678901")
+    assert spark.conf.get(setting) == before
