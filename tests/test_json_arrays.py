@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from marginlens.sources.arrays import read_json_arrays
+from marginlens.sources.arrays import TASKS_PER_CORE, read_json_arrays
 from test_skew import conf
 
 SCHEMA = "id long, text string, inner struct<a: array<long>, b: string>, x double"
@@ -54,3 +54,20 @@ def test_odd_files(spark, tmp_path):
     got = {(r.id, r.text) for r in read_json_arrays(spark, str(tmp_path), SCHEMA).collect()}
     assert {(5, None), (None, "kept"), (7, None), (8, "}"), (9, None)} <= got
     assert len(got) == 6
+
+
+def test_elements_that_are_no_objects_are_skipped_across_ranges(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([[{"id": 1, "text": "x" * 300}, {"id": 2}], {"id": 3}, [[{"id": 4}], {"b": "}" * 500}], {"id": 5}]))
+    with conf(spark, spark__sql__files__maxPartitionBytes="64", spark__sql__files__openCostInBytes="0", spark__sql__files__minPartitionNum="1"):
+        assert sorted(r.id for r in read_json_arrays(spark, str(tmp_path), "id long").collect()) == [3, 5]
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps(rows(random.Random(5), 400)))
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    with conf(spark, spark__sql__files__maxPartitionBytes="64", spark__sql__files__openCostInBytes="0", spark__sql__files__minPartitionNum="1"):
+        assert spark.read.option("lineSep", "}").text(str(tmp_path)).rdd.getNumPartitions() > 3 * tasks
+        made = read_json_arrays(spark, str(tmp_path), SCHEMA)
+        assert made.rdd.getNumPartitions() <= tasks + int(spark.conf.get("spark.sql.shuffle.partitions"))
+        got, want = both(spark, tmp_path)
+    assert got == want and len(got) == 400
