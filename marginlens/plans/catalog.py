@@ -488,10 +488,13 @@ register("q1_profile_failed", CLEAN + sql.profile_failed_sql())(_q1_failed)
 # otherwise (ids and dates read back as text).
 ORDERS_SCHEMA_BIGINT_ROW_ID = StructType([StructField("Row ID", LongType(), True), *ORDERS_SCHEMA.fields[1:]])
 
+# JSON Lines are written compressed, in files short enough that none has to be split to be read.
+PACKED = {"compression": "snappy", "maxRecordsPerFile": 1_000_000}
+
 
 def _s2(spark: SparkSession, d: str) -> DataFrame:
     out = shared_scratch(spark, "orders-json")
-    td.orders(spark, d, dirty=True).write.mode("overwrite").json(out)
+    td.orders(spark, d, dirty=True).write.mode("overwrite").options(**PACKED).json(out)
     return read_once(files.read_orders(spark, out, multi_line=False, schema=ORDERS_SCHEMA_BIGINT_ROW_ID), out)
 
 

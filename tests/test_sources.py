@@ -5,6 +5,7 @@ import tempfile
 import pytest
 from pyspark.sql.utils import PythonException
 
+from conftest import SF_SMALL
 from marginlens.schemas import CUSTOMERS_SCHEMA, ORDERS_SCHEMA, PRODUCTS_SCHEMA
 from marginlens.sources import files, views, workbook
 from xlsx_fixture import write_xlsx
@@ -170,3 +171,15 @@ def test_ids_of_arrays_are_read_in_the_stream(spark, tmp_path):
         row = files.read_orders(spark, str(tmp_path)).first()
     assert (row["Order ID"], row["Customer ID"]) == ("1.5", "123456789012345678901")
     assert spark.conf.get(setting) == before
+
+
+def test_json_lines_round_trips_are_written_compressed(spark, monkeypatch):
+    import glob
+
+    from marginlens.plans import catalog
+
+    kept = []
+    monkeypatch.setattr(catalog, "read_once", lambda df, path: kept.append(path) or df)
+    for name in ("s2_json_orders_roundtrip",):
+        assert catalog.QUERIES[name](spark, SF_SMALL).count() > 0
+    assert all(glob.glob(f"{p.removeprefix('file:')}/part-*.snappy") for p in kept) and len(kept) == 1
