@@ -547,7 +547,7 @@ def _damaged_orders(spark: SparkSession, d: str) -> tuple[files.Quarantined, str
     out, orders = shared_scratch(spark, "orders-damaged"), td.orders(spark, d, dirty=True)
     whole = F.to_json(F.struct(*[F.col(quote(c)) for c in orders.columns]))
     head, left = F.concat(F.lit('{"Row ID":'), F.col("Row ID")), F.col("Row ID") % 50
-    orders.select(F.when(left == 0, head).when(left == 1, F.concat(head, F.lit(',"Quantity":"many"}'))).otherwise(whole).alias("value")).write.text(out)
+    orders.select(F.when(left == 0, head).when(left == 1, F.concat(head, F.lit(',"Quantity":"many"}'))).otherwise(whole).alias("value")).write.options(**PACKED).text(out)
     return files.read_orders(spark, out, multi_line=False, schema=ORDERS_SCHEMA_BIGINT_ROW_ID, quarantined=True), out
 
 

@@ -180,6 +180,6 @@ def test_json_lines_round_trips_are_written_compressed(spark, monkeypatch):
 
     kept = []
     monkeypatch.setattr(catalog, "read_once", lambda df, path: kept.append(path) or df)
-    for name in ("s2_json_orders_roundtrip",):
+    for name in ("s2_json_orders_roundtrip", "s4_accepted", "s4_quarantine"):
         assert catalog.QUERIES[name](spark, SF_SMALL).count() > 0
-    assert all(glob.glob(f"{p.removeprefix('file:')}/part-*.snappy") for p in kept) and len(kept) == 1
+    assert all(glob.glob(f"{p.removeprefix('file:')}/part-*.snappy") for p in kept) and len(kept) == 3
