@@ -185,8 +185,9 @@ def counted_whole(sets: DataFrame) -> DataFrame:
                  _lists([k.view(np.int64) for k in keys], np.int64), _lists([k[:0].view(np.int64) for k in keys], np.int64)],
                 names=["rid", "n", "counts", "tokens", "others"])
 
-    made = sets.select("rid", "keys").mapInArrow(whole, "rid long, n int, counts array<int>, tokens array<long>, others array<long>")
-    return cut(made.dropDuplicates(["rid"]))  # rows that repeat an id may be fetched twice
+    # Rows that repeat an id may be fetched twice; the shuffle also keeps a task from holding two Python workers.
+    once = sets.select("rid", "keys").dropDuplicates(["rid"])
+    return cut(once.mapInArrow(whole, "rid long, n int, counts array<int>, tokens array<long>, others array<long>"))
 
 
 def candidate_edges(sketched: DataFrame, classes: DataFrame, percent: int, docs: DataFrame | None = None, size: int = 0) -> DataFrame:
@@ -300,7 +301,7 @@ def verified_links(docs: DataFrame, sketched: DataFrame, edges: DataFrame, size:
         if group:
             yield pd.DataFrame(done(), columns=["u", "v"], dtype="int64")
 
-    return dealt.mapInPandas(links, "u long, v long")
+    return dealt.mapInPandas(links, "u long, v long").distinct()  # so links and their contraction share no task
 
 
 def text_keys(text: Column | str) -> list[Column]:

@@ -138,3 +138,20 @@ def test_template_pages_leave_before_verification(spark):
     assert edges and all(ids[e.u] >= 1000 and ids[e.v] >= 1000 for e in edges)
     got = ngram_join.jaccard_components(df, 3, 90).collect()
     assert {r.component_id for r in got if r.doc_id >= 1000} == {1000} and all(r.component_id == r.doc_id for r in got if r.doc_id < 1000)
+
+
+def test_no_task_needs_two_python_workers(spark, monkeypatch):
+    plans, cut = [], ngram_join.cut
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(ngram_join, "cut", seen)
+    monkeypatch.setattr("marginlens.llm.components.cut", seen)
+    monkeypatch.setattr(ngram_join, "FREQUENT", 3)  # buckets of copies are large, so that their documents are joined once more
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(60)) + f" x{i}") for i in range(30)], "doc_id long, text string")
+    found = ngram_join.jaccard_components(docs, size=3, percent=80)
+    assert found.filter("component = 0").count() == 30
+    nodes = [re.findall(r"MapInArrow|MapInPandas|Exchange", p) for p in plans]
+    assert sum(map(len, nodes)) and not any(re.search(r"MapIn\w+ MapIn", " ".join(n)) for n in nodes)
